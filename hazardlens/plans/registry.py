@@ -428,11 +428,13 @@ def last_failure(spark, sf):
     return _comp(spark, sf).select("establishment_id", "last_failure_date")
 
 
-@register("recency", f"SELECT establishment_id, days_since_failure, {O.round1('recency')} AS recency_score "
+@register("recency", f"SELECT establishment_id, CAST(days_since_failure AS DOUBLE) AS days_since_failure, "
+                     f"{O.round1('recency')} AS recency_score "
                      f"FROM components")
 def recency(spark, sf):
     from ..functions.numeric import round1
-    return _comp(spark, sf).select("establishment_id", "days_since_failure", round1("recency").alias("recency_score"))
+    return _comp(spark, sf).select("establishment_id", F.col("days_since_failure").cast("double"),
+                                   round1("recency").alias("recency_score"))
 
 
 @register("mean_severity", f"SELECT establishment_id, severity AS severity_mean, "

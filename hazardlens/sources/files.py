@@ -10,7 +10,8 @@ from ..functions.text import safe_timestamp
 
 # CSV options that keep text exactly: quoted multi-line fields, embedded
 # quotes escaped by doubling, surrounding whitespace preserved, and the
-# empty string kept distinct from null.
+# empty string kept distinct from null (null is written as ``\N``, the
+# empty string as ``""``).
 CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
@@ -18,8 +19,7 @@ CSV_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "nullValue": "",
-    "emptyValue": '""',
+    "nullValue": "\\N",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 

@@ -44,10 +44,19 @@ def keywords_found(lower_text: str | Column, keywords: list[str]) -> Column:
     return F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(t, k))
 
 
-def keyword_scan(text: str | Column, cfg: ScoringConfig = DEFAULT_CONFIG) -> dict[str, Column]:
-    """Per-tier keyword arrays for the lower-cased text; null text -> empty."""
-    lowered = F.lower(F.coalesce(col_(text), F.lit("")))
-    return {tier: keywords_found(lowered, kws) for tier, kws in cfg.keyword_tiers.items()}
+def lowered_text(text: str | Column) -> Column:
+    """Lower-cased text with null as empty: the input of ``keyword_scan``.
+
+    Project it as its own column *before* the scan; referenced from inside
+    the per-keyword lambda, an inline ``lower()`` would be re-evaluated once
+    per keyword (72x the work).
+    """
+    return F.lower(F.coalesce(col_(text), F.lit("")))
+
+
+def keyword_scan(lowered: str | Column, cfg: ScoringConfig = DEFAULT_CONFIG) -> dict[str, Column]:
+    """Per-tier arrays of the keywords found in an already lower-cased text column."""
+    return {tier: keywords_found(col_(lowered), kws) for tier, kws in cfg.keyword_tiers.items()}
 
 
 def structured_signal(n_critical: Column, n_serious: Column, n_minor: Column,

@@ -355,8 +355,8 @@ _DOC_KW = (f"SELECT doc_id, CAST(len(kc) AS INTEGER) AS kw_critical, CAST(len(km
 
 @register("document_keywords", _DOC_KW)
 def document_keywords(spark, sf):
-    kw = V.keyword_scan(F.col("text"), DEFAULT_CONFIG)
-    docs = documents_text(spark, sf).select(
+    kw = V.keyword_scan("_lowered", DEFAULT_CONFIG)
+    docs = documents_text(spark, sf).withColumn("_lowered", V.lowered_text("text")).select(
         "doc_id", kw["critical"].alias("c"), kw["major"].alias("m"), kw["minor"].alias("n"))
     return docs.select("doc_id", F.size("c").alias("kw_critical"), F.size("m").alias("kw_major"),
                        F.size("n").alias("kw_minor"), F.array_join(F.concat("c", "m", "n"), ",").alias("kw_found"))

@@ -1,7 +1,7 @@
 """Deterministic numeric helpers.
 
-Rules: sums that must not depend on partitioning are taken as DECIMAL and
-cast to double once; one-decimal rounding is half-even (``rint``), matching
+Rules: sums that must not depend on partitioning are taken as integers of
+10^-scale units and turned into a double once; one-decimal rounding is half-even (``rint``), matching
 the published scores.
 """
 
@@ -24,15 +24,25 @@ def clamp(c: Column, lo: float, hi: float) -> Column:
     return F.greatest(F.lit(lo), F.least(F.lit(hi), c))
 
 
-def exact_sum(c: str | Column, precision: int, scale: int) -> Column:
-    """Order-independent sum of values with at most ``scale`` decimals, as double."""
-    return F.sum(col_(c).cast(f"decimal({precision},{scale})")).cast("double")
+def scaled(c: str | Column, scale: int) -> Column:
+    """A value with at most ``scale`` decimals as an exact integer count of 10^-scale units."""
+    return F.round(col_(c) * F.lit(float(10 ** scale))).cast("long")
 
 
-def exact_mean(c: str | Column, precision: int, scale: int) -> Column:
-    """Mean whose numerator is an exact decimal sum (null when no values)."""
+def exact_sum(c: str | Column, scale: int) -> Column:
+    """Order-independent sum of values with at most ``scale`` decimals, as double.
+
+    Summed as a 64-bit integer of 10^-scale units: exact, partition-order
+    free, a fixed-width (hash-aggregate) buffer, and no overflow below
+    ~9e18 units — unlike a DECIMAL(p,s) sum, whose result precision caps it.
+    """
+    return F.sum(scaled(c, scale)) / F.lit(float(10 ** scale))
+
+
+def exact_mean(c: str | Column, scale: int) -> Column:
+    """Mean whose numerator is an exact scaled-integer sum (null when no values)."""
     x = col_(c)
-    return exact_sum(x, precision, scale) / F.count(x)
+    return exact_sum(x, scale) / F.count(x)
 
 
 def floor_days(start: str | Column, end: Column) -> Column:

@@ -2,7 +2,7 @@
 
 Plan shape (per establishment key ``establishment_id``):
 
-* **Totals branch** — one hash aggregate: counts, exact decimal sums for the
+* **Totals branch** — one hash aggregate: counts, exact integer sums for the
   weighted failure rate and mean severity, last failure date. Partial
   aggregation runs map-side, so a hot key (one shared licence holding a
   third of all rows) is pre-reduced to one row per map task before the
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
-from ..functions.numeric import clamp, exact_mean, floor_days, round1
+from ..functions.numeric import clamp, exact_mean, floor_days, round1, scaled
 from ..schemas import SCORE_COLUMNS
 
 KEY = "establishment_id"
@@ -51,8 +51,7 @@ def type_weight(inspection_type: Column, cfg: ScoringConfig = DEFAULT_CONFIG) ->
 def scoring_input(inspections: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     """R1 + R3: rows with a key, plus the type weight and exact score."""
     return (inspections.filter(F.col(KEY).isNotNull())
-            .withColumn("type_weight", type_weight(F.col("inspection_type"), cfg))
-            .withColumn("_score_dec", F.col("result_score").cast("decimal(2,1)")))
+            .withColumn("type_weight", type_weight(F.col("inspection_type"), cfg)))
 
 
 def inspection_order(inspections: DataFrame) -> DataFrame:
@@ -67,8 +66,9 @@ def inspection_order(inspections: DataFrame) -> DataFrame:
 def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     """Totals branch: everything decomposable, one hash aggregate."""
     s = F.col("result_score")
-    sw = F.sum(F.col("_score_dec") * F.col("type_weight")).cast("double")
-    w = F.sum(F.col("type_weight")).cast("double")
+    # score (tenths) x weight (tenths) = hundredths; exact long sums.
+    sw = F.sum(scaled("result_score", 1) * scaled("type_weight", 1)) / F.lit(100.0)
+    w = F.sum(scaled("type_weight", 1)) / F.lit(10.0)
     last_fail = F.max(F.when(s > 0, F.col("inspection_date")))
     return scored_in.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("n"),
@@ -78,8 +78,8 @@ def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAU
         sw.alias("weighted_failures"),
         w.alias("total_weight"),
         last_fail.alias("last_failure_date"),
-        exact_mean("violation_severity", 5, 2).alias("severity_mean"),
-        exact_mean(s, 2, 1).alias("overall_avg"),
+        exact_mean("violation_severity", 2).alias("severity_mean"),
+        exact_mean(s, 1).alias("overall_avg"),
     ).withColumn("days_since_failure", floor_days("last_failure_date", as_of_literal(as_of)))
 
 
@@ -94,7 +94,7 @@ def recent_summary(scored_in: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) ->
     rows = recent_rows(scored_in, cfg)
     latest = F.max(F.when(F.col("recency_rank") == 1, F.struct(*[F.col(c) for c in LATEST_FIELDS])))
     return rows.groupBy(KEY).agg(
-        exact_mean("result_score", 2, 1).alias("recent_avg"),
+        exact_mean("result_score", 1).alias("recent_avg"),
         latest.alias("latest"),
     )
 
@@ -157,7 +157,7 @@ def score_distribution(scores: DataFrame, col: str = "dynamic_risk_score") -> Da
     x = F.col(col)
     return scores.agg(
         F.count(x).alias("n"),
-        round1(exact_mean(x, 4, 1)).alias("mean_score"),
+        round1(exact_mean(x, 1)).alias("mean_score"),
         round1(F.median(x)).alias("median_score"),
         round1(F.stddev_samp(x)).alias("std_score"),
         F.max(x).alias("max_score"),

@@ -75,7 +75,7 @@ def kpis(filtered: DataFrame) -> DataFrame:
     return filtered.agg(
         F.count(F.lit(1)).alias("establishments"),
         F.count_if(s >= HIGH_RISK).alias("high_risk"),
-        exact_mean(s, 4, 1).alias("avg_risk_score"),
+        exact_mean(s, 1).alias("avg_risk_score"),
         F.sum("total_failures").cast("long").alias("total_failures"),
         F.sum("total_inspections").cast("long").alias("total_inspections"),
     )
@@ -110,7 +110,7 @@ def risk_by_facility(filtered: DataFrame, min_n: int = 10, k: int = 15) -> DataF
     s = F.col(SCORE)
     return (filtered.filter(F.col("facility_type").isNotNull())
             .groupBy("facility_type")
-            .agg(exact_mean(s, 4, 1).alias("avg_risk"), F.count(s).alias("n"))
+            .agg(exact_mean(s, 1).alias("avg_risk"), F.count(s).alias("n"))
             .filter(F.col("n") >= min_n)
             .orderBy(F.col("avg_risk").desc(), F.col("facility_type"))
             .limit(k))
@@ -201,7 +201,7 @@ def risk_by_zip(filtered: DataFrame, min_n: int = 5) -> DataFrame:
     s = F.col(SCORE)
     return (filtered.filter(F.col("zip").isNotNull())
             .groupBy("zip")
-            .agg(exact_mean(s, 4, 1).alias("avg_risk"),
+            .agg(exact_mean(s, 1).alias("avg_risk"),
                  F.count(KEY).alias("n_establishments"),
                  F.count_if(s >= HIGH_RISK).alias("high_risk"))
             .filter(F.col("n_establishments") >= min_n))

@@ -55,7 +55,7 @@ def severity_stats(signals: DataFrame) -> DataFrame:
     """
     sev = F.col("violation_severity")
     return signals.agg(
-        round1(exact_mean(sev, 5, 2)).alias("mean_severity"),
+        round1(exact_mean(sev, 2)).alias("mean_severity"),
         round1(F.median(sev)).alias("median_severity"),
         round1(F.max(sev)).alias("max_severity"),
     )

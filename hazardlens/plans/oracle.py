@@ -31,8 +31,16 @@ def round1(x: str) -> str:
     return f"(round_even(({x}) * 10.0, 0) / 10.0)"
 
 
-def exact_mean(x: str, p: int, s: int) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL({p},{s}))) AS DOUBLE) / COUNT({x}))"
+def scaled(x: str, s: int) -> str:
+    return f"CAST(round(({x}) * {10 ** s}.0) AS BIGINT)"
+
+
+def exact_sum(x: str, s: int) -> str:
+    return f"(CAST(SUM({scaled(x, s)}) AS DOUBLE) / {10 ** s}.0)"
+
+
+def exact_mean(x: str, s: int) -> str:
+    return f"({exact_sum(x, s)} / COUNT({x}))"
 
 
 def median(x: str) -> str:
@@ -200,12 +208,12 @@ sc_in AS (
     count(*) FILTER (WHERE result_score = 1.0) AS n_fail,
     count(*) FILTER (WHERE result_score = 0.5) AS n_conditional,
     count(*) FILTER (WHERE result_score = 0.0) AS n_pass,
-    CAST(SUM(CAST(result_score AS DECIMAL(2,1)) * type_weight) AS DOUBLE) AS weighted_failures,
-    CAST(SUM(type_weight) AS DOUBLE) AS total_weight,
+    CAST(SUM({scaled('result_score', 1)} * {scaled('type_weight', 1)}) AS DOUBLE) / 100.0 AS weighted_failures,
+    {exact_sum('type_weight', 1)} AS total_weight,
     max(CASE WHEN result_score > 0 THEN inspection_date END) AS last_failure_date,
-    {exact_mean('violation_severity', 5, 2)} AS severity_mean,
-    {exact_mean('result_score', 2, 1)} AS overall_avg,
-    CAST(SUM(CAST(result_score AS DECIMAL(2,1))) FILTER (WHERE recency_rank <= {CFG.trend_window}) AS DOUBLE)
+    {exact_mean('violation_severity', 2)} AS severity_mean,
+    {exact_mean('result_score', 1)} AS overall_avg,
+    CAST(SUM({scaled('result_score', 1)}) FILTER (WHERE recency_rank <= {CFG.trend_window}) AS DOUBLE) / 10.0
       / COUNT(result_score) FILTER (WHERE recency_rank <= {CFG.trend_window}) AS recent_avg,
     {latest}
   FROM sc_rank GROUP BY establishment_id

@@ -394,7 +394,7 @@ def signal_totals_q(spark, sf):
     return signal_totals(_insp(spark, sf))
 
 
-@register("severity_stats", f"SELECT {O.round1(O.exact_mean('violation_severity', 5, 2))} AS mean_severity, "
+@register("severity_stats", f"SELECT {O.round1(O.exact_mean('violation_severity', 2))} AS mean_severity, "
                             f"{O.round1(O.median('violation_severity'))} AS median_severity, "
                             f"{O.round1('max(violation_severity)')} AS max_severity FROM inspections")
 def severity_stats_q(spark, sf):
@@ -486,7 +486,7 @@ def risk_scores_q(spark, sf):
 
 
 @register("score_distribution", f"""SELECT count(dynamic_risk_score) AS n,
-  {O.round1(O.exact_mean('dynamic_risk_score', 4, 1))} AS mean_score,
+  {O.round1(O.exact_mean('dynamic_risk_score', 1))} AS mean_score,
   {O.round1(O.median('dynamic_risk_score'))} AS median_score,
   {O.round1('stddev_samp(dynamic_risk_score)')} AS std_score,
   max(dynamic_risk_score) AS max_score FROM risk_scores""")
@@ -521,7 +521,7 @@ _SEARCH_WHERE = " OR ".join(f"coalesce(regexp_matches(lower({c}), '{SEARCH_TERM}
                             for c in ("dba_name", "aka_name", "address"))
 _MATCHES = (f"SELECT * FROM risk_scores WHERE {_SEARCH_WHERE} "
             f"ORDER BY dynamic_risk_score DESC NULLS LAST, establishment_id LIMIT {TOP_N}")
-_RISK_BY_ZIP = (f"SELECT zip, {O.exact_mean('dynamic_risk_score', 4, 1)} AS avg_risk, count(establishment_id) AS n_establishments, "
+_RISK_BY_ZIP = (f"SELECT zip, {O.exact_mean('dynamic_risk_score', 1)} AS avg_risk, count(establishment_id) AS n_establishments, "
                 f"count(*) FILTER (WHERE dynamic_risk_score >= {O.HIGH}) AS high_risk FROM risk_scores "
                 f"WHERE zip IS NOT NULL GROUP BY zip HAVING count(establishment_id) >= 5")
 
@@ -545,7 +545,7 @@ def multi_select(spark, sf):
 
 @register("kpis", f"""SELECT count(*) AS establishments,
   count(*) FILTER (WHERE dynamic_risk_score >= {O.HIGH}) AS high_risk,
-  {O.exact_mean('dynamic_risk_score', 4, 1)} AS avg_risk_score,
+  {O.exact_mean('dynamic_risk_score', 1)} AS avg_risk_score,
   CAST(sum(total_failures) AS BIGINT) AS total_failures, CAST(sum(total_inspections) AS BIGINT) AS total_inspections
 FROM risk_scores WHERE dynamic_risk_score BETWEEN 0 AND 100""")
 def kpis(spark, sf):
@@ -573,7 +573,7 @@ def score_histogram(spark, sf):
     return D.score_histogram(D.apply_filters(_scores(spark, sf)))
 
 
-@register("risk_by_facility", f"""SELECT facility_type, {O.exact_mean('dynamic_risk_score', 4, 1)} AS avg_risk,
+@register("risk_by_facility", f"""SELECT facility_type, {O.exact_mean('dynamic_risk_score', 1)} AS avg_risk,
   count(dynamic_risk_score) AS n FROM risk_scores
 WHERE facility_type IS NOT NULL AND dynamic_risk_score BETWEEN 0 AND 100
 GROUP BY facility_type HAVING count(dynamic_risk_score) >= 10 ORDER BY avg_risk DESC, facility_type LIMIT 15""")

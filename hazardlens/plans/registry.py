@@ -692,3 +692,18 @@ def explore_report(spark, sf):
 @register("explore_mode", _REPORT)
 def explore_mode(spark, sf):
     return run_transform(spark, _raw(spark, sf), AS_OF, mode="explore").report
+
+
+# ---------------------------------------------------------------- streaming refresh
+
+@register("streaming_refresh", f"SELECT {SCORE_COLS} FROM risk_scores")
+def streaming_refresh(spark, sf):
+    """Pages land in two drops; the file stream refreshes the tables after each."""
+    from ..streaming.refresh import latest_output, start_refresh
+    raw = _raw(spark, sf)
+    landing = staging_path(spark, "landing")
+    raw_dir, out_dir, ckpt = (staging_path(spark, n) for n in ("stream-raw", "stream-out", "stream-ckpt"))
+    for drop, seq in (("drop1", 0), ("drop2", 1)):
+        L.land_pages(raw.filter(F.col("ingest_seq") == seq), f"{landing}/{drop}", PAGE_SIZE_TEST)
+        start_refresh(spark, landing, raw_dir, out_dir, ckpt, AS_OF).awaitTermination()
+    return latest_output(spark, out_dir)[1].select(SCORES.fieldNames())

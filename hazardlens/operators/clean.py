@@ -87,22 +87,44 @@ def safe_coordinates(df: DataFrame) -> DataFrame:
 def establishment_key(df: DataFrame) -> DataFrame:
     """C12 + C13: stripped licence, or ``lower(name)|lower(address)`` when it is null/blank."""
     lic = strip("license_")
-    fallback = F.concat(F.lower(F.coalesce(F.col("dba_name"), F.lit(""))), F.lit(KEY_SEPARATOR),
-                        F.lower(F.coalesce(F.col("address"), F.lit(""))))
     return df.withColumn("license_", lic).withColumn(
-        "establishment_id", F.when(F.length("license_") > 0, F.col("license_")).otherwise(fallback))
+        "establishment_id", _key_expr(F.col("license_"), F.col("dba_name"), F.col("address")))
+
+
+def _key_expr(license_stripped: Column, name: Column, address: Column) -> Column:
+    fallback = F.concat(F.lower(F.coalesce(name, F.lit(""))), F.lit(KEY_SEPARATOR),
+                        F.lower(F.coalesce(address, F.lit(""))))
+    return F.when(F.length(license_stripped) > 0, license_stripped).otherwise(fallback)
 
 
 def clean(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The whole cleaning step, in the published order (C1 -> C13)."""
+    """The whole cleaning step with the published semantics (C1 -> C13).
+
+    Same expressions as the step functions above, fused into three
+    projections so the plan stays small: filter + score before the dedup
+    exchange (rows that can never survive are dropped before they are
+    shuffled), then one projection for all row-wise normalisation.
+    """
     df = ensure_columns(raw, RAW)
-    df = drop_bad_dates(parse_dates(df))
-    df = normalize_results(df, cfg)
-    df = dedup_keep_last(df)
-    df = normalize_text(df)
-    df = fill_violations(df)
-    df = safe_coordinates(df)
-    return establishment_key(df)
+    others = [c for c in df.columns if c not in ("inspection_date", "results")]
+    parsed = df.select(*others, safe_timestamp("inspection_date").alias("inspection_date"),
+                       norm("results").alias("results"))
+    usable = (parsed.filter(F.col("inspection_date").isNotNull() & F.col("results").isin(cfg.usable_results))
+              .withColumn("result_score", result_score(F.col("results"), cfg))
+              .select(*df.columns, "result_score"))
+    d = dedup_keep_last(usable)
+    lic = strip("license_")
+    name, addr = strip("dba_name"), strip("address")
+    replaced = {
+        "inspection_type": norm("inspection_type"),
+        "dba_name": name, "aka_name": strip("aka_name"), "address": addr,
+        "facility_type": strip("facility_type"), "risk": strip("risk"), "zip": strip("zip"),
+        "violations": F.coalesce(F.col("violations"), F.lit("")),
+        "latitude": safe_double("latitude"), "longitude": safe_double("longitude"),
+        "license_": lic,
+    }
+    cols = [replaced[c].alias(c) if c in replaced else F.col(c) for c in d.columns]
+    return d.select(*cols, _key_expr(lic, name, addr).alias("establishment_id"))
 
 
 def count_establishments(cleaned: DataFrame, approximate: bool = False) -> DataFrame:

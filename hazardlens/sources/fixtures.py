@@ -32,8 +32,22 @@ DUPLICATE_EVERY = 50
 VIOLATION_SEPARATOR = " | "
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's (read-only) table as a relation, resolved once per session.
+
+    Listing and footer/schema resolution happen once; every query still
+    scans the files when it runs. This plays the role of a catalog's cached
+    table metadata.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    rel = _RELATIONS.get(key)
+    if rel is None:
+        rel = _RELATIONS[key] = spark.read.parquet(path)
+    return rel
 
 
 def _case(key: Column, values: list) -> Column:

@@ -640,6 +640,22 @@ def inspection_history(spark, sf):
     return D.inspection_history(matches, insp, 10)
 
 
+@register("bucketed_history", f"""SELECT establishment_id, CAST(rank AS INTEGER) AS rank,
+  {', '.join(f'{c} AS "{a}"' for c, a in D.HISTORY_COLUMNS.items())}
+FROM (SELECT i.*, row_number() OVER (PARTITION BY establishment_id ORDER BY inspection_date DESC, inspection_id DESC) AS rank
+      FROM inspections i WHERE establishment_id IN (SELECT establishment_id FROM ({_MATCHES})))
+WHERE rank <= 10""")
+def bucketed_history(spark, sf):
+    """K8 + D15: history served from the establishment-bucketed inspections table."""
+    import uuid
+    insp = _insp(spark, sf)
+    name = f"hazardlens_inspections_{uuid.uuid4().hex[:8]}"
+    K.bucketed_inspections(insp.drop("kw_found", "violation_codes"), name, staging_path(spark, "bucketed"), 8)
+    stored = spark.table(name)
+    matches = D.search_top(R.risk_scores(stored, AS_OF), SEARCH_TERM, TOP_N)
+    return D.inspection_history(matches, stored, 10)
+
+
 @register("risk_by_zip", _RISK_BY_ZIP.replace("WHERE zip IS NOT NULL", "WHERE zip IS NOT NULL AND dynamic_risk_score BETWEEN 0 AND 100"))
 def risk_by_zip(spark, sf):
     return D.risk_by_zip(D.apply_filters(_scores(spark, sf)))

@@ -59,8 +59,15 @@ def clustered_scores(scores: DataFrame, path: str, n_files: int = 8) -> None:
      .write.mode("overwrite").parquet(path))
 
 
-def bucketed_inspections(inspections: DataFrame, table: str, buckets: int = INSPECTION_BUCKETS) -> None:
+def bucketed_inspections(inspections: DataFrame, table: str, path: str | None = None,
+                         buckets: int = INSPECTION_BUCKETS) -> None:
     """K8: inspections bucketed by establishment and sorted by date in a catalog table,
-    so per-establishment history joins and aggregations skip the shuffle."""
-    (inspections.write.mode("overwrite").bucketBy(buckets, "establishment_id")
-     .sortBy("establishment_id", "inspection_date").saveAsTable(table))
+    so per-establishment history windows and aggregations skip the shuffle.
+
+    With ``path`` the table is external (data in shared storage, metadata in
+    the session catalog)."""
+    w = (inspections.write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, "establishment_id").sortBy("establishment_id", "inspection_date"))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

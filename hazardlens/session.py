@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE re-plans shuffles at runtime
 # (partition coalescing, skew-join splitting); the session zone is pinned so
@@ -15,7 +15,6 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -57,3 +56,19 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/stage-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute a scan that yields fewer partitions than the cluster has cores.
+
+    A single unsplittable file (one parquet row group) is read by one task;
+    before CPU-heavy narrow work (text scans) that caps parallelism at 1. On
+    a large input the scan already has more splits than cores and this is a
+    no-op, so it never adds a shuffle at scale. Rows are hash-partitioned on
+    ``keys`` (deterministic on retry, no pre-sort; pass the key of the next
+    aggregation so that exchange is reused), else round-robin.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # FIXED VALUES of the derived fixture (shared with the SQL oracle text).
 COMMENT_BY_SUPPKEY_MOD10 = [
     "OBSERVED MICE DROPPINGS NEAR ",
@@ -63,7 +65,8 @@ def violation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     Hash-aggregates on ``l_orderkey`` (partial collect per map task); the
     part side joins by key, broadcast only if AQE measures it small.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+                "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     frag = F.concat(
         ((F.col("l_partkey") + F.col("l_linenumber")) % 75).cast("string"), F.lit(". "),
@@ -121,4 +124,4 @@ def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second free-text input for the keyword scan (whole texts)."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")

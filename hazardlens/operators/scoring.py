@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..functions.numeric import clamp, exact_mean, floor_days, round1, scaled
 from ..schemas import SCORE_COLUMNS
+from .ordering import HOT_THRESHOLD, rank_within_key
 
 KEY = "establishment_id"
 LATEST_FIELDS = ["dba_name", "aka_name", "address", "zip", "facility_type", "risk",
@@ -54,13 +55,20 @@ def scoring_input(inspections: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -
             .withColumn("type_weight", type_weight(F.col("inspection_type"), cfg)))
 
 
-def inspection_order(inspections: DataFrame) -> DataFrame:
+def newest_first() -> list[Column]:
+    """Newest inspection first; the id breaks same-day ties (a total order per key)."""
+    return [F.col("inspection_date").desc(), F.col("inspection_id").desc()]
+
+
+def inspection_order(inspections: DataFrame, hot_threshold: int = HOT_THRESHOLD) -> DataFrame:
     """R2: position of each inspection inside its establishment, newest = 1.
 
     Ties on the date are broken by ``inspection_id`` so the order is total.
+    Establishments above ``hot_threshold`` inspections are ranked through a
+    distributed global index instead of a single-task window.
     """
-    w = Window.partitionBy(KEY).orderBy(F.col("inspection_date").desc(), F.col("inspection_id").desc())
-    return inspections.filter(F.col(KEY).isNotNull()).withColumn("recency_rank", F.row_number().over(w))
+    return rank_within_key(inspections.filter(F.col(KEY).isNotNull()), KEY, newest_first(),
+                           "recency_rank", hot_threshold)
 
 
 def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -84,8 +92,13 @@ def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAU
 
 
 def recent_rows(scored_in: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The newest ``trend_window`` inspections per key (rank 1 = latest)."""
-    ranked = inspection_order(scored_in)
+    """The newest ``trend_window`` inspections per key (rank 1 = latest).
+
+    A rank *filter*: Spark limits each key to ``trend_window`` rows per map
+    task before the shuffle (partial ``WindowGroupLimit``), so hot keys are safe.
+    """
+    w = Window.partitionBy(KEY).orderBy(*newest_first())
+    ranked = scored_in.filter(F.col(KEY).isNotNull()).withColumn("recency_rank", F.row_number().over(w))
     return ranked.filter(F.col("recency_rank") <= cfg.trend_window)
 
 

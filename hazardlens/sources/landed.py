@@ -17,34 +17,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import PAGE_SIZE
+from ..operators.ordering import global_row_index
 from ..schemas import RAW
 
-_LOW_BITS = (1 << 33) - 1   # monotonically_increasing_id: partition id << 33 | row index
-
-
 def assign_pages(df: DataFrame, page_size: int = PAGE_SIZE,
                  order: Sequence[str] = ("inspection_id", "ingest_seq")) -> DataFrame:
-    """Add ``row_index`` (0-based, global order) and ``page_no`` to every row.
-
-    The sorted, id-tagged frame is checkpointed to the shared checkpoint
-    folder so the count pass and the tagging pass see identical partitions.
-    """
-    ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    part = (F.col("_mid") / F.lit(1 << 33)).cast("long")
-    sizes = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a bounded frame, so the prefix-sum window and the broadcast are safe.
-    offsets = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
-    out = (tagged.withColumn("_part", part)
-           .join(F.broadcast(offsets), "_part")
-           .withColumn("row_index", F.col("_offset") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
-           .withColumn("page_no", F.floor(F.col("row_index") / F.lit(page_size)).cast("long")))
-    return out.drop("_mid", "_part", "_offset")
+    """Add ``row_index`` (0-based, global order) and ``page_no`` to every row."""
+    indexed = global_row_index(df, [F.col(c).asc_nulls_first() for c in order])
+    return indexed.withColumn("page_no", F.floor(F.col("row_index") / F.lit(page_size)).cast("long"))
 
 
 def page_summary(paged: DataFrame) -> DataFrame:

@@ -1,7 +1,6 @@
 """Hand goldens for the violation-text signals (codes, tiers, keywords, severity)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import raw_rows, record
 from hazardlens.operators.signals import parse_violations, severity_stats, signal_totals

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from bruteforce import score_groups
@@ -57,8 +56,7 @@ def test_scoring_plan_shape(spark):
 
 def test_top_k_plan(spark):
     insp = parse_violations(clean(raw_inspections(spark, SF_SMALL)))
-    plan = spark.sparkContext._jvm is not None and top_riskiest(risk_scores(insp, AS_OF), 10)._jdf \
-        .queryExecution().sparkPlan().toString()
+    plan = top_riskiest(risk_scores(insp, AS_OF), 10)._jdf.queryExecution().sparkPlan().toString()
     assert "TakeOrderedAndProject" in plan
 
 
@@ -69,3 +67,15 @@ def test_scan_pruning(spark):
     # only the needed order columns are read
     orders_scan = [line for line in plan.split("\n") if "orders.parquet" in line]
     assert all("o_totalprice" not in line for line in orders_scan)
+
+
+def test_rank_within_key_hot_path_matches_window(spark):
+    from pyspark.sql import Window
+    from hazardlens.operators.scoring import inspection_order, newest_first
+    insp = parse_violations(clean(_hot(spark)))
+    w = Window.partitionBy("establishment_id").orderBy(*newest_first())
+    ref = {(r.inspection_id, r.recency_rank) for r in
+           insp.withColumn("recency_rank", F.row_number().over(w)).select("inspection_id", "recency_rank").collect()}
+    got_rows = inspection_order(insp, hot_threshold=20).select("inspection_id", "recency_rank").collect()
+    assert len(got_rows) == len(ref)
+    assert {(r.inspection_id, r.recency_rank) for r in got_rows} == ref

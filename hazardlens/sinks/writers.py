@@ -71,3 +71,18 @@ def bucketed_inspections(inspections: DataFrame, table: str, path: str | None =
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
+
+
+def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+                batchsize: int = 5_000, partitions: int | None = None) -> None:
+    """K5/K6 into a database table: sink types, ``batchsize``-row inserts, parallel writers.
+
+    Each task opens its own connection and inserts its partition in batches;
+    ``partitions`` caps the number of concurrent connections. (Needs a
+    reachable database; none is started by this repository or its tests.)
+    """
+    out = to_sink_schema(df)
+    if partitions:
+        out = out.coalesce(partitions)
+    (out.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
+     .option("batchsize", batchsize).options(**(properties or {})).save())

@@ -30,8 +30,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def table_or_path(spark: SparkSession, table: str | None, path: str | None,
-                  schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Catalog table if it exists, else files at ``path``, else an empty frame."""
+                  schema: T.StructType, fmt: str = "parquet", jdbc_url: str | None = None,
+                  jdbc_properties: dict | None = None) -> DataFrame:
+    """Database table (if ``jdbc_url`` is given and reachable), else catalog
+    table, else files at ``path``, else an empty frame with ``schema``."""
+    if jdbc_url and table:
+        try:
+            df = (spark.read.format("jdbc").option("url", jdbc_url).option("dbtable", table)
+                  .options(**(jdbc_properties or {})).load())
+            df.schema  # forces the connection / metadata lookup
+            return df
+        except Exception:  # noqa: BLE001 - unreachable database falls back to files
+            pass
     if table and spark.catalog.tableExists(table):
         return spark.table(table)
     if path:

@@ -42,7 +42,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
 
 
 def _rebuild(spark: SparkSession, raw_dir: str, out_dir: str, as_of, cfg: ScoringConfig, batch_id: int) -> None:
-    raw = spark.read.schema(RAW).parquet(raw_dir)
+    raw = spark.read.parquet(raw_dir).select(RAW.fieldNames())
     inspections, scores = transform(raw, as_of, cfg)
     target = f"{out_dir.rstrip('/')}/batch={batch_id:010d}"
     write_parquet(inspections.drop("kw_found"), f"{target}/inspections")

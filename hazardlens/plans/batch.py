@@ -17,7 +17,7 @@ from ..operators.clean import clean
 from ..operators.explore import explore_report, explore_sample
 from ..operators.scoring import risk_scores
 from ..operators.signals import parse_violations
-from ..sinks.writers import write_parquet
+from ..sinks.writers import clustered_scores, write_parquet
 
 
 @dataclass
@@ -39,7 +39,7 @@ def run_transform(spark: SparkSession, raw: DataFrame, as_of, out_dir: str | Non
 
     In ``score`` mode with ``out_dir`` the inspections (without ``kw_found``)
     are written, the scores are computed from that written table and written
-    next to it.
+    next to it, clustered by ZIP and score (K8).
     """
     inspections = parse_violations(clean(raw, cfg), cfg=cfg)
     if mode == "explore":
@@ -49,6 +49,5 @@ def run_transform(spark: SparkSession, raw: DataFrame, as_of, out_dir: str | Non
     base = out_dir.rstrip("/")
     write_parquet(inspections.drop("kw_found"), f"{base}/inspections")
     stored = spark.read.parquet(f"{base}/inspections")
-    scores = risk_scores(stored, as_of, cfg)
-    write_parquet(scores, f"{base}/risk_scores")
+    clustered_scores(risk_scores(stored, as_of, cfg), f"{base}/risk_scores")
     return TransformResult(stored, spark.read.parquet(f"{base}/risk_scores"))

@@ -48,14 +48,18 @@ def append_table(df: DataFrame, path: str) -> None:
     to_sink_schema(df).write.mode("append").parquet(path)
 
 
-def clustered_scores(scores: DataFrame, path: str, n_files: int = 8) -> None:
-    """K8: scores laid out by ZIP ranges, each file sorted by score descending.
+def clustered_scores(scores: DataFrame, path: str, n_files: int | None = None) -> None:
+    """K8: scores laid out by ZIP ranges, each ZIP's rows sorted by score descending.
 
     Parquet min/max statistics then let ZIP filters and score-range filters
-    skip whole files/row groups — the file-layout analogue of the indexes.
+    skip whole files / row groups — the file-layout analogue of the indexes.
+    The range key continues past the ZIP (score, key), so one ZIP holding a
+    large share of establishments is still split over several files.
     """
-    (scores.repartitionByRange(n_files, "zip")
-     .sortWithinPartitions(F.col("dynamic_risk_score").desc(), "establishment_id")
+    n = n_files or int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("zip").asc_nulls_last(), F.col("dynamic_risk_score").desc(), F.col("establishment_id")]
+    (scores.repartitionByRange(n, *order)
+     .sortWithinPartitions(*order)
      .write.mode("overwrite").parquet(path))
 
 

@@ -70,8 +70,22 @@ def union_pages(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+TAKE_ORDERED_MAX_ROWS = 1_000_000
+
+
 def ordered_page(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE,
                  order: Sequence[str] = ("inspection_id", "ingest_seq")) -> DataFrame:
-    """S3: one page under the stable order (offset + limit)."""
-    return (df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-            .offset(page_no * page_size).limit(page_size))
+    """S3: one page under the stable order.
+
+    Shallow pages use ``orderBy().offset().limit()`` (take-ordered: every
+    task keeps ``offset + limit`` rows, one task merges them). Beyond
+    ``TAKE_ORDERED_MAX_ROWS`` that merge would not fit one task, so deep
+    pages are cut from the distributed global row index instead.
+    """
+    cols = [F.col(c).asc_nulls_first() for c in order]
+    if (page_no + 1) * page_size <= TAKE_ORDERED_MAX_ROWS:
+        return df.orderBy(*cols).offset(page_no * page_size).limit(page_size)
+    lo = page_no * page_size
+    indexed = global_row_index(df, cols)
+    return (indexed.filter((F.col("row_index") >= lo) & (F.col("row_index") < lo + page_size))
+            .orderBy("row_index").drop("row_index"))

@@ -59,3 +59,11 @@ def test_source_fallback(spark):
     assert empty.count() == 0 and empty.schema == SCORES
     missing = SF.table_or_path(spark, None, "/tmp/definitely/not/here", SCORES)
     assert missing.count() == 0
+
+
+def test_deep_page_uses_global_index(spark, monkeypatch):
+    raw = raw_inspections(spark, SF_SMALL)
+    shallow = [tuple(r) for r in L.ordered_page(raw, 3, 100).select("inspection_id", "ingest_seq").collect()]
+    monkeypatch.setattr(L, "TAKE_ORDERED_MAX_ROWS", 10)
+    deep = [tuple(r) for r in L.ordered_page(raw, 3, 100).select("inspection_id", "ingest_seq").collect()]
+    assert shallow == deep and len(deep) == 100

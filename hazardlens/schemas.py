@@ -75,12 +75,6 @@ def ensure_columns(df: DataFrame, schema: T.StructType, defaults: dict | None =
     return df.select("*", *extra) if extra else df
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: same names, same order, same types."""
-    df = ensure_columns(df, schema)
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def to_sink_schema(df: DataFrame) -> DataFrame:
     """Narrow doubles to float and longs to int, as the database tables store them."""
     cols: list[Column] = []

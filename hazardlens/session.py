@@ -43,13 +43,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     on the SparkContext). Only when neither is set — local tests — a fresh
     directory is created and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
+    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="hazardlens-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    return sc.getCheckpointDir() or root
+    return (sc.getCheckpointDir() if sc else None) or root
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -68,7 +71,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     ``keys`` (deterministic on retry, no pre-sort; pass the key of the next
     aggregation so that exchange is reused), else round-robin.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API on this session: leave the plan as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -1,0 +1,44 @@
+"""Property test: the Spark text signals equal a plain-Python statement of the rules."""
+
+import math
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import raw_rows, record
+from hazardlens.config import KEYWORD_TIERS
+from hazardlens.operators.signals import parse_violations
+
+CODE_RE = re.compile(r"(?:^|\|)\s*([0-9]{1,2})\.\s")
+PIECES = ["1", "7", "14", "15", "29", "30", "44", "45", "70", "99", "0", ".", ". ", "|", " | ", "\n", "\t",
+          " ", " ", "x", "A", "-", "Rat", "rats", "MICE", "e. coli", "cold holding", "pest", "icide",
+          "cockroach", "es", "temperature", "fly", "hair net", "wall", "floor", "label", "ing"]
+texts = st.lists(st.sampled_from(PIECES), min_size=0, max_size=30).map("".join)
+
+
+def expected(text: str) -> dict:
+    codes = [int(m) for m in CODE_RE.findall(text)]
+    codes = [n for n in codes if 1 <= n <= 44 or n == 70]
+    tiers = (sum(1 <= n <= 14 for n in codes), sum(15 <= n <= 29 for n in codes),
+             sum(30 <= n <= 44 or n == 70 for n in codes))
+    low = text.lower()
+    found = {t: [k for k in ks if k in low] for t, ks in KEYWORD_TIERS.items()}
+    raw = (3 * tiers[0] + 2 * tiers[1] + tiers[2]
+           + 3 * len(found["critical"]) + 2 * len(found["major"]) + len(found["minor"])) / 2.0
+    sev = round(min(100.0 * (1.0 - math.exp(-raw / 10.0)), 100.0), 2)
+    return {"codes": codes, "tiers": tiers, "found": found["critical"] + found["major"] + found["minor"],
+            "sev": sev}
+
+
+@settings(max_examples=25, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(texts, min_size=1, max_size=40))
+def test_signals_match_python_rules(spark, batch):
+    rows = [record(inspection_id=str(i), violations=t) for i, t in enumerate(batch)]
+    got = {r.inspection_id: r for r in parse_violations(raw_rows(spark, rows)).collect()}
+    for i, t in enumerate(batch):
+        e, g = expected(t), got[str(i)]
+        assert g.violation_codes == e["codes"], t
+        assert (g.n_critical, g.n_serious, g.n_minor) == e["tiers"], t
+        assert g.kw_found == e["found"], t
+        assert g.violation_severity == e["sev"], t

@@ -32,6 +32,7 @@ from . import oracle as O
 from .batch import run_transform
 
 AS_OF = O.AS_OF
+AS_OF_PAST = "2000-01-01 00:00:00"   # second clock: failures after it give negative day counts
 PAGE_SIZE_TEST = 5_000
 # Dashboard parameters used by the registered serving queries.
 RANGE_LO, RANGE_HI = 40.0, 60.0
@@ -44,11 +45,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, as_of: str = AS_OF):
     def deco(fn):
         _QUERIES[name] = fn
         if sql is not None:
-            _SQL[name] = O.with_chain(sql)
+            _SQL[name] = O.with_chain(sql, as_of)
         return fn
     return deco
 
@@ -437,6 +438,18 @@ def recency(spark, sf):
                                    round1("recency").alias("recency_score"))
 
 
+@register("recency_past", f"SELECT establishment_id, CAST(days_since_failure AS DOUBLE) AS days_since_failure, "
+                          f"{O.round1('recency')} AS recency_score, {O.round1(f'greatest(0.0, least(100.0, composite))')} "
+                          f"AS dynamic_risk_score FROM components", as_of=AS_OF_PAST)
+def recency_past(spark, sf):
+    """R6/R9 with the clock before the last inspections: negative days, recency above 100."""
+    from ..functions.numeric import clamp, round1
+    c = R.components(_insp(spark, sf), AS_OF_PAST)
+    return c.select("establishment_id", F.col("days_since_failure").cast("double"),
+                    round1("recency").alias("recency_score"),
+                    round1(clamp(F.col("composite"), 0.0, 100.0)).alias("dynamic_risk_score"))
+
+
 @register("mean_severity", f"SELECT establishment_id, severity AS severity_mean, "
                            f"{O.round1('severity')} AS violation_severity_score FROM components")
 def mean_severity(spark, sf):

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ``trim`` only removes spaces; the published rule strips any whitespace.
-_STRIP_RE = r"(?U)^\s+|\s+$"
+# ``trim`` only removes spaces; the published rule strips every character
+# Python's ``str.strip()`` treats as whitespace. The set is derived from that
+# rule (29 code points, including U+001C..U+001F which Java's ``\s`` lacks).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 _ISO_DATE_PREFIX = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
@@ -16,7 +18,7 @@ def col_(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Remove leading/trailing whitespace (Unicode aware); null stays null."""
-    return F.regexp_replace(col_(c), _STRIP_RE, "")
+    return F.btrim(col_(c), F.lit(WHITESPACE))
 
 
 def norm(c: str | Column) -> Column:

@@ -19,8 +19,16 @@ def q(s: str | None) -> str:
     return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
 
 
+def _ws_chars() -> str:
+    from ..functions.text import WHITESPACE
+    return "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
+
+
+_WS = _ws_chars()
+
+
 def strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"trim({x}, {_WS})"
 
 
 def d(x: float) -> str:

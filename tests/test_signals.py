@@ -59,3 +59,11 @@ def test_no_python_udf_in_plan(spark):
     df = parse_violations(raw_rows(spark, [record(violations="1. x")]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_strip_matches_python(spark):
+    from hazardlens.functions.text import strip
+    samples = ["  a b  ", "\x1c\x1dx\x1e\x1f", " y　", "\t\n\x0b\x0cz\r", "", "   ", "​q​"]
+    df = spark.createDataFrame([(s,) for s in samples] + [(None,)], "t string")
+    got = [r.s for r in df.select(strip("t").alias("s")).collect()]
+    assert got == [s.strip() for s in samples] + [None]

@@ -22,12 +22,14 @@ from ..operators import profiling as P
 from ..operators import scoring as R
 from ..operators import serving as D
 from ..operators.signals import parse_violations, severity_stats, signal_totals
-from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, RAW, SCORES
+from ..functions.numeric import clamp, round1
+from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, RAW, SCORES, to_sink_schema
 from ..session import staging_path
 from ..sinks import writers as K
 from ..sources import files as SF
 from ..sources import landed as L
 from ..sources.fixtures import documents_text, raw_inspections
+from ..streaming.refresh import latest_output, start_refresh
 from . import oracle as O
 from .batch import run_transform
 
@@ -245,7 +247,6 @@ def clustered_write(spark, sf):
 
 @register("sink_schema", f"SELECT {_sink_cols(SCORES.fieldNames(), _FLOAT_SCORES)} FROM risk_scores")
 def sink_schema(spark, sf):
-    from ..schemas import to_sink_schema
     return to_sink_schema(_scores(spark, sf))
 
 
@@ -419,7 +420,6 @@ def inspection_order(spark, sf):
 @register("failure_rate", f"SELECT establishment_id, weighted_failures, total_weight, "
                           f"{O.round1('failure_rate')} AS failure_rate_score FROM components")
 def failure_rate(spark, sf):
-    from ..functions.numeric import round1
     return _comp(spark, sf).select("establishment_id", "weighted_failures", "total_weight",
                                    round1("failure_rate").alias("failure_rate_score"))
 
@@ -433,7 +433,6 @@ def last_failure(spark, sf):
                      f"{O.round1('recency')} AS recency_score "
                      f"FROM components")
 def recency(spark, sf):
-    from ..functions.numeric import round1
     return _comp(spark, sf).select("establishment_id", F.col("days_since_failure").cast("double"),
                                    round1("recency").alias("recency_score"))
 
@@ -443,7 +442,6 @@ def recency(spark, sf):
                           f"AS dynamic_risk_score FROM components", as_of=AS_OF_PAST)
 def recency_past(spark, sf):
     """R6/R9 with the clock before the last inspections: negative days, recency above 100."""
-    from ..functions.numeric import clamp, round1
     c = R.components(_insp(spark, sf), AS_OF_PAST)
     return c.select("establishment_id", F.col("days_since_failure").cast("double"),
                     round1("recency").alias("recency_score"),
@@ -453,7 +451,6 @@ def recency_past(spark, sf):
 @register("mean_severity", f"SELECT establishment_id, severity AS severity_mean, "
                            f"{O.round1('severity')} AS violation_severity_score FROM components")
 def mean_severity(spark, sf):
-    from ..functions.numeric import round1
     return _comp(spark, sf).select("establishment_id", F.col("severity").alias("severity_mean"),
                                    round1("severity").alias("violation_severity_score"))
 
@@ -461,7 +458,6 @@ def mean_severity(spark, sf):
 @register("trend", f"SELECT establishment_id, n, recent_avg, overall_avg, {O.round1('trend')} AS trend_score "
                    f"FROM components")
 def trend(spark, sf):
-    from ..functions.numeric import round1
     return _comp(spark, sf).select("establishment_id", "n", "recent_avg", "overall_avg",
                                    round1("trend").alias("trend_score"))
 
@@ -728,7 +724,6 @@ def explore_mode(spark, sf):
 @register("streaming_refresh", f"SELECT {SCORE_COLS} FROM risk_scores")
 def streaming_refresh(spark, sf):
     """Pages land in two drops; the file stream refreshes the tables after each."""
-    from ..streaming.refresh import latest_output, start_refresh
     raw = _raw(spark, sf)
     landing = staging_path(spark, "landing")
     raw_dir, out_dir, ckpt = (staging_path(spark, n) for n in ("stream-raw", "stream-out", "stream-ckpt"))

@@ -80,9 +80,10 @@ def violation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw landed records (all text + ``ingest_seq``), derived from the tables."""
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
-    orders = table(spark, sf_dir, "orders").select(cols)
-    ords = orders.withColumn("ingest_seq", F.lit(0).cast("long")).unionByName(
-        orders.filter(F.col("o_orderkey") % DUPLICATE_EVERY == 0).withColumn("ingest_seq", F.lit(1).cast("long")))
+    # Every order lands once (ingest_seq 0); every DUPLICATE_EVERY-th is re-sent later (1).
+    copies = (F.when(F.col("o_orderkey") % DUPLICATE_EVERY == 0, F.array(F.lit(0), F.lit(1)))
+              .otherwise(F.array(F.lit(0))).cast("array<bigint>"))
+    ords = table(spark, sf_dir, "orders").select(*cols, F.explode(copies).alias("ingest_seq"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     viol = violation_text(spark, sf_dir)

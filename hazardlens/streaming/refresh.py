@@ -6,16 +6,19 @@ refresh runs as a Structured Streaming query over the landing folder:
 * new page files are picked up by the JSON file source (explicit schema,
   ``multiLine`` arrays), with progress kept in the query checkpoint, so a
   restarted or retried job never re-reads or skips a page;
-* ``foreachBatch`` appends the batch to the raw table and then rebuilds the
-  inspections and scores tables from *all* raw records into a folder named
-  after the batch id. A retried batch overwrites its own folder, so the
-  output is exactly-once; readers take the highest complete batch folder.
-
-A full rebuild (rather than rescoring only touched establishments) is the
-right unit: recency decays with the clock, so every score moves whenever
-``as_of`` does, and a re-sent record may change an establishment key.
-``Trigger.AvailableNow`` processes what has landed and stops — the
-streaming equivalent of the scheduled run.
+* ``foreachBatch`` cleans and parses **only the new records** (the text
+  stage is the dominant CPU cost) and appends them to a ``parsed`` table
+  partitioned by batch id — a retried batch overwrites just its own
+  partition, so the append is exactly-once;
+* it then rebuilds the inspections table from all parsed rows (keep-last per
+  ``inspection_id`` by ``ingest_seq``; ``ingest_seq`` is unique per landed
+  record) and recomputes the scores from it, into a folder named after the
+  batch id with a completion marker; readers take the newest complete one.
+
+Scores are recomputed for every establishment on each refresh: recency
+decays with the clock, so every score moves whenever ``as_of`` does.
+``Trigger.AvailableNow`` processes what has landed and stops — the streaming
+equivalent of the scheduled run.
 """
 
 from __future__ import annotations
@@ -25,9 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
-from ..plans.batch import transform
+from ..operators.clean import clean, dedup_keep_last
+from ..operators.scoring import risk_scores
+from ..operators.signals import parse_violations
 from ..schemas import RAW
-from ..sinks.writers import write_parquet
+from ..sinks.writers import clustered_scores, write_parquet
 
 DONE_MARKER = "_BATCH_COMPLETE"
 
@@ -41,29 +46,35 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     return reader.json(landing_dir).select(RAW.fieldNames())
 
 
-def _rebuild(spark: SparkSession, raw_dir: str, out_dir: str, as_of, cfg: ScoringConfig, batch_id: int) -> None:
-    raw = spark.read.parquet(raw_dir).select(RAW.fieldNames())
-    inspections, scores = transform(raw, as_of, cfg)
+def _rebuild(spark: SparkSession, parsed_dir: str, out_dir: str, as_of, cfg: ScoringConfig, batch_id: int) -> None:
+    parsed = spark.read.parquet(parsed_dir).drop("_batch")
+    inspections = dedup_keep_last(parsed)          # a re-sent record supersedes earlier batches
     target = f"{out_dir.rstrip('/')}/batch={batch_id:010d}"
     write_parquet(inspections.drop("kw_found"), f"{target}/inspections")
     stored = spark.read.parquet(f"{target}/inspections")
-    from ..operators.scoring import risk_scores
-    write_parquet(risk_scores(stored, as_of, cfg), f"{target}/risk_scores")
+    clustered_scores(risk_scores(stored, as_of, cfg), f"{target}/risk_scores")
     spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").json(f"{target}/{DONE_MARKER}")
 
 
 def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir: str, checkpoint_dir: str,
                   as_of, cfg: ScoringConfig = DEFAULT_CONFIG, available_now: bool = True,
                   processing_time: str | None = None):
-    """Start the refresh query; returns the ``StreamingQuery``."""
+    """Start the refresh query; returns the ``StreamingQuery``.
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # Idempotent append: the rows of a batch carry its id, and a retry first
-        # replaces any partial output of the same batch id.
-        (batch.withColumn("_batch", F.lit(batch_id))
+    ``raw_dir`` receives the landed records (kept for audit) and, under
+    ``raw_dir/_parsed``, the cleaned + parsed rows of every batch.
+    """
+    parsed_dir = f"{raw_dir.rstrip('/')}/_parsed"
+
+    def append(df: DataFrame, path: str, batch_id: int) -> None:
+        (df.withColumn("_batch", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch").parquet(raw_dir))
-        _rebuild(batch.sparkSession, raw_dir, out_dir, as_of, cfg, batch_id)
+         .partitionBy("_batch").parquet(path))
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        append(batch, f"{raw_dir.rstrip('/')}/_landed", batch_id)
+        append(parse_violations(clean(batch, cfg), cfg=cfg), parsed_dir, batch_id)
+        _rebuild(batch.sparkSession, parsed_dir, out_dir, as_of, cfg, batch_id)
 
     writer = landing_stream(spark, landing_dir).writeStream.foreachBatch(on_batch) \
         .option("checkpointLocation", checkpoint_dir)

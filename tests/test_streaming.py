@@ -1,6 +1,7 @@
 """Refresh-on-arrival stream: output equals the batch transform of everything landed."""
 
 from conftest import AS_OF, SF_SMALL
+from hazardlens.operators.clean import clean
 from hazardlens.plans.batch import transform
 from hazardlens.session import staging_path
 from hazardlens.sources import landed as L
@@ -32,4 +33,7 @@ def test_refresh_on_arrival(spark):
     exp_insp, expect2 = transform(raw, AS_OF)
     assert _rows(scores2) == _rows(expect2.select(scores2.columns))
     assert insp2.count() == exp_insp.count()
-    assert spark.read.parquet(raw_dir).count() == raw.count()
+    assert spark.read.parquet(f"{raw_dir}/_landed").count() == raw.count()
+    # each batch parsed only its own records
+    parsed = spark.read.parquet(f"{raw_dir}/_parsed")
+    assert parsed.filter("_batch = 1").count() == clean(raw.filter("ingest_seq = 1")).count()

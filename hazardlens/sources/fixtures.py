@@ -34,7 +34,7 @@ DUPLICATE_EVERY = 50
 VIOLATION_SEPARATOR = " | "
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,13 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     Listing and footer/schema resolution happen once; every query still
     scans the files when it runs. This plays the role of a catalog's cached
-    table metadata.
+    table metadata. A different session gets its own relation.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    rel = _RELATIONS.get(key)
-    if rel is None:
-        rel = _RELATIONS[key] = spark.read.parquet(path)
+    hit = _RELATIONS.get(path)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    rel = spark.read.parquet(path)
+    _RELATIONS[path] = (spark, rel)
     return rel
 
 

@@ -79,3 +79,26 @@ def test_rank_within_key_hot_path_matches_window(spark):
     got_rows = inspection_order(insp, hot_threshold=20).select("inspection_id", "recency_rank").collect()
     assert len(got_rows) == len(ref)
     assert {(r.inspection_id, r.recency_rank) for r in got_rows} == ref
+
+
+def test_hot_duplicate_group_dedup(spark):
+    """A third of all records are re-sent copies of one id: the newest usable copy survives."""
+    from hazardlens.operators.clean import dedup_keep_last
+    raw = raw_inspections(spark, SF_SMALL)
+    is_hot = F.col("inspection_id").cast("long") % 3 == 0
+    # the copies were re-sent in order of their original id (a deterministic, unique landing order)
+    hot = raw.select(*[F.when(is_hot, F.lit("X")).otherwise(F.col(c)).alias(c) if c == "inspection_id" else
+                       F.when(is_hot, F.col("inspection_id").cast("long") * 2 + F.col("ingest_seq")).otherwise(F.col(c))
+                       .alias(c) if c == "ingest_seq" else F.col(c) for c in raw.columns])
+    cleaned = clean(hot)
+    survivor = cleaned.filter("inspection_id = 'X'").collect()
+    assert len(survivor) == 1
+    usable_x = hot.filter("inspection_id = 'X'")
+    best = dedup_keep_last(clean_usable_only(usable_x)).collect()[0]
+    assert survivor[0].ingest_seq == best.ingest_seq
+    assert "partial_max" in _plan(cleaned)       # copies collapse map-side before the exchange
+
+
+def clean_usable_only(df):
+    from hazardlens.operators.clean import drop_bad_dates, normalize_results, parse_dates
+    return normalize_results(drop_bad_dates(parse_dates(df)))

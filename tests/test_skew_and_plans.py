@@ -102,3 +102,13 @@ def test_hot_duplicate_group_dedup(spark):
 def clean_usable_only(df):
     from hazardlens.operators.clean import drop_bad_dates, normalize_results, parse_dates
     return normalize_results(drop_bad_dates(parse_dates(df)))
+
+
+def test_history_plan_is_bounded(spark):
+    from hazardlens.operators import serving as D
+    insp = parse_violations(clean(raw_inspections(spark, SF_SMALL)))
+    hist = D.inspection_history(D.search_top(risk_scores(insp, AS_OF), "customer#00000", 20), insp, 10)
+    plan = hist._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" in plan               # newest 10 per key, limited before the shuffle
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan   # only the <= 20 matched keys are broadcast
+    assert hist.groupBy("establishment_id").count().agg(F.max("count")).collect()[0][0] <= 10

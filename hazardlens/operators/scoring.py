@@ -50,7 +50,7 @@ def type_weight(inspection_type: Column, cfg: ScoringConfig = DEFAULT_CONFIG) ->
 
 
 def scoring_input(inspections: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
-    """R1 + R3: rows with a key, plus the type weight and exact score."""
+    """R1 + R3: rows with a key, plus their inspection-type weight."""
     return (inspections.filter(F.col(KEY).isNotNull())
             .withColumn("type_weight", type_weight(F.col("inspection_type"), cfg)))
 

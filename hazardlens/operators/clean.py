@@ -105,6 +105,7 @@ def clean(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     exchange (rows that can never survive are dropped before they are
     shuffled), then one projection for all row-wise normalisation.
     """
+    has_id = "inspection_id" in raw.columns     # the dedup is skipped when there is no id column
     df = ensure_columns(raw, RAW)
     others = [c for c in df.columns if c not in ("inspection_date", "results")]
     parsed = df.select(*others, safe_timestamp("inspection_date").alias("inspection_date"),
@@ -112,7 +113,7 @@ def clean(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     usable = (parsed.filter(F.col("inspection_date").isNotNull() & F.col("results").isin(cfg.usable_results))
               .withColumn("result_score", result_score(F.col("results"), cfg))
               .select(*df.columns, "result_score"))
-    d = dedup_keep_last(usable)
+    d = dedup_keep_last(usable) if has_id else usable
     lic = strip("license_")
     name, addr = strip("dba_name"), strip("address")
     replaced = {

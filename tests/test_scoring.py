@@ -133,3 +133,26 @@ def test_recency_shift_by_half_life(spark):
     a = components(df, "2001-06-01 00:00:00").collect()[0].recency
     b = components(df, "2001-11-28 00:00:00").collect()[0].recency
     assert b == pytest.approx(a * math.exp(-0.693), rel=1e-12)
+
+
+def test_minimal_raw_columns(spark):
+    """Only the required columns: optional text becomes null, no id means no dedup."""
+    rows = [("  A ", "1 N ST", "L1", "2001-08-01T00:00:00.000", "Canvass", "Fail", "3. x"),
+            ("  A ", "1 N ST", "L1", "2001-08-01T00:00:00.000", "Canvass", "Fail", "3. x"),
+            ("B", "2 N ST", None, "2001-07-01", "Complaint", "Pass", None)]
+    raw = spark.createDataFrame(rows, "dba_name string, address string, license_ string, inspection_date string, "
+                                      "inspection_type string, results string, violations string")
+    out = parse_violations(clean(raw))
+    assert out.count() == 3                       # identical rows are kept: there is no id to dedup on
+    r = out.filter("establishment_id = 'L1'").first()
+    assert r.aka_name is None and r.zip is None and r.latitude is None and r.n_critical == 1
+    scores = {x.establishment_id: x for x in risk_scores(out, AS_OF).collect()}
+    assert scores["L1"].total_inspections == 2 and scores["b|2 n st"].total_passes == 1
+
+
+def test_date_formats(spark):
+    rows = [record(inspection_id=str(i), inspection_date=d) for i, d in enumerate(
+        ["2010-01-04T00:00:00.000", "2010-01-04", " 2010-01-04 10:30:00 ", "01/04/2010", "2010", "12:30", None])]
+    got = {r.inspection_id: r.inspection_date for r in clean(raw_rows(spark, rows)).collect()}
+    assert sorted(got) == ["0", "1", "2"]
+    assert str(got["2"]) == "2010-01-04 10:30:00"

@@ -141,6 +141,7 @@ def clean_report(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFra
     bad_dates / unusable_results / remaining come from one pass over the raw
     rows; duplicates = remaining - distinct ids after the filters.
     """
+    has_id = "inspection_id" in raw.columns
     df = ensure_columns(raw, RAW)
     d = safe_timestamp("inspection_date")
     r = norm("results")
@@ -152,7 +153,7 @@ def clean_report(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFra
         F.count_if(d.isNotNull() & F.coalesce(usable, F.lit(False))).alias("remaining"),
         F.count_distinct(F.when(d.isNotNull() & F.coalesce(usable, F.lit(False)),
                                 F.coalesce(F.col("inspection_id"), F.lit("\u0000null")))).alias("_distinct"),
-    ).withColumn("duplicates", F.col("remaining") - F.col("_distinct"))
+    ).withColumn("duplicates", F.col("remaining") - F.col("_distinct") if has_id else F.lit(0).cast("long"))
     metrics = ["raw_rows", "bad_dates", "unusable_results", "remaining", "duplicates"]
     stacked = ", ".join(f"'{m}', {m}" for m in metrics)
     return stats.selectExpr(f"stack({len(metrics)}, {stacked}) AS (metric, n)")

@@ -156,3 +156,12 @@ def test_date_formats(spark):
     got = {r.inspection_id: r.inspection_date for r in clean(raw_rows(spark, rows)).collect()}
     assert sorted(got) == ["0", "1", "2"]
     assert str(got["2"]) == "2010-01-04 10:30:00"
+
+
+def test_clean_report_without_ids(spark):
+    from hazardlens.operators.clean import clean_report
+    raw = spark.createDataFrame([("A", "1 N ST", "L", "2001-01-01", "x", "Pass", "")] * 3,
+                                "dba_name string, address string, license_ string, inspection_date string, "
+                                "inspection_type string, results string, violations string")
+    rep = {r.metric: r.n for r in clean_report(raw).collect()}
+    assert rep["remaining"] == 3 and rep["duplicates"] == 0

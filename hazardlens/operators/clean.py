@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..functions.text import norm, safe_double, safe_timestamp, strip
-from ..schemas import RAW, ensure_columns
+from ..schemas import RAW, RAW_REQUIRED, ensure_columns
 
 KEY_SEPARATOR = "|"
 
@@ -105,6 +105,9 @@ def clean(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     exchange (rows that can never survive are dropped before they are
     shuffled), then one projection for all row-wise normalisation.
     """
+    missing = [c for c in RAW_REQUIRED if c not in raw.columns]
+    if missing:
+        raise ValueError(f"raw records lack required column(s): {', '.join(missing)}")
     has_id = "inspection_id" in raw.columns     # the dedup is skipped when there is no id column
     df = ensure_columns(raw, RAW)
     others = [c for c in df.columns if c not in ("inspection_date", "results")]

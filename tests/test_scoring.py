@@ -165,3 +165,9 @@ def test_clean_report_without_ids(spark):
                                 "inspection_type string, results string, violations string")
     rep = {r.metric: r.n for r in clean_report(raw).collect()}
     assert rep["remaining"] == 3 and rep["duplicates"] == 0
+
+
+def test_missing_required_column_fails(spark):
+    raw = spark.createDataFrame([("A", "2001-01-01")], "dba_name string, inspection_date string")
+    with pytest.raises(ValueError, match="results"):
+        clean(raw)

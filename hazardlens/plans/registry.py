@@ -209,6 +209,18 @@ def refresh_tables(spark, sf):
     return P.verify_counts(spark.read.parquet(ip), spark.read.parquet(sp))
 
 
+@register("catalog_scan", f"SELECT {_sink_cols(SCORES.fieldNames(), _FLOAT_SCORES)} FROM risk_scores "
+                          "WHERE establishment_id IS NOT NULL")
+def catalog_scan(spark, sf):
+    """K4 into catalog tables, then S7: ``SELECT * FROM risk_scores`` through the catalog."""
+    import uuid
+    suffix = uuid.uuid4().hex[:8]
+    insp = _insp(spark, sf)
+    K.refresh_catalog_tables(insp, R.risk_scores(insp, AS_OF), f"hazardlens_inspections_{suffix}",
+                             f"hazardlens_risk_scores_{suffix}", staging_path(spark, "catalog"))
+    return spark.table(f"hazardlens_risk_scores_{suffix}")
+
+
 @register("load_inspections", f"SELECT {_sink_cols(INSPECTION_COLUMNS, _FLOAT_INSP)} FROM inspections")
 def load_inspections(spark, sf):
     path = staging_path(spark, "load-insp")

@@ -43,6 +43,21 @@ def refresh_tables(inspections: DataFrame, scores: DataFrame, inspections_path:
     to_sink_schema(scores_for_load(scores)).write.mode("overwrite").parquet(scores_path)
 
 
+def refresh_catalog_tables(inspections: DataFrame, scores: DataFrame, inspections_table: str,
+                           scores_table: str, location: str | None = None) -> None:
+    """K4 as catalog tables: drop-and-recreate both with the sink types.
+
+    With ``location`` the tables are external (data under ``location`` in
+    shared storage); otherwise they live in the session's warehouse.
+    """
+    for df, name, sub in ((inspections_for_load(inspections), inspections_table, "inspections"),
+                          (scores_for_load(scores), scores_table, "risk_scores")):
+        w = to_sink_schema(df).write.mode("overwrite").format("parquet")
+        if location:
+            w = w.option("path", f"{location.rstrip('/')}/{sub}")
+        w.saveAsTable(name)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """K5/K6 append step."""
     to_sink_schema(df).write.mode("append").parquet(path)

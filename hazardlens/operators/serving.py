@@ -225,6 +225,31 @@ def cached_scores(scores: DataFrame) -> DataFrame:
     return scores.cache()
 
 
+CACHE_TTL_SECONDS = 3600
+_TTL_CACHE: dict[tuple, tuple[float, DataFrame]] = {}
+
+
+def load_cached(spark, path: str, fmt: str = "parquet", ttl: float = CACHE_TTL_SECONDS) -> DataFrame:
+    """D19 with expiry: a table read once and cached for ``ttl`` seconds.
+
+    After the ttl the stale copy is unpersisted and the table is read again,
+    so a refreshed table becomes visible within one ttl. The cache lives in
+    executor memory (spilling to disk); on executor loss Spark recomputes
+    the lost blocks from the file scan.
+    """
+    import time
+    key = (id(spark), path, fmt)
+    now = time.monotonic()
+    hit = _TTL_CACHE.get(key)
+    if hit is not None and now - hit[0] < ttl:
+        return hit[1]
+    if hit is not None:
+        hit[1].unpersist()
+    df = spark.read.format(fmt).load(path).cache()
+    _TTL_CACHE[key] = (now, df)
+    return df
+
+
 def inspections_view(inspections: DataFrame) -> DataFrame:
     """The 10 inspection columns the dashboard reads (ordering left to the consumer)."""
     return inspections.select(INSPECTION_VIEW_COLUMNS)

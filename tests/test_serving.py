@@ -59,3 +59,14 @@ def test_top_n_renames_and_ties(spark):
     top = D.top_n(s, 2)
     assert top.columns[:2] == ["Name", "Address"]
     assert [r.Name for r in top.collect()] == ["Joe's (Grill)", "Cafe"]   # ties by key
+
+
+def test_ttl_cache_refreshes(spark):
+    from hazardlens.session import staging_path
+    path = staging_path(spark, "ttl")
+    _scores(spark).write.parquet(path)
+    a = D.load_cached(spark, path, ttl=3600)
+    assert D.load_cached(spark, path, ttl=3600) is a and a.is_cached
+    _scores(spark).limit(1).write.mode("overwrite").parquet(path)
+    b = D.load_cached(spark, path, ttl=0)           # expired: re-read, old copy released
+    assert b is not a and b.count() == 1 and not a.is_cached

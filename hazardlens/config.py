@@ -65,15 +65,15 @@ KEYWORD_WEIGHTS = {"critical": 3.0, "major": 2.0, "minor": 1.0}
 # How the inspection was triggered -> weight of its outcome (exact match
 # after strip + lower-case; anything else gets the default).
 INSPECTION_TYPE_WEIGHTS = {
-    "suspect food poisoning": "2.0",
-    "complaint": "1.5",
-    "task-force": "1.3",
-    "canvass re-inspection": "1.1",
-    "canvass": "1.0",
-    "license": "0.8",
-    "consultation": "0.5",
+    "suspect food poisoning": 2.0,
+    "complaint": 1.5,
+    "task-force": 1.3,
+    "canvass re-inspection": 1.1,
+    "canvass": 1.0,
+    "license": 0.8,
+    "consultation": 0.5,
 }
-INSPECTION_TYPE_WEIGHT_DEFAULT = "1.0"
+INSPECTION_TYPE_WEIGHT_DEFAULT = 1.0
 
 # Blend of the four 0-100 components into the composite score.
 RISK_SCORE_WEIGHTS = {
@@ -113,8 +113,9 @@ class ScoringConfig:
     keyword_tiers: dict = field(default_factory=lambda: {k: list(v) for k, v in KEYWORD_TIERS.items()})
     keyword_weights: dict = field(default_factory=lambda: dict(KEYWORD_WEIGHTS))
     code_weights: dict = field(default_factory=lambda: dict(CODE_WEIGHTS))
-    type_weights: dict = field(default_factory=lambda: {k: Decimal(v) for k, v in INSPECTION_TYPE_WEIGHTS.items()})
-    type_weight_default: Decimal = Decimal(INSPECTION_TYPE_WEIGHT_DEFAULT)
+    # held as exact decimals (one decimal place), so weighted sums are exact
+    type_weights: dict = field(default_factory=lambda: {k: Decimal(str(v)) for k, v in INSPECTION_TYPE_WEIGHTS.items()})
+    type_weight_default: Decimal = Decimal(str(INSPECTION_TYPE_WEIGHT_DEFAULT))
     risk_weights: dict = field(default_factory=lambda: dict(RISK_SCORE_WEIGHTS))
     trend_window: int = TREND_WINDOW
     trend_min_inspections: int = TREND_MIN_INSPECTIONS

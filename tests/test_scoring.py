@@ -171,3 +171,19 @@ def test_missing_required_column_fails(spark):
     raw = spark.createDataFrame([("A", "2001-01-01")], "dba_name string, inspection_date string")
     with pytest.raises(ValueError, match="results"):
         clean(raw)
+
+
+def test_config_flows_through(spark):
+    from dataclasses import replace
+    from decimal import Decimal
+    from hazardlens.config import DEFAULT_CONFIG
+    outcomes = ["Fail", "Fail", "Pass", "Pass", "Pass", "Pass", "Pass"]
+    rows = [record(inspection_id=str(i), results=o, inspection_type="Complaint",
+                   inspection_date=f"2001-01-{i + 10:02d}") for i, o in enumerate(outcomes)]
+    df = parse_violations(clean(raw_rows(spark, rows)))
+    base = risk_scores(df, AS_OF).first()
+    cfg = replace(DEFAULT_CONFIG, trend_window=7,
+                  type_weights={**DEFAULT_CONFIG.type_weights, "complaint": Decimal("1.0")})
+    alt = risk_scores(df, AS_OF, cfg).first()
+    assert base.trend_score == 35.7 and alt.trend_score == 50.0      # window covers all 7 -> no trend
+    assert base.failure_rate_score == alt.failure_rate_score == 28.6  # one weight everywhere: rate unchanged

@@ -65,9 +65,13 @@ def main(argv: list[str] | None = None) -> int:
         from .operators.scoring import score_distribution, top_riskiest
         from .plans.batch import run_transform
         raw = _read_raw(spark, args.raw, args.raw_format)
-        clean_report(raw).show(truncate=False)
+        if args.explore or not args.out:
+            clean_report(raw).show(truncate=False)
         res = run_transform(spark, raw, args.as_of, out_dir=args.out,
                             mode="explore" if args.explore else "score")
+        if res.counters:   # row-drop counters observed during the write job itself
+            for k, v in res.counters.items():
+                print(f"{k:>18s}: {v:,}")
         if args.explore:
             res.report.show(truncate=False, vertical=True)
         else:

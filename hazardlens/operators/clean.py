@@ -91,6 +91,13 @@ def establishment_key(df: DataFrame) -> DataFrame:
         "establishment_id", _key_expr(F.col("license_"), F.col("dba_name"), F.col("address")))
 
 
+def require_columns(raw: DataFrame) -> None:
+    """The published cleaning reads these columns without a guard: fail early if absent."""
+    missing = [c for c in RAW_REQUIRED if c not in raw.columns]
+    if missing:
+        raise ValueError(f"raw records lack required column(s): {', '.join(missing)}")
+
+
 def _key_expr(license_stripped: Column, name: Column, address: Column) -> Column:
     fallback = F.concat(F.lower(F.coalesce(name, F.lit(""))), F.lit(KEY_SEPARATOR),
                         F.lower(F.coalesce(address, F.lit(""))))
@@ -105,9 +112,7 @@ def clean(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     exchange (rows that can never survive are dropped before they are
     shuffled), then one projection for all row-wise normalisation.
     """
-    missing = [c for c in RAW_REQUIRED if c not in raw.columns]
-    if missing:
-        raise ValueError(f"raw records lack required column(s): {', '.join(missing)}")
+    require_columns(raw)
     has_id = "inspection_id" in raw.columns     # the dedup is skipped when there is no id column
     df = ensure_columns(raw, RAW)
     others = [c for c in df.columns if c not in ("inspection_date", "results")]

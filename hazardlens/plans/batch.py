@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
-from ..operators.clean import clean
+from ..functions.text import norm, safe_timestamp
+from ..operators.clean import clean, require_columns
 from ..operators.explore import explore_report, explore_sample
 from ..operators.scoring import risk_scores
 from ..operators.signals import parse_violations
@@ -25,6 +27,23 @@ class TransformResult:
     inspections: DataFrame
     scores: DataFrame | None
     report: DataFrame | None = None
+    counters: dict | None = None
+
+
+def _observed(raw: DataFrame, cfg: ScoringConfig) -> tuple[DataFrame, Observation]:
+    """C15 counters computed *during* the write job (no extra pass over the raw data)."""
+    obs = Observation("clean_counters")
+    d = safe_timestamp("inspection_date")
+    usable = F.coalesce(norm("results").isin(cfg.usable_results), F.lit(False))
+    require_columns(raw)
+    observed = raw.observe(
+        obs,
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(d.isNull()).alias("bad_dates"),
+        F.count_if(d.isNotNull() & ~usable).alias("unusable_results"),
+        F.count_if(d.isNotNull() & usable).alias("remaining"),
+    )
+    return observed, obs
 
 
 def transform(raw: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> tuple[DataFrame, DataFrame]:
@@ -47,7 +66,11 @@ def run_transform(spark: SparkSession, raw: DataFrame, as_of, out_dir: str | Non
     if out_dir is None:
         return TransformResult(inspections, risk_scores(inspections, as_of, cfg))
     base = out_dir.rstrip("/")
+    observed, obs = _observed(raw, cfg)
+    inspections = parse_violations(clean(observed, cfg), cfg=cfg)
     write_parquet(inspections.drop("kw_found"), f"{base}/inspections")
     stored = spark.read.parquet(f"{base}/inspections")
+    counters = dict(obs.get)
+    counters["duplicates"] = counters["remaining"] - stored.count()
     clustered_scores(risk_scores(stored, as_of, cfg), f"{base}/risk_scores")
-    return TransformResult(stored, spark.read.parquet(f"{base}/risk_scores"))
+    return TransformResult(stored, spark.read.parquet(f"{base}/risk_scores"), counters=counters)

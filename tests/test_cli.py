@@ -17,5 +17,14 @@ def test_cli_workflow(spark, capsys):
     assert main(["verify", "--tables", copy]) == 0
     assert main(["query", "kpis", "--sf-dir", SF_SMALL]) == 0
     out = capsys.readouterr().out
-    assert "risk_scores" in out and "violations_preview" in out and "n_licenses" in out
+    assert "risk_scores" in out and "violations_preview" in out and "n_licenses" in out and "duplicates:" in out
     assert spark.read.parquet(f"{copy}/risk_scores").schema["dynamic_risk_score"].dataType.typeName() == "float"
+
+
+def test_observed_counters_match_clean_report(spark):
+    from hazardlens.operators.clean import clean_report
+    from hazardlens.plans.batch import run_transform
+    raw = raw_inspections(spark, SF_SMALL)
+    res = run_transform(spark, raw, AS_OF, out_dir=staging_path(spark, "obs"))
+    expect = {r.metric: r.n for r in clean_report(raw).collect()}
+    assert res.counters == expect

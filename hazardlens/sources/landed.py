@@ -25,6 +25,7 @@ from ..config import PAGE_SIZE
 from ..operators.ordering import global_row_index
 from ..schemas import RAW
 
+
 def assign_pages(df: DataFrame, page_size: int = PAGE_SIZE,
                  order: Sequence[str] = ("inspection_id", "ingest_seq")) -> DataFrame:
     """Add ``row_index`` (0-based, global order) and ``page_no`` to every row."""

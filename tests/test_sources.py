@@ -67,3 +67,13 @@ def test_deep_page_uses_global_index(spark, monkeypatch):
     monkeypatch.setattr(L, "TAKE_ORDERED_MAX_ROWS", 10)
     deep = [tuple(r) for r in L.ordered_page(raw, 3, 100).select("inspection_id", "ingest_seq").collect()]
     assert shallow == deep and len(deep) == 100
+
+
+def test_spread_is_noop_on_well_split_input(spark):
+    from hazardlens.session import spread
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(many, "id") is many                      # no added exchange at scale
+    one = spark.range(0, 1000, numPartitions=1)
+    spread_one = spread(one, "id")
+    assert spread_one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in spread_one.collect()) == list(range(1000))

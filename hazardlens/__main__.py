@@ -16,13 +16,12 @@ from __future__ import annotations
 import argparse
 import sys
 
-from .schemas import RAW
 
 
 def _read_raw(spark, path: str, fmt: str):
     if fmt == "csv":
-        from .sources.files import read_csv
-        return read_csv(spark, path, RAW)
+        from .sources.files import read_raw_csv
+        return read_raw_csv(spark, path)
     from .sources.landed import read_pages
     return read_pages(spark, path)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import safe_timestamp
+from ..schemas import RAW, ensure_columns
 
 # CSV options that keep text exactly: quoted multi-line fields, embedded
 # quotes escaped by doubling, surrounding whitespace preserved, and the
@@ -29,6 +30,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """S4 for an exported raw file: columns matched **by header name**, all text.
+
+    (A user schema on the CSV reader binds columns by position, which is wrong
+    for an export whose column order or extra columns differ.) Absent
+    optional columns become null; extra columns are dropped. Without an
+    ``ingest_seq`` column the landing order is the row order of the file:
+    ``multiLine`` makes each file a single split, so the row index inside a
+    file is exact (files are ordered by the scan's file listing).
+    """
+    df = spark.read.options(**CSV_OPTIONS).csv(path)          # no inference: every column is text
+    has_seq = "ingest_seq" in df.columns
+    if not has_seq:
+        df = df.withColumn("ingest_seq", F.monotonically_increasing_id())
+    out = ensure_columns(df, RAW)
+    return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields])
+
+
 def table_or_path(spark: SparkSession, table: str | None, path: str | None,
                   schema: T.StructType, fmt: str = "parquet", jdbc_url: str | None = None,
                   jdbc_properties: dict | None = None) -> DataFrame:

@@ -77,3 +77,19 @@ def test_spread_is_noop_on_well_split_input(spark):
     spread_one = spread(one, "id")
     assert spread_one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r.id for r in spread_one.collect()) == list(range(1000))
+
+
+def test_raw_csv_maps_columns_by_header(spark, tmp_path):
+    from hazardlens.operators.clean import clean
+    csv = tmp_path / "raw.csv"
+    csv.write_text(
+        'results,license_,extra_col,inspection_id,dba_name,address,inspection_date,inspection_type,violations\n'
+        'Pass,L1,zzz,7,"Joe\'s, ""Grill""","1 N ST",2001-01-01T00:00:00.000,Canvass,\n'
+        'Fail,L1,zzz,7,Joe\'s,"1 N ST",2001-01-02T00:00:00.000,Complaint,"3. a\n| 15. b"\n')
+    raw = SF.read_raw_csv(spark, str(csv))
+    assert raw.columns == RAW.fieldNames()
+    rows = sorted(raw.collect(), key=lambda r: r.ingest_seq)
+    assert [r.results for r in rows] == ["Pass", "Fail"] and rows[0].dba_name == 'Joe\'s, "Grill"'
+    assert rows[0].aka_name is None and rows[1].violations == "3. a\n| 15. b"
+    out = clean(raw).collect()                       # keep-last = the later row of the file
+    assert len(out) == 1 and out[0].results == "fail"

@@ -30,22 +30,37 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S4 for an exported raw file: columns matched **by header name**, all text.
+def read_csv_by_header(spark: SparkSession, path: str, schema: T.StructType,
+                       null_value: str = "") -> DataFrame:
+    """S4-S6 for files written elsewhere: columns matched **by header name**.
 
     (A user schema on the CSV reader binds columns by position, which is wrong
-    for an export whose column order or extra columns differ.) Absent
-    optional columns become null; extra columns are dropped. Without an
-    ``ingest_seq`` column the landing order is the row order of the file:
-    ``multiLine`` makes each file a single split, so the row index inside a
-    file is exact (files are ordered by the scan's file listing).
+    for a file whose column order or extra columns differ.) Every column is
+    read as text, then cast to ``schema`` with ``try_cast`` (unparseable ->
+    null); absent columns become null and extra columns are dropped.
+    ``null_value=""`` follows the common export convention (empty field =
+    missing); our own files use ``\\N`` (see ``CSV_OPTIONS``).
     """
-    df = spark.read.options(**CSV_OPTIONS).csv(path)          # no inference: every column is text
-    has_seq = "ingest_seq" in df.columns
-    if not has_seq:
-        df = df.withColumn("ingest_seq", F.monotonically_increasing_id())
-    out = ensure_columns(df, RAW)
-    return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields])
+    opts = {**CSV_OPTIONS, "nullValue": null_value}
+    df = ensure_columns(spark.read.options(**opts).csv(path), T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in schema.fields]))
+    return df.select([(F.col(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.col(f.name).try_cast(f.dataType)).alias(f.name) for f in schema.fields])
+
+
+def read_raw_csv(spark: SparkSession, path: str, null_value: str = "") -> DataFrame:
+    """S4 for an exported raw file (columns by header name, all text).
+
+    Without an ``ingest_seq`` column the landing order is the row order of the
+    file: ``multiLine`` makes each file a single split, so the row index inside
+    a file is exact (files are ordered by the scan's file listing).
+    """
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns     # reads the header line only
+    if "ingest_seq" in header:
+        return read_csv_by_header(spark, path, RAW, null_value)
+    text = T.StructType([f for f in RAW.fields if f.name != "ingest_seq"])
+    df = read_csv_by_header(spark, path, text, null_value)
+    return df.withColumn("ingest_seq", F.monotonically_increasing_id()).select(RAW.fieldNames())
 
 
 def table_or_path(spark: SparkSession, table: str | None, path: str | None,

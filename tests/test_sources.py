@@ -93,3 +93,17 @@ def test_raw_csv_maps_columns_by_header(spark, tmp_path):
     assert rows[0].aka_name is None and rows[1].violations == "3. a\n| 15. b"
     out = clean(raw).collect()                       # keep-last = the later row of the file
     assert len(out) == 1 and out[0].results == "fail"
+
+
+def test_csv_by_header_casts_and_nulls(spark, tmp_path):
+    from hazardlens.schemas import SCORES
+    csv = tmp_path / "scores.csv"
+    csv.write_text("dynamic_risk_score,establishment_id,total_inspections,last_inspection_date,zip,latitude\n"
+                   "55.3,L1,4,2001-08-01 00:00:00,,41.5\n"
+                   "n/a,L2,,2001-08-02T10:00:00,60601,bad\n")
+    df = SF.read_csv_by_header(spark, str(csv), SCORES)
+    assert df.schema == SCORES
+    r = {x.establishment_id: x for x in df.collect()}
+    assert r["L1"].dynamic_risk_score == 55.3 and r["L1"].total_inspections == 4 and r["L1"].zip is None
+    assert r["L2"].dynamic_risk_score is None and r["L2"].latitude is None and r["L2"].zip == "60601"
+    assert str(r["L2"].last_inspection_date) == "2001-08-02 10:00:00" and r["L1"].aka_name is None

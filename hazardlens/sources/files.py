@@ -80,10 +80,11 @@ def table_or_path(spark: SparkSession, table: str | None, path: str | None,
         return spark.table(table)
     if path:
         try:
-            reader = spark.read.schema(schema)
             if fmt == "csv":
-                return reader.options(**CSV_OPTIONS).csv(path)
-            return reader.format(fmt).load(path)
+                df = read_csv_by_header(spark, path, schema, null_value=CSV_OPTIONS["nullValue"])
+                df.schema  # resolves the file listing: a missing path raises here
+                return df
+            return spark.read.schema(schema).format(fmt).load(path)
         except Exception:  # noqa: BLE001 - missing/unreadable path falls through to empty
             pass
     return spark.createDataFrame([], schema)

@@ -107,3 +107,14 @@ def test_csv_by_header_casts_and_nulls(spark, tmp_path):
     assert r["L1"].dynamic_risk_score == 55.3 and r["L1"].total_inspections == 4 and r["L1"].zip is None
     assert r["L2"].dynamic_risk_score is None and r["L2"].latitude is None and r["L2"].zip == "60601"
     assert str(r["L2"].last_inspection_date) == "2001-08-02 10:00:00" and r["L1"].aka_name is None
+
+
+def test_fallback_reads_our_csv(spark):
+    from hazardlens.sinks.writers import write_csv
+    rows = [("L1", 55.3)]
+    df = spark.createDataFrame(rows, "establishment_id string, dynamic_risk_score double")
+    path = staging_path(spark, "fallback-csv")
+    write_csv(df, path)
+    got = SF.table_or_path(spark, None, path, SCORES, fmt="csv").collect()
+    assert len(got) == 1 and got[0].dynamic_risk_score == 55.3 and got[0].zip is None
+    assert SF.table_or_path(spark, None, "/tmp/not/here.csv", SCORES, fmt="csv").count() == 0

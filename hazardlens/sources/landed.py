@@ -8,8 +8,8 @@ The upstream API serves records in pages of ``PAGE_SIZE`` rows ordered by
   order without a single-partition window: the data is range-partitioned
   and sorted, each partition's row count is taken (one small row per
   partition), and prefix offsets are broadcast back (size = #partitions).
-* ``land_pages`` writes one JSON-array file per page (a page is at most
-  ``PAGE_SIZE`` rows, a fixed bound).
+* ``land_pages`` writes one JSON array (one page, at most ``PAGE_SIZE``
+  rows) per line, packed into a bounded number of flat, splittable files.
 * ``read_pages`` reads any number of page files under one explicit schema.
 """
 
@@ -41,10 +41,16 @@ def page_summary(paged: DataFrame) -> DataFrame:
             .orderBy("page_no"))
 
 
+PAGES_PER_FILE = 64
+
+
 def land_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE,
-               columns: Sequence[str] | None = None) -> str:
-    """Write ``df`` as JSON-array page files (one file per page) under ``path``.
+               columns: Sequence[str] | None = None, pages_per_file: int = PAGES_PER_FILE) -> str:
+    """Write ``df`` as landed pages under ``path``: one JSON array (one page) per line.
 
+    A line holds at most ``page_size`` records (a fixed bound); lines are
+    packed ``pages_per_file`` to a file in one flat folder, so a 100 TB
+    landing is thousands of splittable files, not millions of page folders.
     Null values are left out of each object, as the API does. Returns ``path``.
     """
     cols = list(columns) if columns is not None else df.columns
@@ -52,14 +58,21 @@ def land_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE,
     body = (paged.groupBy("page_no")
             .agg(F.to_json(F.sort_array(F.collect_list(F.struct(F.col("row_index"), F.struct(*cols).alias("r"))))
                            .getField("r")).alias("value")))
-    body.select("page_no", "value").write.mode("overwrite").partitionBy("page_no").text(path)
+    file_group = F.floor(F.col("page_no") / F.lit(pages_per_file))
+    body.repartition(file_group).select("value").write.mode("overwrite").text(path)
     return path
 
 
-def read_pages(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW) -> DataFrame:
-    """Read page files under an explicit schema (absent keys -> null)."""
+def read_pages(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW,
+               multiline: bool = False) -> DataFrame:
+    """Read landed pages under an explicit schema (absent keys -> null).
+
+    Pages written by ``land_pages`` are one JSON array per line (splittable);
+    ``multiline=True`` reads raw API responses saved one pretty-printed array
+    per file.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.schema(schema).option("multiLine", True).json(paths)
+    df = spark.read.schema(schema).option("multiLine", multiline).json(paths)
     return df.select(schema.fieldNames())
 
 

@@ -4,7 +4,7 @@ The published workflow is a scheduled full drop-and-reload. Here the same
 refresh runs as a Structured Streaming query over the landing folder:
 
 * new page files are picked up by the JSON file source (explicit schema,
-  ``multiLine`` arrays), with progress kept in the query checkpoint, so a
+  one page array per line), with progress kept in the query checkpoint, so a
   restarted or retried job never re-reads or skips a page;
 * ``foreachBatch`` cleans and parses **only the new records** (the text
   stage is the dominant CPU cost) and appends them to a ``parsed`` table
@@ -37,10 +37,12 @@ from ..sinks.writers import clustered_scores, write_parquet
 DONE_MARKER = "_BATCH_COMPLETE"
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of raw records from page files as they land."""
+def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
+                   multiline: bool = False) -> DataFrame:
+    """Streaming frame of raw records from page files as they land (one page per line;
+    ``multiline=True`` for one pretty-printed array per file)."""
     # Page files may sit in any sub-folder layout; no partition columns are inferred.
-    reader = spark.readStream.schema(RAW).option("multiLine", True).option("recursiveFileLookup", True)
+    reader = spark.readStream.schema(RAW).option("multiLine", multiline).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(landing_dir).select(RAW.fieldNames())

@@ -6,8 +6,9 @@
     python -m hazardlens verify    --tables TABLES_DIR
     python -m hazardlens query     NAME --sf-dir /root/testdata/sf0.01 [--show 20]
 
-``--raw`` accepts landed JSON-array pages (default) or a CSV file/folder
-(``--raw-format csv``). Results are written by Spark; only small reports
+``--raw`` accepts landed pages (default: one JSON array per line), raw API
+responses saved one array per file (``--raw-format json-files``) or a CSV
+export (``--raw-format csv``, columns by header). Results are written by Spark; only small reports
 (``show``) reach the console.
 """
 
@@ -23,7 +24,7 @@ def _read_raw(spark, path: str, fmt: str):
         from .sources.files import read_raw_csv
         return read_raw_csv(spark, path)
     from .sources.landed import read_pages
-    return read_pages(spark, path)
+    return read_pages(spark, path, multiline=(fmt == "json-files"))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -33,7 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     tr = sub.add_parser("transform", help="clean -> signals -> scores, write both tables")
     for a in (pr, tr):
         a.add_argument("--raw", required=True)
-        a.add_argument("--raw-format", choices=["json", "csv"], default="json")
+        a.add_argument("--raw-format", choices=["json", "json-files", "csv"], default="json",
+                       help="json: one page array per line; json-files: one array per file; csv: by header")
     tr.add_argument("--out")
     tr.add_argument("--as-of", required=True)
     tr.add_argument("--explore", action="store_true", help="show the 5-sample parser report instead")

@@ -70,3 +70,22 @@ def test_ttl_cache_refreshes(spark):
     _scores(spark).limit(1).write.mode("overwrite").parquet(path)
     b = D.load_cached(spark, path, ttl=0)           # expired: re-read, old copy released
     assert b is not a and b.count() == 1 and not a.is_cached
+
+
+def test_dashboard_over_stored_tables(spark):
+    from conftest import AS_OF, SF_SMALL
+    from hazardlens.plans.batch import run_transform
+    from hazardlens.plans.dashboard import Dashboard, Filters
+    from hazardlens.session import staging_path
+    from hazardlens.sources.fixtures import raw_inspections
+    out = staging_path(spark, "dash")
+    run_transform(spark, raw_inspections(spark, SF_SMALL), AS_OF, out_dir=out)
+    dash = Dashboard(spark, out)
+    p = dash.panels(Filters(lo=20, hi=80))
+    k = p["kpis"].first()
+    assert k.establishments == dash.scores.filter("dynamic_risk_score BETWEEN 20 AND 80").count()
+    assert p["top_n"].count() <= 20 and p["zip_table"].count() <= 15
+    hit = dash.lookup("customer#00000")
+    assert hit["matches"].count() == 20 and hit["cards"].count() == 20
+    assert hit["history"].groupBy("establishment_id").count().agg({"count": "max"}).first()[0] <= 10
+    assert dash.facets().filter("facet = 'zip'").count() > 0

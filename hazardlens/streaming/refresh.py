@@ -16,7 +16,10 @@ refresh runs as a Structured Streaming query over the landing folder:
   batch id with a completion marker; readers take the newest complete one.
 
 Scores are recomputed for every establishment on each refresh: recency
-decays with the clock, so every score moves whenever ``as_of`` does.
+decays with the clock, so every score moves whenever ``as_of`` does. No
+watermark is needed: a score is a pure function of all of an
+establishment's inspections, so a late record is simply part of the next
+refresh — there is no windowed state to expire.
 ``Trigger.AvailableNow`` processes what has landed and stops — the streaming
 equivalent of the scheduled run.
 """

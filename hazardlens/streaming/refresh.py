@@ -26,7 +26,6 @@ equivalent of the scheduled run.
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -42,8 +42,9 @@ class Dashboard:
     def facets(self) -> DataFrame:
         return D.facets(self.scores)
 
-    def panels(self, f: Filters = Filters(), top: int = 20) -> dict[str, DataFrame]:
+    def panels(self, f: Filters | None = None, top: int = 20) -> dict[str, DataFrame]:
         """KPIs, map, top-N, histogram, risk by facility type and by ZIP for the filtered set."""
+        f = f or Filters()
         filtered = D.apply_filters(self.scores, f.lo, f.hi, f.facility_types, f.zips)
         return {
             "kpis": D.kpis(filtered),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ..config import (DEFAULT_CONFIG, HIGH_RISK, MEDIUM_RISK, TREND_IMPROVING,
                       TREND_WORSENING)
+from ..functions.text import WHITESPACE
 from ..sources.fixtures import COMMENT_BY_SUPPKEY_MOD10, TYPE_BY_ORDERKEY_MOD9
 
 CFG = DEFAULT_CONFIG
@@ -16,11 +17,12 @@ CODE_RE = r"(?:^|\|)\s*([0-9]{1,2})\.\s"
 
 
 def q(s: str | None) -> str:
+    """SQL string literal (or NULL)."""
     return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
 
 
 def _ws_chars() -> str:
-    from ..functions.text import WHITESPACE
+    """The same whitespace set the Spark ``strip`` trims, as a SQL string expression."""
     return "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
 
 
@@ -32,14 +34,17 @@ def strip(x: str) -> str:
 
 
 def d(x: float) -> str:
+    """A DOUBLE literal (a bare ``0.25`` would be DECIMAL in DuckDB)."""
     return f"CAST({x!r} AS DOUBLE)"
 
 
 def round1(x: str) -> str:
+    """Half-even rounding to one decimal, like Spark's ``rint(x*10)/10``."""
     return f"(round_even(({x}) * 10.0, 0) / 10.0)"
 
 
 def scaled(x: str, s: int) -> str:
+    """A value with at most ``s`` decimals as an integer count of 10^-s units."""
     return f"CAST(round(({x}) * {10 ** s}.0) AS BIGINT)"
 
 

@@ -19,6 +19,28 @@ JOB_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def recommended_conf(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Spill-aware settings for a cluster run of the batch job.
+
+    The dedup exchange carries full rows, so it gets about one partition per
+    ``target_partition_bytes`` of input (never fewer than 2x the cores); AQE
+    coalesces the small establishment exchanges toward the same advisory
+    size and splits skewed join partitions; scan splits match the target.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **JOB_CONF,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "hazardlens", extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks (a cluster passes its own)."""

@@ -128,3 +128,12 @@ def test_read_api_dump_multiline(spark, tmp_path):
     (tmp_path / "page0.json").write_text(json.dumps(page, indent=2))
     rows = sorted(L.read_pages(spark, str(tmp_path), multiline=True).collect(), key=lambda r: r.inspection_id)
     assert [r.dba_name for r in rows] == ["A", "B"] and rows[0].license_ is None and rows[1].results is None
+
+
+def test_recommended_conf_scales_with_input():
+    from hazardlens.session import recommended_conf
+    big = recommended_conf(100 * 1024 ** 4, 8000)          # 100 TB on 8,000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = recommended_conf(1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.enabled"] == "true"

@@ -53,8 +53,8 @@ def main(argv: list[str] | None = None) -> int:
         a.add_argument("--master", default=None)
     args = p.parse_args(argv)
 
-    from .session import build_session
-    spark = build_session(master=args.master) if args.master else build_session()
+    from .session import job_session
+    spark = job_session(args.master)
 
     if args.cmd == "profile":
         from .operators import profiling as P

@@ -58,6 +58,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def job_session(master: str | None = None, app_name: str = "hazardlens") -> SparkSession:
+    """Session for a job run: the submitted cluster's master when there is one.
+
+    Under ``spark-submit`` the master comes from the submit arguments and is
+    not overridden; a plain ``python`` run without ``master`` gets
+    ``local[*]``. The job settings (AQE, skew joins, UTC) are applied either way.
+    """
+    from pyspark import SparkConf, SparkContext
+    if master is None:
+        SparkContext._ensure_initialized()   # JVM-backed conf: sees spark-submit's --master
+        if not SparkConf().contains("spark.master"):
+            master = "local[*]"
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.showConsoleProgress", "false")
+    if master:
+        builder = builder.master(master)
+    for k, v in JOB_CONF.items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 

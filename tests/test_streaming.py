@@ -37,3 +37,14 @@ def test_refresh_on_arrival(spark):
     # each batch parsed only its own records
     parsed = spark.read.parquet(f"{raw_dir}/_parsed")
     assert parsed.filter("_batch = 1").count() == clean(raw.filter("ingest_seq = 1")).count()
+
+
+def test_readers_skip_incomplete_batch(spark):
+    out = staging_path(spark, "out-partial")
+    one = spark.createDataFrame([(1,)], "x int")
+    for b in (1, 2):
+        one.write.parquet(f"{out}/batch={b:010d}/inspections")
+        spark.createDataFrame([(b,)], "x int").write.parquet(f"{out}/batch={b:010d}/risk_scores")
+    spark.createDataFrame([(1,)], "batch_id long").write.json(f"{out}/batch={1:010d}/_BATCH_COMPLETE")
+    _, scores = latest_output(spark, out)          # batch 2 has no completion marker
+    assert scores.first().x == 1

@@ -81,20 +81,21 @@ def job_session(master: str | None = None, app_name: str = "hazardlens") -> Spar
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (or the directory already set
-    on the SparkContext). Only when neither is set — local tests — a fresh
-    directory is created and registered.
+    The cluster names it in ``spark.checkpoint.dir`` (or a job registers one on
+    the SparkContext). Only a local master may do without: one JVM sees its own
+    temporary folder, so a fresh one is created and registered. Any other
+    master without a shared folder raises, since executors on other machines
+    could not read what is staged.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        sc = None
-    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="hazardlens-ckpt-")
-    if sc and not sc.getCheckpointDir():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    return (sc.getCheckpointDir() if sc else None) or root
+    return sc.getCheckpointDir() or root
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -103,6 +104,22 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{root}/stage-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: a lineage
+    cut that survives lost executors and is computed once."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder (only ever one made by ``staging_path``)."""
+    if "/stage-" not in path:
+        raise ValueError(f"not a staged folder: {path}")
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Redistribute a scan that yields fewer partitions than the cluster has cores.
 

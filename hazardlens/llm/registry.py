@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from . import secret_scan as S
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
 
@@ -45,3 +46,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return out.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = S.find_secrets(table(spark, sf_dir, "documents"))
+    found = F.col("secrets")
+    return out.select(
+        "doc_id", *(S.count_of(found, k).alias(f"n_{k}") for k in S.BASE_KINDS),
+        F.sha2(S.digest(found, S.BASE_KINDS), 256).alias("base_sha256"), S.digest(found).alias("spans"))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .columns import unused
 from .components import components
 from .packed import (binary, bucket_bits, bucket_edges, pack_bits, pack_keys, parallelism,
                      unpack_bits, unpack_keys)
@@ -211,9 +212,10 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4,
     last), among rows of that id the one of the smallest text hash; rows equal
     in both are copies, and one of them stays."""
     found = near_duplicates(docs, shingle, distance, id_col, text_col)
+    keep_id, keep_hash, own_hash = unused(docs, "keep_id", "keep_hash", "own_hash")
     chosen = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one")
     keepers = found.groupBy("component").agg(chosen).select(
-        F.col("one.doc_id").alias("keep__id"), F.col("one.text_hash").alias("keep__hash")).distinct()
-    own = docs.withColumn("keep__text", F.xxhash64(docs[text_col].cast("string")))
-    same = own[id_col].eqNullSafe(keepers["keep__id"]) & (own["keep__text"] == keepers["keep__hash"])
-    return (own.join(keepers, same, "left_semi").dropDuplicates([id_col, "keep__text"]).drop("keep__text"))
+        F.col("one.doc_id").alias(keep_id), F.col("one.text_hash").alias(keep_hash)).distinct()
+    own = docs.withColumn(own_hash, F.xxhash64(docs[text_col].cast("string")))
+    same = own[id_col].eqNullSafe(keepers[keep_id]) & (own[own_hash] == keepers[keep_hash])
+    return own.join(keepers, same, "left_semi").dropDuplicates([id_col, own_hash]).drop(own_hash)

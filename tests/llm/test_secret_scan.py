@@ -93,8 +93,8 @@ def plain(text):
 
 
 def test_query_matches_plain_scan(spark, queries):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
-    got = {r.doc_id: r for r in queries["op3_secret_scan"](spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    got = {r.doc_id: r for r in queries["op3_secret_scan"](spark, "/root/testdata/sf0.01").collect()}
     assert len(got) == len(docs) and any(r.n_assign for r in got.values())
     for d in docs:
         want = plain(d.text)

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from . import quality_rules as Q
 from . import secret_scan as S
+from .packing import pack
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
 
@@ -55,3 +57,16 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", *(S.count_of(found, k).alias(f"n_{k}") for k in S.BASE_KINDS),
         F.sha2(S.digest(found, S.BASE_KINDS), 256).alias("base_sha256"), S.digest(found).alias("spans"))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", end_id=2, window=4096)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return Q.judge(table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"))

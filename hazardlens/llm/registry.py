@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from . import quality_rules as Q
 from . import secret_scan as S
+from .mixing import mix
 from .packing import pack
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
@@ -70,3 +71,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     return Q.judge(table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", taken)

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from . import language_id as L
 from . import quality_rules as Q
+from . import quality_trees as T
 from . import secret_scan as S
 from .mixing import mix
 from .packing import pack
@@ -78,3 +80,22 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return mix(docs).select("doc_id", "size", "source_size", "target", taken)
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    apart = L.held_out(F.col("doc_id"))
+    model = L.fit(docs.where(~apart).select("text", "lang"))
+    found = L.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(apart, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    apart = L.held_out(F.col("doc_id"))
+    trees = T.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality").where(~apart))
+    return T.score(docs, trees).select(
+        "doc_id", F.coalesce(apart, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))

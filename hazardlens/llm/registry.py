@@ -16,6 +16,7 @@ from . import language_id as L
 from . import quality_rules as Q
 from . import quality_trees as T
 from . import secret_scan as S
+from . import url_filter as U
 from .mixing import mix
 from .packing import pack
 from .simhash import near_duplicates
@@ -99,3 +100,9 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.score(docs, trees).select(
         "doc_id", F.coalesce(apart, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = U.train(U.training_urls(spark))
+    return U.judge(table(spark, sf_dir, "pages"), model, U.RULES).select("page_id", "host", "path", "rule", "verdict")

@@ -21,6 +21,7 @@ from .mixing import mix
 from .packing import pack
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
+from .vector_search import top_k
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -106,3 +107,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = U.train(U.training_urls(spark))
     return U.judge(table(spark, sf_dir, "pages"), model, U.RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op5_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)

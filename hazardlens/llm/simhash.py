@@ -80,6 +80,25 @@ def _masks(radius: int) -> np.ndarray:
     return np.array([sum(1 << i for i in s) for s in sets], np.uint64)
 
 
+def _joining(pairs: np.ndarray) -> np.ndarray:
+    """Those of the pairs that join two parts not yet connected by earlier ones:
+    fewer than there are members, however densely these are linked."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent.setdefault(up, up)
+        return x
+
+    keep = np.zeros(len(pairs), bool)
+    for i, (u, v) in enumerate(pairs.tolist()):
+        a, b = find(u), find(v)
+        if a != b:
+            parent[a] = b
+            keep[i] = True
+    return pairs[keep]
+
+
 def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     """Links ``(u, v)`` between distinct fingerprints (column ``fp``, no nulls)
     at ``distance`` or fewer differing bits: enough of them to connect exactly
@@ -173,7 +192,7 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
         head = np.repeat(o[first], np.diff(first, append=len(p)))   # the smallest of each variant's group
         pairs = np.unique(np.stack([o, head], 1)[o != head], axis=0)
         near = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= distance
-        pairs = pairs[near].view(np.int64)
+        pairs = _joining(pairs[near]).view(np.int64)
         return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
 
     answers = (src.groupBy("chunk").applyInArrow(send, "bucket int, chunk long, part int, keys binary")

@@ -93,6 +93,8 @@ class Tree:
                 continue
             i, j = self.first[at], self.last[at]
             scores = self.vectors[i:j].astype(kind) @ q
+            if kind is object:
+                scores = np.clip(scores, -_LONG, _LONG)
             reach = np.ones(j - i, bool) if least is None else scores >= least
             reach &= self.ids[i:j] != own_id
             found = np.flatnonzero(reach)
@@ -146,9 +148,10 @@ def top_k(table: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector
     (from 1), ``vec_id, score``; ties go to the smaller id, and a query with
     fewer candidates gets all of them. Rows whose id or vector is null, or whose
     vector is empty or holds null or non-finite components, take no part; rows
-    equal in id and vector are one; rows that share the query's id are its own.
-    Vectors meet only queries of their length. Scores beyond a long are cut to
-    its range. Other columns are ignored, whatever their names; an empty table
+    equal in id and vector are one; rows that share the query's id are its own, and
+    an id with several vectors gets the best over all of them.
+    Vectors meet only queries of their length. Scaled components and scores
+    beyond a long are cut to its range before they are ranked. Other columns are ignored, whatever their names; an empty table
     gives no rows.
     """
     if k < 1:
@@ -179,7 +182,7 @@ def top_k(table: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector
                 for score, found in tree.search(i, np.frombuffer(v, "<i8"), k, floor):
                     out[0].append(i)
                     out[1].append(found)
-                    out[2].append(max(-_LONG, min(_LONG, score)))
+                    out[2].append(score)
         return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()),
                          "score": pa.array(out[2], pa.int64())})
 
@@ -204,5 +207,5 @@ def top_k(table: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector
     others = (queries.withColumn("home", home).join(floors, "id", "left")
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home").drop("home"))
     rest = meet(others.select("id", "dim", "v", "block", "shard", "floor"))
-    return (best(first.select("query_id", "vec_id", "score").unionByName(rest).distinct())
+    return (best(first.select("query_id", "vec_id", "score").unionByName(rest))
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

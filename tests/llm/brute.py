@@ -39,3 +39,50 @@ def roots(items, linked):
         for i in members:
             out[i] = min(ids) if ids else None
     return out
+
+
+def remove_repeats(texts, window=35):
+    """Per text: words, removed flags."""
+    ws = [words(t) for t in texts]
+    where = {}
+    for d, w in enumerate(ws):
+        for p in range(len(w) - window + 1):
+            where.setdefault(b" ".join(w[p:p + window]), []).append((d, p))
+    gone = [[False] * len(w) for w in ws]
+    for places in where.values():
+        if len(places) > 1:
+            for d, p in places:
+                gone[d][p:p + window] = [True] * window
+    return ws, gone
+
+
+def targets(sizes, weights=(1, 2, 3), cap=3):
+    """Targets by resharing the excess in rounds; sizes: {source: words}, None last."""
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    fixed, total = {}, sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in fixed]
+        rest, mass = total - sum(fixed.values()), sum(weight[s] for s in free)
+        share = {s: rest * weight[s] / mass for s in free}
+        above = [s for s in free if share[s] > cap * sizes[s] + 1e-9]
+        if not above:
+            return {**fixed, **share}
+        fixed |= {s: cap * sizes[s] for s in above}
+
+
+def statistics(text):
+    """word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words."""
+    text = text or ""
+    w = words(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            dup += line in seen
+            seen.add(line)
+    grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    hit = set()
+    for i, g in enumerate(grams):
+        if grams.count(g) > 1:
+            hit |= {i, i + 1, i + 2}
+    return sum(len(x.decode()) for x in w), sum(c in "#*$%&|<>" for c in text), dup, len(hit), len(w)

@@ -1,0 +1,74 @@
+import math
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from hazardlens.llm import quality_rules as Q
+from hazardlens.llm.words import word_hashes
+
+from . import brute, data
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab#<é \n\t\r\x0b\x85 ", max_size=50))
+def test_statistics(text):
+    raw = text.encode()
+    n, chars, symbols, dup, repeat = Q.statistics(raw, word_hashes(raw))
+    assert (chars, symbols, dup, repeat, n) == brute.statistics(text)
+
+
+def plain_scores(rows, trusted):
+    """The same ratios from dictionaries of buckets."""
+    grams = [Q.ngram_buckets(word_hashes((t or "").encode())).tolist() for _, t, *_ in rows]
+    raw = Counter(g for doc in grams for g in doc)
+    target = Counter(g for (i, *_), doc in zip(rows, grams) if i in trusted for g in doc)
+    n, m = sum(raw.values()), sum(target.values())
+
+    def ratio(b):
+        p = (raw[b] + 1e-3) / (n + 1e-3 * Q.BUCKETS)
+        return math.log((target[b] + Q.PRIOR * Q.BUCKETS * p) / (m + Q.PRIOR * Q.BUCKETS)) - math.log(p)
+
+    return [sum(map(ratio, doc)) / len(doc) if doc else 0.0 for doc in grams]
+
+
+def test_odd_rows_match_brute_force(spark):
+    rows = data.odd_rows()
+    trusted = {4, 10, 11, 100, 101, 999}
+    ids = spark.createDataFrame([(i,) for i in trusted] + [(None,), (10,)], "Score long")
+    got = sorted(Q.judge(data.frame(spark, rows), ids).collect(), key=lambda r: (r.doc_id or -1, r.n_words, r.score))
+    want = sorted(((i or -1, t, s) for (i, t, *_), s in zip(rows, plain_scores(rows, trusted))),
+                  key=lambda w: (w[0], len(brute.words(w[1])), w[2]))
+    assert len(got) == len(rows)
+    for r, (i, t, s) in zip(got, want):
+        chars, symbols, dup, repeat, n = brute.statistics(t) if len(t or "") < 20_000 else (
+            r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, len(brute.words(t)))
+        failed = n < 50 or 100 * repeat > 50 * n
+        assert (r.doc_id or -1, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_words, r.base_failed) == (
+            i, chars, symbols, dup, repeat, n, failed)
+        assert abs(r.score - s) < 1e-9 and r.kept == (not failed and s >= Q.THRESHOLD)
+
+
+def test_no_trusted_text_and_no_rows(spark):
+    df = data.frame(spark, data.odd_rows())
+    none = spark.createDataFrame([], "id long")
+    got = Q.judge(df, none).collect()
+    assert all(abs(r.score) < 1e-9 and r.kept == (not r.base_failed) for r in got)
+    assert Q.judge(df.limit(0), none).collect() == []
+
+
+def test_trusted_sample_is_bounded(spark):
+    rows = data.odd_rows()
+    ids = spark.createDataFrame([(i,) for i in range(10, 40)], "id long")
+    few = Q.judge(data.frame(spark, rows), ids, trusted_rows=1).collect()
+    assert len(few) == len(rows) and np.isfinite([r.score for r in few]).all()
+
+
+def test_junk_is_told_from_clean_text(spark, queries):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in queries["op8_quality_rules"](spark, sf).collect() if r.doc_id in labels and not r.base_failed]
+    clean = [r.kept for r in got if labels[r.doc_id] == 1]
+    junk = [r.kept for r in got if labels[r.doc_id] == 0]
+    assert np.mean(clean) >= 0.99 and np.mean(junk) <= 0.05

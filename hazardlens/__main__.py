@@ -1,15 +1,17 @@
 """Command line: the same steps as the original scripts, run as Spark jobs.
 
     python -m hazardlens profile   --raw PAGES_DIR
+    python -m hazardlens store     --raw PAGES_DIR --out RAW_CSV_DIR
     python -m hazardlens transform --raw PAGES_DIR --out TABLES_DIR --as-of "2024-06-01 00:00:00" [--explore]
-    python -m hazardlens load      --tables TABLES_DIR (--jdbc-url URL | --to DIR)
+    python -m hazardlens load      --tables TABLES_DIR (--jdbc-url URL [--truncate] | --to DIR)
     python -m hazardlens verify    --tables TABLES_DIR
     python -m hazardlens query     NAME --sf-dir /root/testdata/sf0.01 [--show 20]
 
 ``--raw`` accepts landed pages (default: one JSON array per line), raw API
 responses saved one array per file (``--raw-format json-files``) or a CSV
-export (``--raw-format csv``, columns by header). Results are written by Spark; only small reports
-(``show``) reach the console.
+export (``--raw-format csv``, columns by header). Every landed column passes through. ``--input-bytes``
+sizes the shuffles of a cluster job. Results are written by Spark; only small reports (``show``) reach
+the console.
 """
 
 from __future__ import annotations
@@ -23,8 +25,12 @@ def _read_raw(spark, path: str, fmt: str):
     if fmt == "csv":
         from .sources.files import read_raw_csv
         return read_raw_csv(spark, path)
-    from .sources.landed import read_pages
-    return read_pages(spark, path, multiline=(fmt == "json-files"))
+    from .schemas import RAW
+    from .sources.landed import landed_keys, page_schema, read_pages
+    multiline = fmt == "json-files"
+    keys = landed_keys(spark, path, multiline)
+    extra = [k for k in keys if k not in RAW.fieldNames()]
+    return read_pages(spark, path, page_schema(extra), multiline)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,16 +38,19 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     pr = sub.add_parser("profile", help="Q1-Q4 over landed raw records")
     tr = sub.add_parser("transform", help="clean -> signals -> scores, write both tables")
-    for a in (pr, tr):
+    st = sub.add_parser("store", help="store the raw pull as CSV")
+    st.add_argument("--out", required=True)
+    for a in (pr, tr, st):
         a.add_argument("--raw", required=True)
         a.add_argument("--raw-format", choices=["json", "json-files", "csv"], default="json",
                        help="json: one page array per line; json-files: one array per file; csv: by header")
     tr.add_argument("--out")
     tr.add_argument("--as-of", required=True)
     tr.add_argument("--explore", action="store_true", help="show the 5-sample parser report instead")
-    ld = sub.add_parser("load", help="append the tables to a database (or copy them with sink types)")
+    ld = sub.add_parser("load", help="refresh the tables of a database (or copy them with sink types)")
     ld.add_argument("--tables", required=True)
     ld.add_argument("--jdbc-url")
+    ld.add_argument("--truncate", action="store_true", help="empty the tables instead of dropping them")
     ld.add_argument("--to")
     vf = sub.add_parser("verify", help="L1 row counts and L2 top-5")
     vf.add_argument("--tables", required=True)
@@ -49,18 +58,22 @@ def main(argv: list[str] | None = None) -> int:
     qy.add_argument("name")
     qy.add_argument("--sf-dir", required=True)
     qy.add_argument("--show", type=int, default=20)
-    for a in (pr, tr, ld, vf, qy):
+    for a in (pr, tr, st, ld, vf, qy):
         a.add_argument("--master", default=None)
+        a.add_argument("--input-bytes", type=int, help="size of the input, from which the shuffle partitions follow")
     args = p.parse_args(argv)
 
     from .session import job_session
-    spark = job_session(args.master)
+    spark = job_session(args.master, input_bytes=args.input_bytes)
 
     if args.cmd == "profile":
         from .operators import profiling as P
         raw = _read_raw(spark, args.raw, args.raw_format)
         for df in (P.raw_shape(raw), P.raw_date_range(raw), P.distinct_licenses(raw), P.result_distribution(raw)):
             df.show(50, truncate=False)
+    elif args.cmd == "store":
+        from .sinks.writers import write_csv
+        write_csv(_read_raw(spark, args.raw, args.raw_format), args.out)
     elif args.cmd == "transform":
         from .operators.clean import clean_report
         from .operators.scoring import score_distribution, top_riskiest
@@ -72,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
                             mode="explore" if args.explore else "score")
         if res.counters:   # row-drop counters observed during the write job itself
             for k, v in res.counters.items():
-                print(f"{k:>18s}: {v:,}")
+                print(f"{k:>18s}: {v if v is None else format(v, ',')}")
         if args.explore:
             res.report.show(truncate=False, vertical=True)
         else:
@@ -84,8 +97,7 @@ def main(argv: list[str] | None = None) -> int:
         insp = K.inspections_for_load(spark.read.parquet(f"{base}/inspections"))
         scores = K.scores_for_load(spark.read.parquet(f"{base}/risk_scores"))
         if args.jdbc_url:
-            K.append_jdbc(insp, args.jdbc_url, "inspections")
-            K.append_jdbc(scores, args.jdbc_url, "risk_scores")
+            K.refresh_jdbc(insp, scores, args.jdbc_url, truncate=args.truncate)
         elif args.to:
             K.refresh_tables(insp, scores, f"{args.to.rstrip('/')}/inspections", f"{args.to.rstrip('/')}/risk_scores")
         else:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 # Python's ``str.strip()`` treats as whitespace. The set is derived from that
 # rule (29 code points, including U+001C..U+001F which Java's ``\s`` lacks).
 WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+_NUMBER = r"(?i)^[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf(inity)?)$"
 _ISO_DATE_PREFIX = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
@@ -37,8 +38,13 @@ def safe_timestamp(c: str | Column) -> Column:
 
 
 def safe_double(c: str | Column) -> Column:
-    """Text -> double, unparseable -> null (never raises under ANSI mode)."""
-    return strip(c).try_cast("double")
+    """Text -> double, unparseable -> null (never raises under ANSI mode).
+
+    Only plain decimal spellings count: a cast alone would also read type
+    suffixes (``41.5d``), hexadecimal floats and ``nan``.
+    """
+    s = strip(c)
+    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
 
 
 def contains_regex(c: str | Column, pattern: str) -> Column:

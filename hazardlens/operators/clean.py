@@ -1,20 +1,20 @@
 """Cleaning (C1-C15): parse, filter, normalise, dedup, establishment key.
 
 Everything is narrow except the dedup (C6), which is one hash exchange on
-``inspection_id``. The dedup keeps, per id, the copy landed last; it is an
-aggregate with a partial (map-side) step, so a hot id — e.g. one record
+``inspection_id``. The dedup keeps, per id, the copy landed last; it is a
+group limit with a partial (map-side) step, so a hot id — e.g. one record
 re-sent millions of times — is reduced to one row per map task before the
 shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..functions.text import norm, safe_double, safe_timestamp, strip
-from ..schemas import RAW, RAW_REQUIRED, ensure_columns
+from ..schemas import BATCH, LANDING, RAW, RAW_REQUIRED, ensure_columns
 
 KEY_SEPARATOR = "|"
 
@@ -46,18 +46,29 @@ def normalize_results(df: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> Dat
     return df.withColumn("result_score", result_score(F.col("results"), cfg))
 
 
-def dedup_keep_last(df: DataFrame, key: str = "inspection_id", order: str = "ingest_seq") -> DataFrame:
-    """One row per ``key``: the highest ``order``; ties broken by row content.
+def landing_columns(df: DataFrame) -> list[str]:
+    """The columns that order records as they landed, the weightiest first."""
+    own = [c for c in (BATCH, LANDING) if c in df.columns]
+    return own if LANDING in own else [*own, "ingest_seq"]
 
-    ``max(struct(order, <all other columns>))`` is a total order, so the
-    survivor does not depend on partitioning. Null keys form one group.
+
+def dedup_keep_last(df: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame:
+    """One row per ``key``, the last landed. Null keys form one group.
+
+    ``order`` (by default the reader's landing order, else ``ingest_seq``)
+    must be unique within a key; a null in it raises, since the last of
+    records that landed in no order is undefined. Planned as a group limit of
+    one: each map task sends one row per key at most, and columns that nobody
+    reads are pruned below it.
     """
     if key not in df.columns:
         return df
-    rest = [c for c in df.columns if c not in (key, order)]
-    packed = F.max(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_last")
-    return df.groupBy(key).agg(packed).select(key, *[F.col(f"_last.{c}").alias(c) for c in [order] + rest]) \
-        .select(*df.columns)
+    by = []
+    for c in order or landing_columns(df):
+        refused = F.raise_error(F.lit(f"keep-last dedup: {c} is null, so the landing order is unknown"))
+        by.append(F.when(F.col(c).isNull(), refused.cast(df.schema[c].dataType)).otherwise(F.col(c)).desc())
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*by))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= 1).drop("_rank")
 
 
 def normalize_text(df: DataFrame) -> DataFrame:

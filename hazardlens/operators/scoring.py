@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..functions.numeric import clamp, exact_mean, floor_days, round1, scaled
 from ..schemas import SCORE_COLUMNS
-from .ordering import HOT_THRESHOLD, rank_within_key
+from .ordering import rank_within_key
 
 KEY = "establishment_id"
 LATEST_FIELDS = ["dba_name", "aka_name", "address", "zip", "facility_type", "risk",
@@ -60,15 +60,15 @@ def newest_first() -> list[Column]:
     return [F.col("inspection_date").desc(), F.col("inspection_id").desc()]
 
 
-def inspection_order(inspections: DataFrame, hot_threshold: int = HOT_THRESHOLD) -> DataFrame:
+def inspection_order(inspections: DataFrame) -> DataFrame:
     """R2: position of each inspection inside its establishment, newest = 1.
 
     Ties on the date are broken by ``inspection_id`` so the order is total.
-    Establishments above ``hot_threshold`` inspections are ranked through a
-    distributed global index instead of a single-task window.
+    Ranks come from a distributed global index over the three columns, so no
+    establishment is gathered in one task.
     """
-    return rank_within_key(inspections.filter(F.col(KEY).isNotNull()), KEY, newest_first(),
-                           "recency_rank", hot_threshold)
+    keys = inspections.filter(F.col(KEY).isNotNull()).select("inspection_id", KEY, "inspection_date")
+    return rank_within_key(keys, KEY, newest_first(), "recency_rank")
 
 
 def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:

@@ -8,6 +8,8 @@ k-row merge) — nothing unbounded reaches one task.
 
 from __future__ import annotations
 
+import time
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,14 +97,32 @@ def top_n(filtered: DataFrame, n: int = 20) -> DataFrame:
     return ranked.select([F.col(c).alias(TOP_N_COLUMNS[c]) for c in present])
 
 
-def score_histogram(filtered: DataFrame, step: float = 5.0) -> DataFrame:
-    """Count per score bin of width ``step`` (null scores dropped)."""
-    b = F.floor(F.col(SCORE) / F.lit(step)) * F.lit(step)
-    return (filtered.filter(F.col(SCORE).isNotNull())
-            .groupBy(b.cast("double").alias("bin_start"))
-            .agg(F.count(F.lit(1)).alias("establishments"))
-            .withColumn("bin_end", F.col("bin_start") + F.lit(step))
-            .select("bin_start", "bin_end", "establishments"))
+# FIXED VALUES: round bin widths of a histogram over scores.
+HISTOGRAM_STEPS = (0.1, 0.2, 0.5, 1, 2, 5, 10, 20, 50, 100, 200, 500, 1000)
+
+
+def score_histogram(filtered: DataFrame, bins: int = 25) -> DataFrame:
+    """Count per score bin, at most ``bins`` equal bins of a round width over
+    the scores' range (null scores dropped).
+
+    The width is the smallest of ``HISTOGRAM_STEPS`` that covers the range; bins
+    start at multiples of it, and the maximum falls in the last bin even where
+    it is that bin's end. Two small aggregations, whatever the input.
+    """
+    scores = filtered.filter(F.col(SCORE).isNotNull()).select(F.col(SCORE).alias("s"))
+    lo, hi = scores.agg(F.min("s")).scalar(), scores.agg(F.max("s")).scalar()
+
+    def last_bin(step) -> Column:
+        return F.greatest(F.ceil(hi / step) - 1, F.floor(lo / step))
+
+    step = F.lit(None).cast("double")
+    for w in sorted(HISTOGRAM_STEPS, reverse=True):
+        step = F.when(last_bin(F.lit(float(w))) - F.floor(lo / F.lit(float(w))) + 1 <= bins, F.lit(float(w))).otherwise(step)
+    counts = scores.groupBy("s").agg(F.count(F.lit(1)).alias("n")).withColumn("step", step)
+    at = F.least(F.floor(F.col("s") / F.col("step")), last_bin(F.col("step")))
+    return (counts.groupBy((at * F.col("step")).cast("double").alias("bin_start"), "step")
+            .agg(F.sum("n").alias("establishments"))
+            .select("bin_start", (F.col("bin_start") + F.col("step")).alias("bin_end"), "establishments"))
 
 
 def risk_by_facility(filtered: DataFrame, min_n: int = 10, k: int = 15) -> DataFrame:
@@ -186,11 +206,11 @@ def card_label(matches: DataFrame) -> DataFrame:
 def inspection_history(matches: DataFrame, inspections: DataFrame, k: int = 10) -> DataFrame:
     """Newest ``k`` inspections of every matched establishment, in one join.
 
-    ``matches`` is a top-k result (at most ``search_top``'s k rows), so it is
-    broadcast; the per-key limit is planned as a ``WindowGroupLimit``.
+    ``matches`` may be of any size: whether its keys are broadcast is left to
+    their measured size. The per-key limit is planned as a ``WindowGroupLimit``.
     """
     keys = matches.select(KEY)
-    hist = inspections.join(F.broadcast(keys), KEY, "left_semi")
+    hist = inspections.join(keys, KEY, "left_semi")
     w = Window.partitionBy(KEY).orderBy(F.col("inspection_date").desc(), F.col("inspection_id").desc())
     top = hist.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(KEY, "rank", *[F.col(c).alias(a) for c, a in HISTORY_COLUMNS.items()])
@@ -226,7 +246,8 @@ def cached_scores(scores: DataFrame) -> DataFrame:
 
 
 CACHE_TTL_SECONDS = 3600
-_TTL_CACHE: dict[tuple, tuple[float, DataFrame]] = {}
+# Per session (dropped with it): (path, format) -> (time read, frame).
+_TTL_CACHE: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def load_cached(spark, path: str, fmt: str = "parquet", ttl: float = CACHE_TTL_SECONDS) -> DataFrame:
@@ -237,19 +258,26 @@ def load_cached(spark, path: str, fmt: str = "parquet", ttl: float = CACHE_TTL_S
     executor memory (spilling to disk); on executor loss Spark recomputes
     the lost blocks from the file scan.
     """
-    import time
-    key = (id(spark), path, fmt)
+    own = _TTL_CACHE.setdefault(spark, {})
+    key = (path, fmt)
     now = time.monotonic()
-    hit = _TTL_CACHE.get(key)
+    hit = own.get(key)
     if hit is not None and now - hit[0] < ttl:
         return hit[1]
     if hit is not None:
         hit[1].unpersist()
     df = spark.read.format(fmt).load(path).cache()
-    _TTL_CACHE[key] = (now, df)
+    own[key] = (now, df)
     return df
 
 
+def release_cached(spark, path: str | None = None) -> None:
+    """Drop the session's cached tables (of one path, or all)."""
+    own = _TTL_CACHE.get(spark, {})
+    for key in [k for k in own if path in (None, k[0])]:
+        own.pop(key)[1].unpersist()
+
+
 def inspections_view(inspections: DataFrame) -> DataFrame:
     """The 10 inspection columns the dashboard reads (ordering left to the consumer)."""
     return inspections.select(INSPECTION_VIEW_COLUMNS)

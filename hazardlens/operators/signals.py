@@ -43,7 +43,7 @@ def signal_totals(signals: DataFrame) -> DataFrame:
     """V8: total codes found and total keyword hits over all rows."""
     return signals.agg(
         F.coalesce(F.sum(F.size("violation_codes")), F.lit(0)).cast("long").alias("total_codes"),
-        F.coalesce(F.sum(F.size("kw_found")), F.lit(0)).cast("long").alias("total_keyword_hits"),
+        F.coalesce(F.sum(F.col("kw_critical") + F.col("kw_major") + F.col("kw_minor")), F.lit(0)).cast("long").alias("total_keyword_hits"),
     )
 
 

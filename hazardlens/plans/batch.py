@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..functions.text import norm, safe_timestamp
-from ..operators.clean import clean, require_columns
+from ..operators.clean import clean, count_establishments, require_columns
 from ..operators.explore import explore_report, explore_sample
 from ..operators.scoring import risk_scores
-from ..operators.signals import parse_violations
-from ..sinks.writers import clustered_scores, write_parquet
+from ..operators.signals import parse_violations, severity_stats, signal_totals
+from ..schemas import LANDING
+from ..sinks.writers import clustered_scores, require_key, switch_in, write_parquet
 
 
 @dataclass
@@ -58,7 +59,11 @@ def run_transform(spark: SparkSession, raw: DataFrame, as_of, out_dir: str | Non
 
     In ``score`` mode with ``out_dir`` the inspections (without ``kw_found``)
     are written, the scores are computed from that written table and written
-    next to it, clustered by ZIP and score (K8).
+    next to it, clustered by ZIP and score (K8). Both are complete and pass the
+    key check (K7) before they replace tables already in ``out_dir``. Columns
+    beyond the declared ones pass through to the inspections. The counters
+    report the dropped rows (C15), the establishments (C14), and the totals and
+    statistics of the signals (V8, V9).
     """
     inspections = parse_violations(clean(raw, cfg), cfg=cfg)
     if mode == "explore":
@@ -68,9 +73,24 @@ def run_transform(spark: SparkSession, raw: DataFrame, as_of, out_dir: str | Non
     base = out_dir.rstrip("/")
     observed, obs = _observed(raw, cfg)
     inspections = parse_violations(clean(observed, cfg), cfg=cfg)
-    write_parquet(inspections.drop("kw_found"), f"{base}/inspections")
-    stored = spark.read.parquet(f"{base}/inspections")
-    counters = dict(obs.get)
-    counters["duplicates"] = counters["remaining"] - stored.count()
-    clustered_scores(risk_scores(stored, as_of, cfg), f"{base}/risk_scores")
-    return TransformResult(stored, spark.read.parquet(f"{base}/risk_scores"), counters=counters)
+    counters: dict = {}
+
+    def write_both(path: str) -> None:
+        write_parquet(inspections.drop("kw_found", LANDING), path)
+        stored = spark.read.parquet(path)
+        if "inspection_id" in raw.columns:
+            require_key(stored.filter(F.col("inspection_id").isNotNull()), "inspection_id", "inspections")
+        counters.update(obs.get)
+        counters["duplicates"] = counters["remaining"] - stored.count()
+        for report in (count_establishments(stored), signal_totals(stored), severity_stats(stored)):
+            counters.update(report.first().asDict())
+
+        def write_scores(scores_path: str) -> None:
+            clustered_scores(risk_scores(stored, as_of, cfg), scores_path)
+            require_key(spark.read.parquet(scores_path), "establishment_id", "risk_scores")
+
+        switch_in(spark, f"{base}/risk_scores", write_scores)
+
+    switch_in(spark, f"{base}/inspections", write_both)
+    return TransformResult(spark.read.parquet(f"{base}/inspections"), spark.read.parquet(f"{base}/risk_scores"),
+                           counters=counters)

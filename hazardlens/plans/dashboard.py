@@ -1,7 +1,9 @@
 """The dashboard's queries as one object over the stored tables.
 
 Every panel is a lazy DataFrame built from the serving operators; nothing is
-collected here. Tables are read through the one-hour TTL cache (D19).
+collected here. The scores are read through the one-hour TTL cache (D19); the
+inspections, with their texts, are read from the files by each lookup, which
+needs a few columns of a few keys.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ class Dashboard:
 
     @property
     def inspections(self) -> DataFrame:
-        return D.load_cached(self.spark, f"{self.base}/{INSPECTIONS}", ttl=self.ttl)
+        return D.inspections_view(self.spark.read.parquet(f"{self.base}/{INSPECTIONS}"))
 
     def facets(self) -> DataFrame:
         return D.facets(self.scores)

@@ -23,7 +23,7 @@ from ..operators import scoring as R
 from ..operators import serving as D
 from ..operators.signals import parse_violations, severity_stats, signal_totals
 from ..functions.numeric import clamp, round1
-from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, RAW, SCORES, to_sink_schema
+from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, RAW, RAW_TEXT_COLUMNS, SCORES, to_sink_schema
 from ..session import staging_path
 from ..sinks import writers as K
 from ..sources import files as SF
@@ -120,7 +120,7 @@ def _sink_cols(cols: list[str], floats: set[str]) -> str:
 @register("page_scan", f"SELECT {RAW_COLS} FROM raw_inspections")
 def page_scan(spark, sf):
     path = L.land_pages(_raw(spark, sf), staging_path(spark, "pages"), PAGE_SIZE_TEST)
-    return L.read_pages(spark, path)
+    return L.read_pages(spark, path, L.page_schema(with_seq=True)).select(RAW.fieldNames())
 
 
 @register("union_pages", f"SELECT * REPLACE (CASE WHEN ingest_seq = 1 THEN NULL ELSE aka_name END AS aka_name) "
@@ -131,10 +131,38 @@ def union_pages(spark, sf):
     later_cols = [c for c in raw.columns if c != "aka_name"]
     second = L.land_pages(raw.filter("ingest_seq = 1"), staging_path(spark, "pages-b"), PAGE_SIZE_TEST, later_cols)
     narrow = T.StructType([f for f in RAW.fields if f.name != "aka_name"])
-    parts = [L.read_pages(spark, first), L.read_pages(spark, second, narrow)]
+    parts = [L.read_pages(spark, first, L.page_schema(with_seq=True)), L.read_pages(spark, second, narrow)]
     return L.union_pages(parts).select(RAW.fieldNames())
 
 
+def _unsorted_drops(spark, sf, name, write):
+    """The records in two drops of unequal size, without their order in the data:
+    the first copies, then the later ones, each in several files."""
+    raw, path = _raw(spark, sf), staging_path(spark, name)
+    for drop, seq in (("drop1", 0), ("drop2", 1)):
+        write(raw.filter(F.col("ingest_seq") == seq), f"{path}/{drop}")
+    return path
+
+
+@register("dedup_landed_pages", "SELECT inspection_id, results, result_score FROM c_dedup")
+def dedup_landed_pages(spark, sf):
+    """S2 + C6 on real pages: the landing order is that of the files and lines."""
+    path = _unsorted_drops(spark, sf, "dedup-pages", lambda df, to: L.land_pages(df, to, PAGE_SIZE_TEST, RAW_TEXT_COLUMNS))
+    raw = L.read_pages(spark, [f"{path}/drop1", f"{path}/drop2"])
+    df = C.dedup_keep_last(C.normalize_results(C.drop_bad_dates(C.parse_dates(raw))))
+    return df.select("inspection_id", "results", "result_score")
+
+
+@register("dedup_csv_files", "SELECT inspection_id, results, result_score FROM c_dedup")
+def dedup_csv_files(spark, sf):
+    """S4 + C6 over several CSV files: the landing order is that of the files and rows."""
+    path = _unsorted_drops(spark, sf, "dedup-csv",
+                           lambda df, to: K.write_csv(df.select(RAW_TEXT_COLUMNS).repartition(3, "inspection_id"), to))
+    raw = SF.read_raw_csv(spark, f"{path}/*", null_value=SF.CSV_OPTIONS["nullValue"])
+    df = C.dedup_keep_last(C.normalize_results(C.drop_bad_dates(C.parse_dates(raw))))
+    return df.select("inspection_id", "results", "result_score")
+
+
 @register("ordered_page", f"""SELECT inspection_id, ingest_seq FROM raw_inspections
 ORDER BY inspection_id NULLS FIRST, ingest_seq NULLS FIRST LIMIT {PAGE_SIZE_TEST} OFFSET {PAGE_SIZE_TEST}""")
 def ordered_page(spark, sf):
@@ -189,6 +217,15 @@ def source_fallback(spark, sf):
     return SF.table_or_path(spark, "hazardlens_scores_not_registered", path, SCORES)
 
 
+@register("source_catalog", f"SELECT {SCORE_COLS} FROM risk_scores")
+def source_catalog(spark, sf):
+    """S9, the catalog branch: a registered table goes before files."""
+    import uuid
+    name = f"hazardlens_scores_{uuid.uuid4().hex[:8]}"
+    _scores(spark, sf).write.option("path", staging_path(spark, "scores-table")).saveAsTable(name)
+    return SF.table_or_path(spark, name, "/no/such/path", SCORES)
+
+
 @register("reparse_dates", "SELECT establishment_id, last_inspection_date FROM risk_scores")
 def reparse_dates(spark, sf):
     path = staging_path(spark, "scores-text")
@@ -587,9 +624,15 @@ def top_n(spark, sf):
     return D.top_n(D.apply_filters(_scores(spark, sf)), TOP_N)
 
 
-@register("score_histogram", """SELECT CAST(floor(dynamic_risk_score / 5.0) * 5.0 AS DOUBLE) AS bin_start,
-  CAST(floor(dynamic_risk_score / 5.0) * 5.0 AS DOUBLE) + 5.0 AS bin_end, count(*) AS establishments
-FROM risk_scores WHERE dynamic_risk_score IS NOT NULL AND dynamic_risk_score BETWEEN 0 AND 100 GROUP BY 1""")
+_HISTOGRAM_STEP = "CASE " + " ".join(
+    f"WHEN greatest(ceil(hi / {w:.1f}) - 1, floor(lo / {w:.1f})) - floor(lo / {w:.1f}) + 1 <= 25 THEN {w:.1f}::DOUBLE"
+    for w in (0.1, 0.2, 0.5, 1, 2, 5, 10, 20, 50, 100, 200, 500, 1000)) + " END"
+
+
+@register("score_histogram", f"""WITH h AS (SELECT dynamic_risk_score AS s FROM risk_scores WHERE dynamic_risk_score BETWEEN 0 AND 100),
+e AS (SELECT *, {_HISTOGRAM_STEP} AS step FROM (SELECT min(s) AS lo, max(s) AS hi FROM h))
+SELECT CAST(least(floor(s / step), greatest(ceil(hi / step) - 1, floor(lo / step))) * step AS DOUBLE) AS bin_start,
+  bin_start + max(step) AS bin_end, count(*) AS establishments FROM h, e GROUP BY 1""")
 def score_histogram(spark, sf):
     return D.score_histogram(D.apply_filters(_scores(spark, sf)))
 
@@ -671,7 +714,7 @@ def bucketed_history(spark, sf):
     import uuid
     insp = _insp(spark, sf)
     name = f"hazardlens_inspections_{uuid.uuid4().hex[:8]}"
-    K.bucketed_inspections(insp.drop("kw_found", "violation_codes"), name, staging_path(spark, "bucketed"), 8)
+    K.bucketed_inspections(insp.drop("kw_found", "violation_codes"), name, 8, staging_path(spark, "bucketed"))
     stored = spark.table(name)
     matches = D.search_top(R.risk_scores(stored, AS_OF), SEARCH_TERM, TOP_N)
     return D.inspection_history(matches, stored, 10)
@@ -740,6 +783,6 @@ def streaming_refresh(spark, sf):
     landing = staging_path(spark, "landing")
     raw_dir, out_dir, ckpt = (staging_path(spark, n) for n in ("stream-raw", "stream-out", "stream-ckpt"))
     for drop, seq in (("drop1", 0), ("drop2", 1)):
-        L.land_pages(raw.filter(F.col("ingest_seq") == seq), f"{landing}/{drop}", PAGE_SIZE_TEST)
+        L.land_pages(raw.filter(F.col("ingest_seq") == seq), f"{landing}/{drop}", PAGE_SIZE_TEST, RAW_TEXT_COLUMNS)
         start_refresh(spark, landing, raw_dir, out_dir, ckpt, AS_OF).awaitTermination()
     return latest_output(spark, out_dir)[1].select(SCORES.fieldNames())

@@ -19,6 +19,11 @@ RAW = T.StructType(
     + [T.StructField("ingest_seq", T.LongType(), True)]
 )
 
+# A reader's own order of a record: (file, place in it), a struct that sorts as landed.
+LANDING = "landing"
+# The micro-batch a record came with, in the refresh stream.
+BATCH = "_batch"
+
 # Columns the cleaning step reads without a guard.
 RAW_REQUIRED = ["dba_name", "address", "license_", "inspection_date",
                 "inspection_type", "results", "violations"]

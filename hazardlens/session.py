@@ -58,12 +58,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def job_session(master: str | None = None, app_name: str = "hazardlens") -> SparkSession:
+def job_session(master: str | None = None, app_name: str = "hazardlens", input_bytes: int | None = None) -> SparkSession:
     """Session for a job run: the submitted cluster's master when there is one.
 
     Under ``spark-submit`` the master comes from the submit arguments and is
     not overridden; a plain ``python`` run without ``master`` gets
-    ``local[*]``. The job settings (AQE, skew joins, UTC) are applied either way.
+    ``local[*]``. The job settings (AQE, skew joins, UTC) are applied either way;
+    with ``input_bytes`` the sizes of ``recommended_conf`` follow from it and
+    the cluster's cores.
     """
     from pyspark import SparkConf, SparkContext
     if master is None:
@@ -75,7 +77,11 @@ def job_session(master: str | None = None, app_name: str = "hazardlens") -> Spar
         builder = builder.master(master)
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if input_bytes:
+        for k, v in recommended_conf(input_bytes, spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(k, v)
+    return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -128,13 +134,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     a large input the scan already has more splits than cores and this is a
     no-op, so it never adds a shuffle at scale. Rows are hash-partitioned on
     ``keys`` (deterministic on retry, no pre-sort; pass the key of the next
-    aggregation so that exchange is reused), else round-robin.
+    aggregation so that exchange is reused), else round-robin. The rows are the
+    same either way; only the number of tasks differs.
     """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API on this session: leave the plan as is
-        return df
-    if have >= want:
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)

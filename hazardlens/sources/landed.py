@@ -1,79 +1,86 @@
 """Landed API pages.
 
 The upstream API serves records in pages of ``PAGE_SIZE`` rows ordered by
-``inspection_id``; each page is a JSON array of objects whose keys may vary
-(absent keys = absent values). Here pages are files in a landing folder:
-
-* ``assign_pages`` gives every record its page number under a *global*
-  order without a single-partition window: the data is range-partitioned
-  and sorted, each partition's row count is taken (one small row per
-  partition), and prefix offsets are broadcast back (size = #partitions).
-* ``land_pages`` writes one JSON array (one page, at most ``PAGE_SIZE``
-  rows) per line, packed into a bounded number of flat, splittable files.
-* ``read_pages`` reads any number of page files under one explicit schema.
+``inspection_id``; a page is a JSON array of objects whose keys may vary
+(absent keys = absent values). Here pages are files in a landing folder, each
+line one page (an array) or one record (an object).
+
+* ``read_pages`` reads any number of page files under one explicit schema and
+  gives every record its landing order: file path, then place in the file. A
+  damaged page stops the read; ``damaged_pages`` lists such lines instead.
+* ``assign_pages`` / ``ordered_page`` give every record its page number under
+  a *global* order without a single-partition window.
+* ``land_pages`` lands a frame as page files (support for the fixtures).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import PAGE_SIZE
 from ..operators.ordering import global_row_index
-from ..schemas import RAW
+from ..schemas import LANDING, RAW, RAW_TEXT_COLUMNS
 
+DEFAULT_ORDER = ("inspection_id", "ingest_seq")
 
-def assign_pages(df: DataFrame, page_size: int = PAGE_SIZE,
-                 order: Sequence[str] = ("inspection_id", "ingest_seq")) -> DataFrame:
-    """Add ``row_index`` (0-based, global order) and ``page_no`` to every row."""
-    indexed = global_row_index(df, [F.col(c).asc_nulls_first() for c in order])
-    return indexed.withColumn("page_no", F.floor(F.col("row_index") / F.lit(page_size)).cast("long"))
 
+def landing_order(file: str = "_metadata.file_path", block: str = "_metadata.file_block_start") -> Column:
+    """Landing order of a record just read: file path, then place in the file.
 
-def page_summary(paged: DataFrame) -> DataFrame:
-    """Rows per page and the id range each page covers."""
-    return (paged.groupBy("page_no")
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.min("row_index").alias("first_row"), F.max("row_index").alias("last_row"))
-            .orderBy("page_no"))
+    A file split is read by one task in file order, where the running id
+    rises; splits of one file are ordered by where they start. The struct
+    compares field by field, and no two records share one.
+    """
+    return F.struct(F.col(file).alias("file"), F.col(block).cast("long").alias("block"),
+                    F.monotonically_increasing_id().alias("line")).alias(LANDING)
 
 
-PAGES_PER_FILE = 64
+def page_schema(extra: Sequence[str] = (), with_seq: bool = False) -> T.StructType:
+    """The declared text columns, then ``extra`` ones; ``with_seq`` adds a landed ``ingest_seq``."""
+    fields = [T.StructField(c, T.StringType()) for c in [*RAW_TEXT_COLUMNS, *extra]]
+    return T.StructType(fields + ([RAW["ingest_seq"]] if with_seq else []))
 
 
-def land_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE,
-               columns: Sequence[str] | None = None, pages_per_file: int = PAGES_PER_FILE) -> str:
-    """Write ``df`` as landed pages under ``path``: one JSON array (one page) per line.
+def read_pages(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
+               multiline: bool = False) -> DataFrame:
+    """Read landed pages under an explicit schema (absent keys -> null).
 
-    A line holds at most ``page_size`` records (a fixed bound); lines are
-    packed ``pages_per_file`` to a file in one flat folder, so a 100 TB
-    landing is thousands of splittable files, not millions of page folders.
-    Null values are left out of each object, as the API does. Returns ``path``.
+    Without ``schema`` the declared columns are read. Every record gets its
+    ``landing`` order, which the dedup keeps the last by. A damaged page (cut
+    short, not JSON) raises: a page holds up to ``PAGE_SIZE`` records, and none
+    may be lost unnoticed. ``multiline=True`` reads raw API responses saved one
+    pretty-printed array per file.
     """
-    cols = list(columns) if columns is not None else df.columns
-    paged = assign_pages(df, page_size)
-    body = (paged.groupBy("page_no")
-            .agg(F.to_json(F.sort_array(F.collect_list(F.struct(F.col("row_index"), F.struct(*cols).alias("r"))))
-                           .getField("r")).alias("value")))
-    file_group = F.floor(F.col("page_no") / F.lit(pages_per_file))
-    body.repartition(file_group).select("value").write.mode("overwrite").text(path)
-    return path
+    paths = [path] if isinstance(path, str) else list(path)
+    schema = schema or page_schema()
+    df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(paths)
+    return df.select(*schema.fieldNames(), landing_order())
 
 
-def read_pages(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW,
-               multiline: bool = False) -> DataFrame:
-    """Read landed pages under an explicit schema (absent keys -> null).
+def damaged_pages(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """The lines that ``read_pages`` refuses: ``file``, the ``page`` text itself, and
+    the ``inspection_id`` that could be read of it, if any."""
+    paths = [path] if isinstance(path, str) else list(path)
+    schema = page_schema().add("_corrupt_record", "string")
+    df = (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE").json(paths))
+    # a query of the damage column alone is refused by the reader, so a parsed one stays
+    return (df.select(F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").alias("page"), "inspection_id")
+            .filter(F.col("page").isNotNull()))
 
-    Pages written by ``land_pages`` are one JSON array per line (splittable);
-    ``multiline=True`` reads raw API responses saved one pretty-printed array
-    per file.
-    """
+
+def landed_keys(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> list[str]:
+    """Every key that occurs in the landed records: the declared columns first,
+    then the others by name. One pass over the files; only names reach the driver."""
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.schema(schema).option("multiLine", multiline).json(paths)
-    return df.select(schema.fieldNames())
+    lines = spark.read.option("wholetext", multiline).text(paths)
+    records = lines.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("r"))
+    found = {r.k for r in records.select(F.explode(F.map_keys("r")).alias("k")).distinct().collect()}
+    known = [c for c in RAW.fieldNames() if c in found]
+    return known + sorted(found - set(known))
 
 
 def union_pages(parts: Sequence[DataFrame]) -> DataFrame:
@@ -84,22 +91,44 @@ def union_pages(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-TAKE_ORDERED_MAX_ROWS = 1_000_000
+def assign_pages(df: DataFrame, page_size: int = PAGE_SIZE, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
+    """``order`` columns of every row with its ``row_index`` (0-based, global order) and ``page_no``.
+
+    Only the order columns are sorted and indexed; ``order`` is a key, so whole
+    rows can be joined back on it.
+    """
+    indexed = global_row_index(df.select(*order), [F.col(c).asc_nulls_first() for c in order])
+    return indexed.withColumn("page_no", F.floor(F.col("row_index") / F.lit(page_size)).cast("long"))
 
 
-def ordered_page(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE,
-                 order: Sequence[str] = ("inspection_id", "ingest_seq")) -> DataFrame:
-    """S3: one page under the stable order.
+def page_summary(paged: DataFrame) -> DataFrame:
+    """Rows per page and the id range each page covers."""
+    return (paged.groupBy("page_no")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.min("row_index").alias("first_row"), F.max("row_index").alias("last_row"))
+            .orderBy("page_no"))
 
-    Shallow pages use ``orderBy().offset().limit()`` (take-ordered: every
-    task keeps ``offset + limit`` rows, one task merges them). Beyond
-    ``TAKE_ORDERED_MAX_ROWS`` that merge would not fit one task, so deep
-    pages are cut from the distributed global row index instead.
+
+def ordered_page(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE,
+                 order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
+    """S3: the rows of one page under the stable order, cut from the global index
+    of the order columns and joined back; the same plan however deep the page."""
+    paged = assign_pages(df, page_size, order)
+    keys = paged.filter(F.col("page_no") == page_no).select(*(F.col(c).alias(f"_key_{c}") for c in order), "row_index")
+    same = [df[c].eqNullSafe(keys[f"_key_{c}"]) for c in order]
+    return df.join(keys, same).orderBy("row_index").select(*df.columns)
+
+
+def land_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE, columns: Sequence[str] | None = None,
+               order: Sequence[str] = DEFAULT_ORDER) -> str:
+    """Land ``df`` under ``path`` in ``order``, at most ``page_size`` records to a file, one per line.
+
+    Rows are range-partitioned and sorted, so no page is ever gathered in one
+    row. Null values are left out of each object, as the API does. Returns
+    ``path``.
     """
-    cols = [F.col(c).asc_nulls_first() for c in order]
-    if (page_no + 1) * page_size <= TAKE_ORDERED_MAX_ROWS:
-        return df.orderBy(*cols).offset(page_no * page_size).limit(page_size)
-    lo = page_no * page_size
-    indexed = global_row_index(df, cols)
-    return (indexed.filter((F.col("row_index") >= lo) & (F.col("row_index") < lo + page_size))
-            .orderBy("row_index").drop("row_index"))
+    cols = list(columns) if columns is not None else df.columns
+    by = [F.col(c).asc_nulls_first() for c in order]
+    (df.repartitionByRange(*by).sortWithinPartitions(*by).select(*cols)
+     .write.mode("overwrite").option("maxRecordsPerFile", page_size).json(path))
+    return path

@@ -4,20 +4,19 @@ The published workflow is a scheduled full drop-and-reload. Here the same
 refresh runs as a Structured Streaming query over the landing folder:
 
 * new page files are picked up by the JSON file source (explicit schema,
-  one page array per line), with progress kept in the query checkpoint, so a
-  restarted or retried job never re-reads or skips a page;
-* ``foreachBatch`` cleans and parses **only the new records** (the text
-  stage is the dominant CPU cost) and appends them to a ``parsed`` table
-  partitioned by batch id — a retried batch overwrites just its own
-  partition, so the append is exactly-once;
-* it then rebuilds the inspections table from all parsed rows (keep-last per
-  ``inspection_id`` by ``ingest_seq``; ``ingest_seq`` is unique per landed
-  record) and recomputes the scores from it, into a folder named after the
-  batch id with a completion marker; readers take the newest complete one.
-
-Scores are recomputed for every establishment on each refresh: recency
-decays with the clock, so every score moves whenever ``as_of`` does. No
-watermark is needed: a score is a pure function of all of an
+  damaged pages stop the query), with progress kept in the query checkpoint,
+  so a restarted or retried job never re-reads or skips a page;
+* ``foreachBatch`` stores the landed records once, and parses **only these**
+  (the text stage is the dominant CPU cost);
+* the inspections table is a folder per batch id: the previous table without
+  the ids that the batch touched, plus the last landed record of each of
+  those. The order is (batch, file, place in the file), so a correction in a
+  later drop supersedes, whatever its content;
+* scores are recomputed for every establishment (recency moves with the
+  clock) from the few columns that scoring reads; readers take the newest
+  folder that has its completion marker, and older ones beyond ``keep`` go.
+
+No watermark is needed: a score is a pure function of all of an
 establishment's inspections, so a late record is simply part of the next
 refresh — there is no windowed state to expire.
 ``Trigger.AvailableNow`` processes what has landed and stops — the streaming
@@ -28,57 +27,94 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
-from ..operators.clean import clean, dedup_keep_last
+from ..operators.clean import clean
 from ..operators.scoring import risk_scores
 from ..operators.signals import parse_violations
-from ..schemas import RAW
+from ..schemas import BATCH, INSPECTION_COLUMNS, INSPECTIONS
 from ..sinks.writers import clustered_scores, write_parquet
+from ..sources.landed import landing_order, page_schema
 
 DONE_MARKER = "_BATCH_COMPLETE"
+KEEP_OUTPUTS = 2
+_FILE, _BLOCK = "_file", "_block"
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
                    multiline: bool = False) -> DataFrame:
-    """Streaming frame of raw records from page files as they land (one page per line;
-    ``multiline=True`` for one pretty-printed array per file)."""
+    """Streaming frame of raw records from page files as they land, with the file
+    and split that each came from (``multiline=True`` for one array per file)."""
     # Page files may sit in any sub-folder layout; no partition columns are inferred.
-    reader = spark.readStream.schema(RAW).option("multiLine", multiline).option("recursiveFileLookup", True)
+    schema = page_schema()
+    reader = (spark.readStream.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST")
+              .option("recursiveFileLookup", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir).select(RAW.fieldNames())
+    return reader.json(landing_dir).select(*schema.fieldNames(), F.col("_metadata.file_path").alias(_FILE),
+                                           F.col("_metadata.file_block_start").alias(_BLOCK))
 
 
-def _rebuild(spark: SparkSession, parsed_dir: str, out_dir: str, as_of, cfg: ScoringConfig, batch_id: int) -> None:
-    parsed = spark.read.parquet(parsed_dir).drop("_batch")
-    inspections = dedup_keep_last(parsed)          # a re-sent record supersedes earlier batches
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _complete(spark: SparkSession, out_dir: str) -> list[str]:
+    """Complete batch folders under ``out_dir``, oldest first."""
+    root = out_dir.rstrip("/")
+    fs, path = _fs(spark, root)
+    if not fs.exists(path):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith("batch="))
+    return [f"{root}/{n}" for n in names if fs.exists(_fs(spark, f"{root}/{n}/{DONE_MARKER}")[1])]
+
+
+def _refresh(spark: SparkSession, parsed: DataFrame, out_dir: str, as_of, cfg: ScoringConfig, batch_id: int, keep: int) -> None:
+    """Merge one batch's parsed records (one per id) into the tables of the newest complete folder before it."""
     target = f"{out_dir.rstrip('/')}/batch={batch_id:010d}"
-    write_parquet(inspections.drop("kw_found"), f"{target}/inspections")
-    stored = spark.read.parquet(f"{target}/inspections")
+    before = [d for d in _complete(spark, out_dir) if d < target]
+    fresh = parsed.select(INSPECTION_COLUMNS)
+    if before:
+        old = spark.read.schema(INSPECTIONS).parquet(f"{before[-1]}/inspections")
+        touched = parsed.select(F.col("inspection_id").alias("_touched"))
+        kept = old.join(touched, old["inspection_id"].eqNullSafe(touched["_touched"]), "left_anti")
+        fresh = kept.unionByName(fresh)
+    write_parquet(fresh, f"{target}/inspections")
+    stored = spark.read.schema(INSPECTIONS).parquet(f"{target}/inspections")
     clustered_scores(risk_scores(stored, as_of, cfg), f"{target}/risk_scores")
     spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").json(f"{target}/{DONE_MARKER}")
+    for old_dir in _complete(spark, out_dir)[:-keep]:
+        fs, path = _fs(spark, old_dir)
+        fs.delete(path, True)
 
 
 def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir: str, checkpoint_dir: str,
                   as_of, cfg: ScoringConfig = DEFAULT_CONFIG, available_now: bool = True,
-                  processing_time: str | None = None):
+                  processing_time: str | None = None, keep: int = KEEP_OUTPUTS):
     """Start the refresh query; returns the ``StreamingQuery``.
 
-    ``raw_dir`` receives the landed records (kept for audit) and, under
-    ``raw_dir/_parsed``, the cleaned + parsed rows of every batch.
+    ``raw_dir`` receives the landed records (kept for audit) under ``_landed``
+    and the cleaned + parsed rows of every batch under ``_parsed``, each in a
+    partition by batch id that a retried batch overwrites. The newest ``keep``
+    outputs stay in ``out_dir``.
     """
-    parsed_dir = f"{raw_dir.rstrip('/')}/_parsed"
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    base = raw_dir.rstrip("/")
 
-    def append(df: DataFrame, path: str, batch_id: int) -> None:
-        (df.withColumn("_batch", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch").parquet(path))
+    def stored(df: DataFrame, path: str, batch_id: int) -> DataFrame:
+        """``df`` written to the batch's own folder of ``path`` and read back, under its schema."""
+        target = f"{path}/{BATCH}={batch_id}"
+        df.write.mode("overwrite").parquet(target)
+        return df.sparkSession.read.schema(T.StructType(df.schema.fields)).parquet(target)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        append(batch, f"{raw_dir.rstrip('/')}/_landed", batch_id)
-        append(parse_violations(clean(batch, cfg), cfg=cfg), parsed_dir, batch_id)
-        _rebuild(batch.sparkSession, parsed_dir, out_dir, as_of, cfg, batch_id)
+        landed = batch.select(*page_schema().fieldNames(), landing_order(_FILE, _BLOCK))
+        landed = stored(landed, f"{base}/_landed", batch_id)
+        parsed = stored(parse_violations(clean(landed, cfg), cfg=cfg), f"{base}/_parsed", batch_id)
+        _refresh(batch.sparkSession, parsed, out_dir, as_of, cfg, batch_id, keep)
 
     writer = landing_stream(spark, landing_dir).writeStream.foreachBatch(on_batch) \
         .option("checkpointLocation", checkpoint_dir)
@@ -91,18 +127,11 @@ def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir:
 
 def latest_output(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame] | None:
     """(inspections, risk_scores) of the newest complete batch folder, if any."""
-    root = out_dir.rstrip("/")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    complete = _complete(spark, out_dir)
+    if not complete:
         return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith("batch="))
-    for name in reversed(names):
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{DONE_MARKER}")):
-            return (spark.read.parquet(f"{root}/{name}/inspections"),
-                    spark.read.parquet(f"{root}/{name}/risk_scores"))
-    return None
+    return (spark.read.parquet(f"{complete[-1]}/inspections"),
+            spark.read.parquet(f"{complete[-1]}/risk_scores"))
 
 
 __all__ = ["landing_stream", "start_refresh", "latest_output"]

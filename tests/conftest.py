@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,7 @@ from hazardlens.schemas import RAW  # noqa: E402
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
 AS_OF = "2001-09-01 12:00:00"
+EVENTS = tempfile.mkdtemp(prefix="hazardlens-events-")      # the plans that tests look at
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +24,8 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", f"file://{EVENTS}")
+         .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -6,17 +6,18 @@ from conftest import SF_SMALL
 from oracle_compare import compare
 
 import __spark_entry__ as E
+from hazardlens.plans import registry
 
 
 def test_registry_is_complete():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert len(qs) >= 75
+    assert len(registry.queries()) >= 86 and set(registry.queries()) <= set(qs)
 
 
 @pytest.fixture(scope="module")
 def results(spark):
-    return compare(spark, SF_SMALL, verbose=False)
+    return compare(spark, SF_SMALL, list(registry.queries()), verbose=False)
 
 
 def test_all_queries_match_oracle(results):

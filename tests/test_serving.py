@@ -1,5 +1,6 @@
 """Serving operators: parameters, defaults and edge cases."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from hazardlens.operators import serving as D
@@ -50,8 +51,21 @@ def test_map_points_and_histogram(spark):
     s = _scores(spark)
     pts = {r.establishment_id: r.size for r in D.map_points(s).collect()}
     assert set(pts) == {"a", "c"} and pts["a"] == 70.0 * 0.6 + 10.0
-    hist = {r.bin_start: r.establishments for r in D.score_histogram(s).collect()}
-    assert hist == {70.0: 1, 35.0: 1, 40.0: 1}
+    hist = {r.bin_start: (r.bin_end, r.establishments) for r in D.score_histogram(s).collect()}
+    assert hist == {68.0: (70.0, 1), 38.0: (40.0, 1), 40.0: (42.0, 1)}
+
+
+@pytest.mark.parametrize("values, width", [
+    ([0.0, 100.0], 5), ([100.0], 0.1), ([0.0], 0.1), ([20.0, 76.5], 5), ([40.0, 60.0], 1), ([41.3, 41.9], 0.1), ([0.0, 2500.0], 100)])
+def test_histogram_bins_cover_the_range(spark, values, width):
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "dynamic_risk_score double")
+    rows = D.score_histogram(df).collect()
+    assert sum(r.establishments for r in rows) == len(values)
+    assert {round(r.bin_end - r.bin_start, 6) for r in rows} == {width}
+    last = max(rows, key=lambda r: r.bin_start)
+    assert last.bin_start <= max(values) <= last.bin_end + 1e-9
+    assert (last.bin_start - min(r.bin_start for r in rows)) / width < 25
+    assert D.score_histogram(df.limit(0)).collect() == []
 
 
 def test_top_n_renames_and_ties(spark):
@@ -70,6 +84,9 @@ def test_ttl_cache_refreshes(spark):
     _scores(spark).limit(1).write.mode("overwrite").parquet(path)
     b = D.load_cached(spark, path, ttl=0)           # expired: re-read, old copy released
     assert b is not a and b.count() == 1 and not a.is_cached
+    D.release_cached(spark, path)
+    assert not b.is_cached and D.load_cached(spark, path) is not b
+    D.release_cached(spark)
 
 
 def test_dashboard_over_stored_tables(spark):

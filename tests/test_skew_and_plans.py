@@ -36,9 +36,7 @@ def test_hot_key_matches_bruteforce(spark):
             if g[c] != e[c]:
                 mismatches.append((k, c, g[c], e[c]))
         assert g.total_inspections == e["n"]
-    # Sums in the brute force are plain float sums (order-dependent); allow only last-digit ties.
-    assert all(isinstance(m[2], float) and abs(m[2] - m[3]) <= 0.1 + 1e-9 for m in mismatches), mismatches[:5]
-    assert len(mismatches) <= max(1, len(expect) // 100)
+    assert not mismatches, mismatches[:5]            # both sides sum exactly
 
 
 def _plan(df):
@@ -63,10 +61,31 @@ def test_top_k_plan(spark):
 def test_scan_pruning(spark):
     raw = raw_inspections(spark, SF_SMALL)
     plan = _plan(raw.select("inspection_id"))
-    assert "lineitem" not in plan or "ReadSchema" in plan
-    # only the needed order columns are read
-    orders_scan = [line for line in plan.split("\n") if "orders.parquet" in line]
-    assert all("o_totalprice" not in line for line in orders_scan)
+    read = {line.split(".parquet")[0].rsplit("/", 1)[1]: line.split("ReadSchema: ")[1]
+            for line in plan.split("\n") if "FileScan" in line}
+    assert set(read) == {"orders", "customer", "nation"}      # the violations' tables are not read at all
+    assert "o_orderkey" in read["orders"] and "o_totalprice" not in read["orders"]
+    assert "c_name" not in read["customer"]
+
+
+def test_dedup_plan(spark):
+    """Keep-last is limited per map task, sorts no full rows in aggregates, and lets columns go."""
+    from hazardlens.operators.clean import count_establishments, dedup_keep_last
+    cleaned = clean(raw_inspections(spark, SF_SMALL))
+    plan = _plan(cleaned)
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "max(struct" not in plan
+    plan = _plan(dedup_keep_last(raw_inspections(spark, SF_SMALL).drop("violations")))
+    assert "SortAggregate" not in plan
+    plan = _plan(count_establishments(cleaned))
+    assert "lineitem.parquet" not in plan and "violations" not in plan      # no text is read to count keys
+
+
+def test_unlimited_history_is_not_forced_into_a_broadcast(spark):
+    from hazardlens.operators import serving as D
+    insp = parse_violations(clean(raw_inspections(spark, SF_SMALL)))
+    hist = D.inspection_history(D.search(risk_scores(insp, AS_OF), ""), insp, 10)
+    assert "ResolvedHint" not in hist._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in hist._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
 def test_rank_within_key_hot_path_matches_window(spark):
@@ -76,7 +95,7 @@ def test_rank_within_key_hot_path_matches_window(spark):
     w = Window.partitionBy("establishment_id").orderBy(*newest_first())
     ref = {(r.inspection_id, r.recency_rank) for r in
            insp.withColumn("recency_rank", F.row_number().over(w)).select("inspection_id", "recency_rank").collect()}
-    got_rows = inspection_order(insp, hot_threshold=20).select("inspection_id", "recency_rank").collect()
+    got_rows = inspection_order(insp).select("inspection_id", "recency_rank").collect()
     assert len(got_rows) == len(ref)
     assert {(r.inspection_id, r.recency_rank) for r in got_rows} == ref
 
@@ -96,7 +115,7 @@ def test_hot_duplicate_group_dedup(spark):
     usable_x = hot.filter("inspection_id = 'X'")
     best = dedup_keep_last(clean_usable_only(usable_x)).collect()[0]
     assert survivor[0].ingest_seq == best.ingest_seq
-    assert "partial_max" in _plan(cleaned)       # copies collapse map-side before the exchange
+    assert "WindowGroupLimit" in _plan(cleaned)  # copies collapse map-side before the exchange
 
 
 def clean_usable_only(df):
@@ -110,5 +129,5 @@ def test_history_plan_is_bounded(spark):
     hist = D.inspection_history(D.search_top(risk_scores(insp, AS_OF), "customer#00000", 20), insp, 10)
     plan = hist._jdf.queryExecution().sparkPlan().toString()
     assert "WindowGroupLimit" in plan               # newest 10 per key, limited before the shuffle
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan   # only the <= 20 matched keys are broadcast
+    assert "LeftSemi" in plan and "CartesianProduct" not in plan
     assert hist.groupBy("establishment_id").count().agg(F.max("count")).collect()[0][0] <= 10

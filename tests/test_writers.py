@@ -1,0 +1,79 @@
+"""Writes: the key check before a table is replaced, file counts, database options."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import AS_OF, SF_SMALL
+from hazardlens.plans.batch import transform
+from hazardlens.session import staging_path
+from hazardlens.sinks import writers as K
+from hazardlens.sources.fixtures import raw_inspections
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    insp, scores = transform(raw_inspections(spark, SF_SMALL), AS_OF)
+    return insp.drop("kw_found", "violation_codes").cache(), scores.cache()
+
+
+def test_refresh_refuses_a_duplicate_key_and_leaves_both_tables(spark, tables):
+    insp, scores = tables
+    base = staging_path(spark, "refresh")
+    ip, sp = f"{base}/inspections", f"{base}/risk_scores"
+    K.refresh_tables(insp, scores, ip, sp)
+    n = spark.read.parquet(ip).count(), spark.read.parquet(sp).count()
+    for bad_insp, bad_scores in ((insp.unionByName(insp.limit(1)), scores), (insp, scores.unionByName(scores.limit(1))),
+                                 (insp.withColumn("inspection_id", F.lit(None).cast("string")), scores)):
+        with pytest.raises(ValueError, match="duplicate values"):
+            K.refresh_tables(bad_insp, bad_scores, ip, sp)
+        assert (spark.read.parquet(ip).count(), spark.read.parquet(sp).count()) == n
+    K.refresh_tables(insp.limit(10), scores.limit(3), ip, sp)               # replaced, not appended
+    assert (spark.read.parquet(ip).count(), spark.read.parquet(sp).count()) == (10, 3)
+    assert sorted(os.listdir(base.removeprefix("file:"))) == ["inspections", "risk_scores"]    # nothing left beside them
+
+
+def test_a_failed_write_leaves_the_table(spark):
+    path = staging_path(spark, "switch") + "/t"
+    K.switch_in(spark, path, lambda p: spark.range(5).write.parquet(p))
+
+    def fails(p):
+        spark.range(7).write.parquet(p)
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        K.switch_in(spark, path, fails)
+    assert spark.read.parquet(path).count() == 5
+
+
+@pytest.mark.parametrize("partitions", ["32", "400"])
+def test_clustered_write_has_few_files(spark, tables, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        path = staging_path(spark, "clustered")
+        K.clustered_scores(tables[1], path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len([f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet")]) <= 8
+
+
+def test_each_bucket_is_one_file(spark, tables):
+    path = staging_path(spark, "buckets")
+    K.bucketed_inspections(tables[0].repartition(7), f"t_{os.getpid()}", 5, path)
+    assert len([f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet")]) <= 5
+
+
+def test_database_refresh_checks_then_replaces(tables):
+    insp, scores = tables
+    calls = []
+    K.refresh_jdbc(insp, scores, "jdbc:x", truncate=True, partitions=4,
+                   write=lambda df, url, name, properties, **o: calls.append((df.columns[0], url, name, o)))
+    assert calls == [("inspection_id", "jdbc:x", "inspections", {"partitions": 4, "mode": "overwrite", "truncate": True}),
+                     ("establishment_id", "jdbc:x", "risk_scores", {"partitions": 4, "mode": "overwrite", "truncate": True})]
+    with pytest.raises(ValueError, match="duplicate"):
+        K.refresh_jdbc(insp, scores.unionByName(scores.limit(1)), "jdbc:x", write=lambda *a, **o: calls.append(a))
+    assert len(calls) == 2                                       # nothing is written before both tables pass
+    assert K.jdbc_options("jdbc:x", "t", truncate=True, properties={"user": "u"}) == {
+        "url": "jdbc:x", "dbtable": "t", "batchsize": "5000", "truncate": "true", "user": "u"}

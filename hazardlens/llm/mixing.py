@@ -82,8 +82,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: float
         raise ValueError(f"columns {names} must be unused")
     size, source_size, target, copies = names
     band, block, place, first, key, rank = unused(docs, "mix_band", "mix_block", "mix_place", "mix_first", "mix_key", "mix_rank")
-    # a key that tells null from every name: equal keys, equal sources
-    keyed = F.when(docs[source_col].isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), docs[source_col].cast("string")))
+    # a key that is never null and sorts as the sources do, null last
+    keyed = F.when(docs[source_col].isNull(), F.lit("b")).otherwise(F.concat(F.lit("a"), docs[source_col].cast("string")))
     mark = F.xxhash64(F.lit(seed), docs[id_col], docs[text_col])
     sized = docs.withColumns({size: word_count(docs[text_col]), key: keyed, place: mark})
     octave = F.log2(F.greatest(F.col(size), F.lit(1)).cast("double"))

@@ -33,6 +33,7 @@ def test_odd_rows(spark):
     for _, t, _, s in rows:
         sizes[s] += len(brute.words(t))
     want = brute.targets(dict(sizes))
+    assert len(sizes) > 6 and None in sizes
     assert all(r.n_source == sizes[r.source] and r.n_target == pytest.approx(want[r.source]) for r in got)
     assert all(0 <= r.n_copies <= 3 for r in got)
     copies = Counter((r.doc_id, r.text, r.source) for r in emit(df).collect())
@@ -66,3 +67,10 @@ def test_systematic_counts_and_reruns(spark):
 def test_no_python_in_the_plan(spark):
     plan = emit(data.frame(spark, data.odd_rows()))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_null_source_is_the_last(spark):
+    rows = [(i, "w " * 10, None, (None, "a", "z", "\U0001f600")[i % 4]) for i in range(400)]
+    got = {r.source: (r.target, r.source_size) for r in mix(data.frame(spark, rows, clashes=False)).collect()}
+    want = brute.targets({s: 1000 for s in (None, "a", "z", "\U0001f600")})
+    assert {s: t for s, (t, _) in got.items()} == pytest.approx(want) and want["a"] == want[None] < want["z"]

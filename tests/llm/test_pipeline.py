@@ -1,0 +1,103 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline as P
+from hazardlens.session import staged
+
+from . import brute, data
+from .test_packing import reference_ids
+from .test_secret_scan import JWT
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The real documents with odd rows among them, after each stage."""
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(COLUMNS)
+    odd = [(None if i is None else 10_000 + i, t, la, s) for i, t, la, s in data.odd_rows()]
+    odd += [(20_001, "12 34", "en", "a"), (20_002, "the and of " * 30 + "password = abcdef123 " + JWT + " end", "en", "a")]
+    docs = real.unionByName(data.frame(spark, odd, clashes=False).select(COLUMNS))
+    out = [docs]
+    for _, stage in P.STAGES:
+        out.append(staged(stage(spark, out[-1], "unused"), "stage"))
+    return out
+
+
+def rows(df):
+    return Counter(map(tuple, df.select(COLUMNS).collect()))
+
+
+def test_every_stage_but_the_last_returns_documents(stages):
+    assert [df.columns for df in stages[:-1]] == [COLUMNS] * 5
+    assert [n for n, _ in P.STAGES] == ["language ID", "SimHash near-dedup", "secret scans", "mixing", "packing"]
+
+
+def test_language_stage_drops_only_texts_in_no_language(stages):
+    before, after = rows(stages[0]), rows(stages[1])
+    assert not after - before
+    gone = before - after
+    assert all(any(c.isalpha() for c in r[1]) for r in after)
+    assert all(r in gone for r in before if not any(c.isalpha() for c in r[1] or ""))
+    assert sum(gone.values()) <= 0.01 * sum(before.values()) + sum(n for r, n in before.items() if not any(c.isalpha() for c in r[1] or ""))
+
+
+def test_one_document_of_each_group_stays(stages):
+    before = list(rows(stages[1]).elements())
+    parent = brute.roots([(i, brute.simhash(r[1])) for i, r in enumerate(before)], lambda a, b: (a[1] ^ b[1]).bit_count() <= 4)
+    groups = defaultdict(list)
+    for r, g in zip(before, parent):
+        groups[g].append(r)
+    want = Counter(min((r[0] for r in g if r[0] is not None), default=None) for g in groups.values())
+    kept = list(rows(stages[2]).elements())
+    assert Counter(r[0] for r in kept) == want and not Counter(kept) - Counter(before)
+
+
+def test_secrets_are_gone_and_nothing_else(stages):
+    before, after = stages[2].collect(), stages[3].collect()
+    assert len(before) == len(after)
+    old = Counter((r.doc_id, r.source, r.lang) for r in before)
+    assert old == Counter((r.doc_id, r.source, r.lang) for r in after)
+    changed = rows(stages[2]) - rows(stages[3])
+    assert changed and all(re.search(r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}", r[1]) for r in changed)
+    fresh = rows(stages[3]) - rows(stages[2])
+    assert all("[SECRET]" in r[1] and r[4] == len(r[1]) for r in fresh)
+    mine, = (r.text for r in after if r.doc_id == 20_002)
+    assert mine == "the and of " * 30 + "[SECRET] [SECRET] end"
+
+
+def test_the_mix_repeats_or_drops_whole_documents(stages):
+    before, after = rows(stages[3]), rows(stages[4])
+    assert set(after) <= set(before) and all(n <= 3 * before[r] for r, n in after.items())
+    size, taken = defaultdict(int), defaultdict(int)
+    for counts, into in ((before, size), (after, taken)):
+        for r, n in counts.items():
+            into[r[3]] += n * len(brute.words(r[1]))
+    for source, target in brute.targets(dict(size)).items():
+        largest = max(len(brute.words(r[1])) for r in before if r[3] == source)
+        assert abs(taken[source] - target) <= max(0.2 * target, largest)
+
+
+def test_the_pieces_hold_every_token_of_the_mix(stages):
+    docs = list(rows(stages[4]).elements())
+    want = Counter((r[0], tuple(ids)) for r, ids in zip(docs, reference_ids([r[1] for r in docs])))
+    got, at, current = Counter(), 0, []
+    for p in sorted(stages[5].collect(), key=lambda p: (p.sequence_id, p.offset)):
+        assert divmod(at, 4096) == (p.sequence_id, p.offset) and p.start == len(current)
+        at += p.length
+        current += np.frombuffer(p.ids, "<u4").tolist()
+        if len(current) == p.doc_tokens:
+            got[p.doc_id, tuple(current)] += 1
+            current = []
+    assert not current and got == want
+
+
+def test_run_and_empty_documents(spark, tmp_path):
+    data.frame(spark, data.odd_rows(), clashes=False).write.parquet(f"{tmp_path}/a/documents.parquet")
+    assert P.run(spark, f"{tmp_path}/a").count() > 0
+    data.frame(spark, data.odd_rows(), clashes=False).limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    assert P.run(spark, f"{tmp_path}/b").collect() == []
+    assert P.ORACLE_SQL is None

@@ -629,10 +629,11 @@ _HISTOGRAM_STEP = "CASE " + " ".join(
     for w in (0.1, 0.2, 0.5, 1, 2, 5, 10, 20, 50, 100, 200, 500, 1000)) + " END"
 
 
-@register("score_histogram", f"""WITH h AS (SELECT dynamic_risk_score AS s FROM risk_scores WHERE dynamic_risk_score BETWEEN 0 AND 100),
-e AS (SELECT *, {_HISTOGRAM_STEP} AS step FROM (SELECT min(s) AS lo, max(s) AS hi FROM h))
-SELECT CAST(least(floor(s / step), greatest(ceil(hi / step) - 1, floor(lo / step))) * step AS DOUBLE) AS bin_start,
-  bin_start + max(step) AS bin_end, count(*) AS establishments FROM h, e GROUP BY 1""")
+@register("score_histogram", f"""SELECT CAST(least(floor(s / step), greatest(ceil(hi / step) - 1, floor(lo / step))) * step AS DOUBLE)
+    AS bin_start, bin_start + max(step) AS bin_end, count(*) AS establishments
+FROM (SELECT *, {_HISTOGRAM_STEP} AS step FROM (
+  SELECT dynamic_risk_score AS s, min(s) OVER () AS lo, max(s) OVER () AS hi
+  FROM risk_scores WHERE dynamic_risk_score BETWEEN 0 AND 100)) GROUP BY 1""")
 def score_histogram(spark, sf):
     return D.score_histogram(D.apply_filters(_scores(spark, sf)))
 

@@ -32,9 +32,9 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled texts that are fitted: those with
-    the smallest hashes, the same share of each label as far as it has any;
-    copies of a text count once.
+    """``sample_rows`` bounds the labelled texts that are fitted, drawn by their
+    hashes: the same share of each label as far as it has any; copies of a text
+    count once.
     Every fifth of them, by hash, only calibrates."""
 
     sample_rows: int = 2_000
@@ -174,14 +174,20 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Model | None:
     """A model from ``train(text, lang)``; rows with null text or lang teach
     nothing. None if no row is left."""
     train = train.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    labels = tuple(sorted(r.lang for r in train.select("lang").distinct().collect()))
-    if not labels:
+    # texts by hash, so that copies count once
+    hashed = train.withColumn("h", F.xxhash64("text"))
+    texts = hashed.select("lang", "h").distinct()
+    sizes = {r.lang: r.n for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}    # one row per label
+    if not sizes:
         return None
+    labels = tuple(sorted(sizes))
     each = -(-settings.sample_rows // len(labels))
-    # texts by hash, so that copies count once; the chosen hashes are at most sample_rows + labels
-    hashed = train.withColumn("h", F.xxhash64("text"))
+    # about four times as many as needed pass a cut on the hash, so that the ranking never gathers a whole label
+    cut = F.create_map(*(F.lit(x) for label in labels for x in (label, min(1.0, 4 * each / sizes[label]))))
+    drawn = texts.where(F.pmod(F.xxhash64("h"), F.lit(1 << 32)) < cut[F.col("lang")] * float(1 << 32))
     rank = F.row_number().over(W.partitionBy("lang").orderBy("h"))
-    chosen = hashed.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "h")
+    # the chosen hashes are at most sample_rows + labels
+    chosen = drawn.withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "h")
     sample = hashed.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     seen, rows = document_frequencies(train)

@@ -1,7 +1,8 @@
 """Violation-text signal expressions (codes, tiers, keywords, severity).
 
-All of these are native higher-order / regex expressions evaluated inside
-whole-stage codegen; none needs a Python UDF.
+All of these are native higher-order / regex expressions, evaluated in the JVM
+(higher-order functions run interpreted, outside the generated code around
+them); none needs a Python UDF.
 """
 
 from __future__ import annotations

@@ -29,7 +29,7 @@ def pack_keys(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def unpack_keys(blob: bytes) -> np.ndarray:
+def unpack_keys(blob) -> np.ndarray:
     planes = np.frombuffer(blob, np.uint8).reshape(4, -1)
     steps = np.ascontiguousarray(planes.T).view("<u4").ravel()
     return np.cumsum(steps, dtype=np.uint32)

@@ -32,7 +32,7 @@ from .packed import (binary, bucket_bits, bucket_edges, pack_bits, pack_keys, pa
                      unpack_bits, unpack_keys)
 from .words import mix
 
-SLICE = 2048          # fingerprints expanded at a time
+SLICE = 1024          # fingerprints expanded at a time: about 17 MB of variants
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
@@ -107,6 +107,8 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     bits, chunks = bucket_bits(spark), 2 * parallelism(spark)
     masks = _masks((distance + 1) // 2)
     src = fps.select("fp", F.pmod(F.xxhash64("fp"), F.lit(chunks)).alias("chunk"))
+    # dealt by number, not by size: a fingerprint is a few bytes here and thousands of variants in its task
+    src = src.repartition(chunks, "chunk")
 
     def slices(table):
         fp = np.sort(table["fp"].to_numpy().view(np.uint64))
@@ -115,8 +117,9 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
 
     def expand(fp):
         """Distinct keys of all variants, and whether two fingerprints here share one."""
-        points = (fp[:, None] ^ masks[None, :]).ravel()
-        keys = np.sort(mix(points) >> np.uint64(32 - bits))
+        keys = mix((fp[:, None] ^ masks[None, :]).ravel(), in_place=True)
+        keys >>= np.uint64(32 - bits)
+        keys.sort()
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         return keys[first], np.diff(first, append=len(keys)) > 1
 
@@ -132,8 +135,9 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
                          "part": pa.array([o[1] for o in out], pa.int32()), "keys": binary([o[2] for o in out])})
 
     def answer(key, table):
-        keys = [unpack_keys(x) for x in table["keys"].to_pylist()]
-        both = np.sort(np.concatenate(keys))
+        keys = [unpack_keys(x.as_buffer()) for x in table["keys"]]
+        both = np.concatenate(keys)
+        both.sort()
         shared = np.unique(both[1:][both[1:] == both[:-1]])
         del both
         some, hits = [], []

@@ -37,14 +37,17 @@ def _power_tables(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return made
 
 
-def mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray, in_place: bool = False) -> np.ndarray:
     """64-bit finaliser: every input bit reaches every output bit."""
+    if not in_place:
+        x = x.copy()
     with np.errstate(over="ignore"):
-        x = x ^ (x >> np.uint64(33))
-        x = x * np.uint64(0xFF51AFD7ED558CCD)
-        x = x ^ (x >> np.uint64(33))
-        x = x * np.uint64(0xC4CEB9FE1A85EC53)
-        return x ^ (x >> np.uint64(33))
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(0xFF51AFD7ED558CCD)
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(0xC4CEB9FE1A85EC53)
+        x ^= x >> np.uint64(33)
+    return x
 
 
 def _rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int) -> np.ndarray:

@@ -240,11 +240,6 @@ def zip_chart(filtered: DataFrame, k: int = 20) -> DataFrame:
     return risk_by_zip(filtered).orderBy(F.col("avg_risk").desc(), F.col("zip")).limit(k)
 
 
-def cached_scores(scores: DataFrame) -> DataFrame:
-    """Keep the scores in executor memory for repeated dashboard queries."""
-    return scores.cache()
-
-
 CACHE_TTL_SECONDS = 3600
 # Per session (dropped with it): (path, format) -> (time read, frame).
 _TTL_CACHE: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()

@@ -207,7 +207,9 @@ def table_scan(spark, sf):
 
 @register("inspections_scan", f"SELECT {', '.join(D.INSPECTION_VIEW_COLUMNS)} FROM inspections")
 def inspections_scan(spark, sf):
-    return D.inspections_view(_insp(spark, sf))
+    path = staging_path(spark, "inspections-table")
+    K.write_parquet(_insp(spark, sf).drop("kw_found"), path)
+    return D.inspections_view(spark.read.parquet(path))
 
 
 @register("source_fallback", f"SELECT {SCORE_COLS} FROM risk_scores")
@@ -739,7 +741,10 @@ def zip_chart(spark, sf):
 
 @register("cached_scores", f"SELECT {SCORE_COLS} FROM risk_scores")
 def cached_scores(spark, sf):
-    return D.cached_scores(_scores(spark, sf))
+    """D19 over a stored table: cached by its own path, so no other query's plan meets the cache."""
+    path = staging_path(spark, "scores-cached")
+    K.write_parquet(_scores(spark, sf), path)
+    return D.load_cached(spark, path)
 
 
 # ---------------------------------------------------------------- X: exploration

@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staging_path
+
 NGRAMS = (3, 4, 5)
 FEATURES = 1 << 16
 MAX_RULES = 10_000           # rules are one expression per url; a longer list is refused
@@ -112,7 +114,11 @@ def train(labelled: DataFrame, regularisation: float = 0.01) -> LogisticRegressi
     rows = _features(rows, host_of(F.col("url")), path_of(F.col("url")), "grams", "features")
     lr = LogisticRegression(featuresCol="features", labelCol="blocked", regParam=regularisation, maxIter=50,
                             standardization=False)
-    return lr.fit(rows.coalesce(1))     # a small table: one partition, one fixed order of sums
+    model = lr.fit(rows.coalesce(1))    # a small table: one partition, one fixed order of sums
+    # a fitted model holds on to its session through its summary, which tasks cannot take along; a loaded one does not
+    path = staging_path(rows.sparkSession, "url-model")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> tuple[Column, Column]:

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardlens.llm import url_filter as U
@@ -61,6 +62,15 @@ def test_longest_rule_and_ties(spark, model):
     assert {r.rule for r in U.judge(df, model, ()).collect()} == {None}
 
 
+def test_in_a_session_that_observed_before(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    fresh = U.train(U.training_urls(spark))
+    df = spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")
+    assert seen.get == {"n": 3} and U.judge(df, fresh).count() == 1 and U.judge(df, fresh).first().host == "a.org"
+
+
 def test_bounds_are_checked(spark, model, monkeypatch):
     monkeypatch.setattr(U, "MAX_RULES", 3)
     with pytest.raises(ValueError):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-CACHE_PIECES = 800_000    # pieces whose ids a worker keeps; beyond it the older half goes
+CACHE_PIECES = 500_000    # pieces whose ids a worker keeps; beyond it the older half goes
 GROUP = 64                # documents whose unknown pieces are tokenised together
 
 # Byte classes for parting letters from punctuation: ASCII letters, and the

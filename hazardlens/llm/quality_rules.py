@@ -1,29 +1,33 @@
 """Quality rules: counts per document, and a hashed n-gram likelihood ratio.
 
-Two multinomials over hashed word n-grams: the trusted target (texts labelled
-as good) and the raw corpus (all texts). A document's score is the mean, over
-its n-grams, of log p(target) - log p(raw); every document at or above one
-fixed threshold is kept.
-
-Each task counts into one array of fixed size and emits it; Spark sums the
-arrays by bucket. The summed table has ``BUCKETS`` rows whatever the corpus,
-so it is the only thing that reaches the driver and goes out to the tasks.
+Two multinomials over word n-grams, each under its own 64-bit hash: the trusted
+target (texts labelled as good) and the raw corpus (all texts). A document's
+score is the mean, over its n-grams, of log p(target) - log p(raw); every
+document at or above one fixed threshold is kept.
+
+Documents are dealt into chunks. A chunk sends its distinct n-grams, sorted and
+packed, to buckets by their upper bits; a bucket sums them over all chunks and
+sends each chunk the counts of its own n-grams back, in the same order. Both
+passes read one exchange of the texts. Nothing is gathered: the driver and the
+tasks hold no table that grows with the corpus.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .packed import binary, bucket_bits, bucket_edges, parallelism
 from .words import window_hashes, word_hashes
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 16            # least number of distinct n-grams that the smoothing assumes
 ORDERS = (1, 2)              # word n-grams counted and scored
 TRUSTED_ROWS = 20_000        # at most so many trusted documents, by hash of their id, form the target
 THRESHOLD = -0.25            # mean log ratio a document must reach
-PRIOR = 1.0                  # pseudo-count of each bucket's raw share, in the target
+PRIOR = 1.0                  # pseudo-count per distinct n-gram, dealt by the raw shares, in the target
 MIN_WORDS, MAX_REPEAT_PCT, REPEAT_WORDS = 50, 50, 3
 
 _SYMBOLS = np.zeros(256, np.int64)
@@ -58,38 +62,92 @@ def statistics(text: bytes, words: np.ndarray) -> tuple[int, int, int, int, int]
 
 
 def ngram_buckets(words: np.ndarray) -> np.ndarray:
-    """The bucket of every n-gram, all orders after another."""
-    shift = np.uint64(64 - (BUCKETS.bit_length() - 1))
-    return np.concatenate([window_hashes(words, n) >> shift for n in ORDERS]).astype(np.int64)
-
-
-def ngram_counts(texts: DataFrame) -> DataFrame:
-    """``bucket, raw, target``: summed over all rows of ``texts(text, trusted)``."""
-
-    def run(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for b in batches:
-            for text, trusted in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("trusted").to_pylist()):
-                got = np.bincount(ngram_buckets(word_hashes(text or b"")), minlength=BUCKETS)
-                raw += got
-                if trusted:
-                    target += got
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(raw[some]), pa.array(target[some])],
-                                         names=["bucket", "raw", "target"])
-
-    return (texts.select("text", "trusted").mapInArrow(run, "bucket int, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
-
-
-def log_ratios(counts: DataFrame) -> np.ndarray:
-    """log p(target) - log p(raw) per bucket, the target smoothed by the raw shares."""
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counts.collect():      # at most BUCKETS rows
-        raw[r.bucket], target[r.bucket] = r.raw, r.target
-    p = (raw + 1e-3) / (raw.sum() + 1e-3 * BUCKETS)
-    q = (target + PRIOR * BUCKETS * p) / (target.sum() + PRIOR * BUCKETS)
-    return (np.log(q) - np.log(p)).astype(np.float64)
+    """The 64-bit hash of every n-gram, all orders after another: each n-gram has a bucket of its own."""
+    return np.concatenate([window_hashes(words, n) for n in ORDERS])
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray, raw_sum: int, target_sum: int, distinct: int) -> np.ndarray:
+    """log p(target) - log p(raw) per n-gram, the target smoothed by the raw
+    shares; the weight of the smoothing follows the corpus's distinct n-grams."""
+    kinds = max(BUCKETS, distinct)
+    p = (raw + 1e-3) / (raw_sum + 1e-3 * kinds)
+    q = (target + PRIOR * kinds * p) / (target_sum + PRIOR * kinds)
+    return np.log(q) - np.log(p)
+
+
+def _pack_hashes(hashes: np.ndarray) -> bytes:
+    """Blob of sorted uint64 hashes: byte planes of their differences."""
+    steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpack_hashes(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """A byte per count; those of 255 and more follow in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def _unpack_counts(blob: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(blob, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(blob, "<i8", offset=n)
+    return out
+
+
+_SENT = "bucket int, chunk long, hashes binary, raw binary, target binary"
+_COUNTED = "chunk long, bucket int, n long, raw binary, target binary, raw_sum long, target_sum long, distinct_sum long"
+
+
+def _words(table: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
+    texts = [x or b"" for x in table["text"].cast(pa.binary()).to_pylist()]
+    return texts, [word_hashes(x) for x in texts]
+
+
+def ngram_counts(src: DataFrame, marks: DataFrame) -> DataFrame:
+    """Per chunk of ``src(doc_id, text, chunk)`` and bucket: raw and target
+    counts, over all rows, of the chunk's distinct n-grams in the order of their
+    hashes, and the bucket's sums. ``marks(held, holder)`` are the trusted ids and their chunks."""
+    bits = bucket_bits(src.sparkSession)
+
+    def send(key, left, right):
+        trusted = pc.is_in(left["doc_id"], value_set=right["held"].combine_chunks()).to_pylist()
+        grams = [ngram_buckets(w) for w in _words(left)[1]]
+        hashes, at = np.unique(np.concatenate([*grams, np.zeros(0, np.uint64)]), return_inverse=True)
+        raw = np.bincount(at, minlength=len(hashes))
+        good = np.repeat(np.array(trusted, bool), [len(g) for g in grams])
+        target = np.bincount(at[good], minlength=len(hashes))
+        edges = bucket_edges(hashes >> np.uint64(64 - bits), bits)
+        spans = list(zip(edges[:-1], edges[1:]))        # empty ones too: every chunk is told every bucket's sums
+        return pa.table({"bucket": pa.array(range(len(spans)), pa.int32()),
+                         "chunk": pa.array([key[0].as_py()] * len(spans), pa.int64()),
+                         "hashes": binary([_pack_hashes(hashes[i:j]) for i, j in spans]),
+                         "raw": binary([_pack_counts(raw[i:j]) for i, j in spans]),
+                         "target": binary([_pack_counts(target[i:j]) for i, j in spans])})
+
+    def count(key, table):
+        parts = [_unpack_hashes(x) for x in table["hashes"].to_pylist()]
+        sizes = [len(x) for x in parts]
+        hashes, at = np.unique(np.concatenate(parts), return_inverse=True)
+        cuts = np.cumsum(sizes)[:-1]
+        blobs, sums = [], []
+        for name in ("raw", "target"):
+            some = np.concatenate([_unpack_counts(x, n) for x, n in zip(table[name].to_pylist(), sizes)])
+            total = np.zeros(len(hashes), np.int64)
+            np.add.at(total, at, some)
+            blobs.append([_pack_counts(x) for x in np.split(total[at], cuts)])
+            sums.append(int(total.sum()))
+        many = len(sizes)
+        return pa.table({"chunk": table["chunk"], "bucket": pa.array([key[0].as_py()] * many, pa.int32()),
+                         "n": pa.array(sizes, pa.int64()), "raw": binary(blobs[0]), "target": binary(blobs[1]),
+                         "raw_sum": pa.array([sums[0]] * many, pa.int64()),
+                         "target_sum": pa.array([sums[1]] * many, pa.int64()),
+                         "distinct_sum": pa.array([len(hashes)] * many, pa.int64())})
+
+    return (src.groupBy("chunk").cogroup(marks.groupBy("holder")).applyInArrow(send, _SENT)
+            .groupBy("bucket").applyInArrow(count, _COUNTED))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS,
@@ -108,25 +166,36 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, tru
     ignored, whatever their names; an empty table gives no rows.
     """
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    src = src.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2 * parallelism(docs.sparkSession))))
     ids = trusted.select(F.col(f"`{trusted.columns[0]}`").alias("trusted")).where("trusted IS NOT NULL").distinct()
     ids = ids.orderBy(F.xxhash64("trusted"), "trusted").limit(trusted_rows)
-    marked = src.join(F.broadcast(ids), src.doc_id == ids.trusted, "left")     # at most trusted_rows ids
-    ratio = log_ratios(ngram_counts(marked.select("text", F.col("trusted").isNotNull().alias("trusted"))))
-
-    def run(batches):
-        for b in batches:
-            rows = []
-            for text in b.column("text").cast(pa.binary()).to_pylist():
-                words = word_hashes(text or b"")
-                n, chars, symbols, dup, repeat = statistics(text or b"", words)
-                failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PCT * n
-                score = float(ratio[ngram_buckets(words)].mean()) if n else 0.0
-                rows.append((n, chars, symbols, dup, repeat, failed, score, not failed and score >= threshold))
-            cols = list(zip(*rows)) or [()] * 8
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=names)
+    held = src.select(F.col("doc_id").alias("held"), F.col("chunk").alias("holder")).distinct()
+    marks = held.join(ids, held.held == ids.trusted, "left_semi")
+
+    def run(key, left, right):
+        right = right.sort_by("bucket")
+        sizes = right["n"].to_pylist()
+        counts = [np.concatenate([_unpack_counts(x, n) for x, n in zip(right[name].to_pylist(), sizes)])
+                  for name in ("raw", "target")]
+        ratio = log_ratios(*counts, *(sum(right[f"{name}_sum"].to_pylist()) for name in ("raw", "target", "distinct")))
+        texts, words = _words(left)
+        grams = [ngram_buckets(w) for w in words]
+        hashes, at = np.unique(np.concatenate([*grams, np.zeros(0, np.uint64)]), return_inverse=True)
+        if len(hashes) != len(ratio):
+            raise ValueError(f"chunk {key[0]} has {len(hashes)} n-grams, of which {len(ratio)} were counted")
+        each, rows, begin = ratio[at], [], 0
+        for text, w, g in zip(texts, words, grams):
+            n, chars, symbols, dup, repeat = statistics(text, w)
+            failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PCT * n
+            score = float(each[begin:begin + len(g)].mean()) if n else 0.0
+            begin += len(g)
+            rows.append((n, chars, symbols, dup, repeat, failed, score, not failed and score >= threshold))
+        cols = list(zip(*rows)) or [()] * 8
+        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
+        return pa.table([left["doc_id"], *(pa.array(c, k) for c, k in zip(cols, kinds))], names=names)
 
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-                               "n_repeat_words long, base_failed boolean, score double, kept boolean")
+    return src.groupBy("chunk").cogroup(ngram_counts(src, marks).groupBy("chunk")).applyInArrow(
+        run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+             "n_repeat_words long, base_failed boolean, score double, kept boolean")

@@ -72,3 +72,22 @@ def test_junk_is_told_from_clean_text(spark, queries):
     clean = [r.kept for r in got if labels[r.doc_id] == 1]
     junk = [r.kept for r in got if labels[r.doc_id] == 0]
     assert np.mean(clean) >= 0.99 and np.mean(junk) <= 0.05
+
+
+def test_junk_is_told_from_clean_text_in_a_larger_corpus(spark, queries):
+    """Ten times the documents have as many times the n-grams; junk must not pass in their buckets."""
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in queries["op8_quality_rules"](spark, sf).collect() if r.doc_id in labels and not r.base_failed]
+    clean = [r.kept for r in got if labels[r.doc_id] == 1]
+    junk = [r.kept for r in got if labels[r.doc_id] == 0]
+    assert len(junk) > 200 and np.mean(clean) >= 0.99 and np.mean(junk) <= 0.01
+
+
+def test_counts_pack_and_unpack():
+    for counts in ([], [1, 0, 254, 255, 256, 10**12, 0], [255] * 3):
+        c = np.array(counts, np.int64)
+        assert Q._unpack_counts(Q._pack_counts(c), len(c)).tolist() == counts
+    hashes = np.unique(np.array([0, 1, 2**63, 2**64 - 1, 12345], np.uint64))
+    for h in (hashes, hashes[:0]):
+        assert Q._unpack_hashes(Q._pack_hashes(h)).tolist() == h.tolist()

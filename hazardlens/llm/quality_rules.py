@@ -25,7 +25,6 @@ from .words import window_hashes, word_hashes
 
 BUCKETS = 1 << 16            # least number of distinct n-grams that the smoothing assumes
 ORDERS = (1, 2)              # word n-grams counted and scored
-TRUSTED_ROWS = 20_000        # at most so many trusted documents, by hash of their id, form the target
 THRESHOLD = -0.25            # mean log ratio a document must reach
 PRIOR = 1.0                  # pseudo-count per distinct n-gram, dealt by the raw shares, in the target
 MIN_WORDS, MAX_REPEAT_PCT, REPEAT_WORDS = 50, 50, 3
@@ -150,14 +149,15 @@ def ngram_counts(src: DataFrame, marks: DataFrame) -> DataFrame:
             .groupBy("bucket").applyInArrow(count, _COUNTED))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS,
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, trusted_rows: int | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, score, kept``.
 
-    ``trusted`` holds the ids of trusted documents in its one column; of more
-    than ``trusted_rows`` distinct ones, those with the smallest hashes form
-    the target. The raw corpus is every row of ``docs``. ``kept`` is false if a
+    ``trusted`` holds the ids of trusted documents in its one column; every row
+    of ``docs`` with such an id counts in the target, unless the caller asks for
+    ``trusted_rows`` ids only (those with the smallest hashes). The raw corpus
+    is every row of ``docs``. ``kept`` is false if a
     base rule fails, else whether ``score`` reaches ``threshold``; without any
     trusted text all scores are 0.
 
@@ -168,7 +168,8 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, tru
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     src = src.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2 * parallelism(docs.sparkSession))))
     ids = trusted.select(F.col(f"`{trusted.columns[0]}`").alias("trusted")).where("trusted IS NOT NULL").distinct()
-    ids = ids.orderBy(F.xxhash64("trusted"), "trusted").limit(trusted_rows)
+    if trusted_rows is not None:
+        ids = ids.orderBy(F.xxhash64("trusted"), "trusted").limit(trusted_rows)
     held = src.select(F.col("doc_id").alias("held"), F.col("chunk").alias("holder")).distinct()
     marks = held.join(ids, held.held == ids.trusted, "left_semi")
 

@@ -91,3 +91,11 @@ def test_counts_pack_and_unpack():
     hashes = np.unique(np.array([0, 1, 2**63, 2**64 - 1, 12345], np.uint64))
     for h in (hashes, hashes[:0]):
         assert Q._unpack_hashes(Q._pack_hashes(h)).tolist() == h.tolist()
+
+
+def test_every_trusted_document_counts(spark):
+    rows = [(i, f"a{i % 500} b{i}", "en", "s") for i in range(20_050)]
+    ids = spark.range(20_050)
+    got = {r.doc_id: r.score for r in Q.judge(data.frame(spark, rows, clashes=False), ids).select("doc_id", "score").collect()}
+    want = plain_scores(rows, set(range(20_050)))
+    assert all(abs(got[i] - s) < 1e-9 for i, s in enumerate(want))

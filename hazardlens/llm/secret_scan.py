@@ -37,8 +37,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX_LONG = re.compile(rf"[0-9a-f]{{{MIN_HEX},}}")     # the same runs, as runs are maximal
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _RUN = rf"{{{MIN_CANDIDATE},}}"
-_B64 = re.compile(rf"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{_RUN}(?:\r?\n[A-Za-z0-9+/]+)*={{0,2}}"
-                  rf"|(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{_RUN}={{0,2}}")
+_B64 = [re.compile(rf"(?<![{d}])[{d}]{_RUN}(?:\r?\n[{d}]+)*={{0,2}}") for d in ("A-Za-z0-9+/", "A-Za-z0-9_-")]
 _HEX_ANY = re.compile(rf"(?<![0-9A-Fa-f])[0-9A-Fa-f]{{{2 * MIN_CANDIDATE},}}")
 _DIGIT = re.compile(r"[A-Za-z0-9+/_-]")
 
@@ -161,7 +160,7 @@ def _candidates(text: str) -> list[tuple[str, int, int]]:
     """Spans of decoded candidates whose structure is confirmed. A run may go on
     past the key; the span ends with the key's own digits and padding."""
     out = [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m.group(1), m.group(2))]
-    for m in _B64.finditer(text):
+    for m in (m for digits in _B64 for m in digits.finditer(text)):
         if got := _confirmed(_b64(m.group())):
             need = -(-got[1] * 4 // 3)
             digits = [d.end() for d in _DIGIT.finditer(m.group())]

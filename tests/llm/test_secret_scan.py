@@ -50,6 +50,20 @@ def test_private_keys_are_confirmed_by_structure(key, kind, form):
     assert (kind, 30, 30 + len(shown)) in S.scan(text)
 
 
+@pytest.mark.parametrize("key, kind", [(RSA, "der"), (PKCS8, "der"), (EC, "der"), (SSH, "ssh")])
+@pytest.mark.parametrize("wrap", [10_000, 64])
+def test_url_safe_private_keys(key, kind, wrap):
+    """With digits of the URL-safe alphabet beyond the standard ones, after more than 32 others."""
+    for last in (bytes([0xFB, 0xFF, 0xBF]) * 3, b""):
+        whole = (der(0x30, integer(1), der(4, bytes(range(32)) + last + b"x")) if key is EC else
+                 der(0x30, integer(0), *(integer(int.from_bytes(b"k" * 30 + last, "big")) for _ in range(8))) if key is RSA else
+                 der(0x30, integer(0), der(0x30, der(6, b"\x2a"), der(5)), der(4, b"k" * 40 + last)) if key is PKCS8 else
+                 SSH[:-len(field(b"private"))] + field(b"k" * 40 + last))
+        shown = "\n".join(re.findall(f".{{1,{wrap}}}", base64.urlsafe_b64encode(whole).decode()))
+        assert (kind, 2, 2 + len(shown)) in S.scan(f"é {shown} the end")
+        assert not last or "_" in shown or "-" in shown
+
+
 def test_damaged_structure_is_not_reported():
     for key in (RSA, PKCS8, EC, SSH):
         for bad in (key[:-1], key[:1] + bytes([key[1] ^ 0x7F]) + key[2:], b"\x31" + key[1:]):

@@ -11,7 +11,8 @@ and reported if its structure confirms a secret —
 * ``ssh``: the OpenSSH private-key container, its nested lengths followed
   through cipher, KDF and public keys to the private block.
 
-Candidates may be wrapped over lines, as in PEM. Every text is scanned whole,
+Base64 and hex digits may be wrapped over lines, indented and with blanks at
+the ends of lines, the breaks real or escaped (``\\n``). Every text is scanned whole,
 in one map over the documents; nothing is shuffled or gathered.
 """
 
@@ -21,6 +22,8 @@ import base64
 import binascii
 import json
 import re
+import sys
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,17 +32,56 @@ from pyspark.sql import functions as F
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "der", "ssh")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
-MIN_CANDIDATE = 32    # base64 digits; signed tokens and private keys are longer
+MIN_CANDIDATE = 32    # base64 digits, on all lines together; private keys are longer
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX_LONG = re.compile(rf"[0-9a-f]{{{MIN_HEX},}}")     # the same runs, as runs are maximal
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_RUN = rf"{{{MIN_CANDIDATE},}}"
-_B64 = [re.compile(rf"(?<![{d}])[{d}]{_RUN}(?:\r?\n[{d}]+)*={{0,2}}") for d in ("A-Za-z0-9+/", "A-Za-z0-9_-")]
-_HEX_ANY = re.compile(rf"(?<![0-9A-Fa-f])[0-9A-Fa-f]{{{2 * MIN_CANDIDATE},}}")
-_DIGIT = re.compile(r"[A-Za-z0-9+/_-]")
+_BREAK = r"[ \t]*(?:(?:\r\n?|\n|\\+r\\+n|\\+[nr])[ \t]*)+"     # between the lines of a candidate
+_HEX, _STANDARD, _URL_SAFE = "0-9A-Fa-f", "A-Za-z0-9+/", "A-Za-z0-9_-"
+
+
+def _start(digits: str) -> str:
+    """Where a run of digits begins; the letter of an escaped blank is none of them."""
+    return rf"(?:(?<![{digits}])|(?<=\\[nrt]))"
+
+
+_JWT = re.compile(rf"{_start(_URL_SAFE)}(?=([{_URL_SAFE}]+)\.([{_URL_SAFE}]+)\.([{_URL_SAFE}]*))")
+# how a DER sequence with a definite length and an OpenSSH container begin
+_BASE64_HEAD, _HEX_HEAD = r"(?:M(?:[A-H][A-Za-z0-9+/_-]|I[E-T])|b3B)", r"(?:30(?:[0-7][0-9A-Fa-f]|8[1-4])|6[Ff]70)"
+_RUNS = [(re.compile(_start(d) + f"(?={head})"), re.compile(f"[{d}]+"), re.compile(rf"{_BREAK}(?=[{d}])"), per, least)
+         for d, head, per, least in ((_STANDARD, _BASE64_HEAD, 6, MIN_CANDIDATE), (_URL_SAFE, _BASE64_HEAD, 6, MIN_CANDIDATE),
+                                     (_HEX, _HEX_HEAD, 4, 2 * MIN_CANDIDATE))]
+_PADDING = re.compile("={0,2}")
+
+
+class _Run:
+    """The digits from a place on, joined over line breaks."""
+
+    def __init__(self, text: str, at: int, line: re.Pattern, between: re.Pattern):
+        lines, self.starts, self.before, size = [], [], [], 0
+        while True:
+            got = line.match(text, at)
+            lines.append(got.group())
+            self.starts.append(at)
+            self.before.append(size)
+            size += len(lines[-1])
+            self.end = got.end()
+            if not (gap := between.match(text, self.end)):
+                break
+            at = gap.end()
+        self.digits = "".join(lines)
+
+    def index(self, at: int) -> int:
+        """Number of the digit at a place of the text."""
+        i = bisect_right(self.starts, at) - 1
+        return self.before[i] + at - self.starts[i]
+
+    def place(self, index: int) -> int:
+        """Place in the text after so many digits."""
+        i = bisect_left(self.before, index) - 1
+        return self.starts[i] + index - self.before[i]
 
 
 def _b64(text: str) -> bytes | None:
@@ -156,22 +198,39 @@ def _confirmed(data: bytes | None) -> tuple[str, int] | None:
     return ("ssh", n) if (n := openssh_key(data)) else None
 
 
+def _claimed(head: bytes) -> int:
+    """Bytes to read for a key that begins with ``head``: those that a DER
+    sequence states, all for an OpenSSH container, 0 if it is neither."""
+    if head.startswith(b"openssh-key-v1\0"):
+        return sys.maxsize
+    if len(head) < 8 or head[0] != 0x30:
+        return 0
+    size = head[1] & 0x7F if head[1] & 0x80 else 0
+    n = int.from_bytes(head[2:2 + size], "big") if size else head[1]
+    return 2 + size + n if size <= 4 and head[2 + size] in (0x02, 0x30) else 0
+
+
 def _candidates(text: str) -> list[tuple[str, int, int]]:
     """Spans of decoded candidates whose structure is confirmed. A run may go on
     past the key; the span ends with the key's own digits and padding."""
-    out = [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m.group(1), m.group(2))]
-    for m in (m for digits in _B64 for m in digits.finditer(text)):
-        if got := _confirmed(_b64(m.group())):
-            need = -(-got[1] * 4 // 3)
-            digits = [d.end() for d in _DIGIT.finditer(m.group())]
-            end = m.start() + digits[need - 1]
-            if need == len(digits):
-                end = m.end()
-            out.append((got[0], m.start(), end))
-    for m in _HEX_ANY.finditer(text):
-        digits = m.group()
-        if got := _confirmed(bytes.fromhex(digits[:len(digits) // 2 * 2])):
-            out.append((got[0], m.start(), m.start() + 2 * got[1]))
+    out, end = [], 0
+    for m in _JWT.finditer(text):
+        if m.start() >= end and is_signed_token(m.group(1), m.group(2)):
+            end = m.end(3)
+            out.append(("jwt", m.start(), end))
+    for heads, line, between, per, least in _RUNS:
+        decode = _b64 if per == 6 else lambda d: bytes.fromhex(d[:len(d) // 2 * 2])
+        run = None
+        for m in heads.finditer(text):
+            if run is None or m.start() >= run.end:
+                run = _Run(text, m.start(), line, between)
+            at = run.index(m.start())
+            head = run.digits[at:at + least]
+            if len(head) < least or not (size := _claimed(decode(head) or b"")):
+                continue
+            if got := _confirmed(decode(run.digits[at:at + -(-size * 8 // per)])):
+                end = run.place(at + -(-got[1] * 8 // per))
+                out.append((got[0], m.start(), _PADDING.match(text, end).end() if per == 6 else end))
     return out
 
 
@@ -181,8 +240,7 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     out = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m.group(2)) >= MIN_ASSIGN]
     out += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     out += [("hex", *m.span()) for m in _HEX_LONG.finditer(text)]
-    if max(map(len, text.split()), default=0) >= MIN_CANDIDATE:   # else no run is long enough to decode
-        out += _candidates(text)
+    out += _candidates(text)
     return sorted(set(out), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

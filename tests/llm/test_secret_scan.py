@@ -64,6 +64,31 @@ def test_url_safe_private_keys(key, kind, wrap):
         assert not last or "_" in shown or "-" in shown
 
 
+@pytest.mark.parametrize("key, kind", [(RSA, "der"), (PKCS8, "der"), (EC, "der"), (SSH, "ssh")], ids=["rsa", "pkcs8", "ec", "ssh"])
+@pytest.mark.parametrize("gap", ["\n    ", "  \n", " \t\r\n\t", "\r", "\\n", "\\r\\n", "\\\\n"])
+@pytest.mark.parametrize("width", [16, 24, 64])
+def test_wrapped_private_keys(key, kind, gap, width):
+    """Indented, with blanks at the ends of lines, with escaped breaks; the digits begin after a break too."""
+    for digits in (base64.b64encode(key).decode(), base64.urlsafe_b64encode(key).decode(), key.hex(), key.hex().upper()):
+        shown = gap.join(re.findall(f".{{1,{width}}}", digits))
+        text = f"é -----BEGIN PRIVATE KEY-----{gap}{shown}{gap}-----END PRIVATE KEY-----"
+        at = text.index(shown)
+        assert (kind, at, at + len(shown)) in S.scan(text)
+        assert S.scan("word\n" + text.replace("-----", ""))       # words on the lines around
+
+
+def test_many_lines_like_keys_are_read_once():
+    text = "MIIx\nMAIB\n3002\nb3Bl\n" * 5_000
+    assert [s for s in S.scan(text) if s[0] in ("der", "ssh")] == []
+
+
+@pytest.mark.parametrize("header", ['{ "alg": "HS256" }', '{\n "alg": "HS256"\n}', ' {"alg":"none"}', '{\t"alg":"ES256"}'])
+@pytest.mark.parametrize("before", ["see ", "host.name.", "a.b.c.", "line\\n"])
+def test_signed_tokens_with_white_space(header, before):
+    token = base64.urlsafe_b64encode(header.encode()).decode().rstrip("=") + "." + url64({"sub": "1"}) + ".c2lnbmF0dXJl"
+    assert ("jwt", len(before), len(before) + len(token)) in S.scan(before + token)
+
+
 def test_damaged_structure_is_not_reported():
     for key in (RSA, PKCS8, EC, SSH):
         for bad in (key[:-1], key[:1] + bytes([key[1] ^ 0x7F]) + key[2:], b"\x31" + key[1:]):

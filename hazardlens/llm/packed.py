@@ -35,6 +35,17 @@ def unpack_keys(blob) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint32)
 
 
+def pack_hashes(hashes: np.ndarray) -> bytes:
+    """Blob of sorted uint64 hashes: byte planes of their differences."""
+    steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack_hashes(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def pack_bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 

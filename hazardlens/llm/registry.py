@@ -17,8 +17,10 @@ from . import quality_rules as Q
 from . import quality_trees as T
 from . import secret_scan as S
 from . import url_filter as U
+from .line_dedup import drop_repeated_lines
 from .mixing import mix
 from .packing import pack
+from .ranked_search import ranked
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
 from .vector_search import top_k
@@ -112,3 +114,15 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeated_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return out.withColumnRenamed("item", "item_id")

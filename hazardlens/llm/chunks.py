@@ -46,7 +46,7 @@ def _slices(batches, size: int):
         yield pa.Table.from_batches(held)
 
 
-def chunked(src: DataFrame, columns: str, pack=None, size: int = CHUNK_BYTES) -> DataFrame:
+def chunked(src: DataFrame, columns: str, pack=None, size: int | None = None) -> DataFrame:
     """One row per chunk of ``src``, which has the column ``text``.
 
     ``pack(table)`` gives the values of ``columns`` (a DDL list after ``chunk
@@ -57,6 +57,8 @@ def chunked(src: DataFrame, columns: str, pack=None, size: int = CHUNK_BYTES) ->
     kinds = {"binary": pa.binary(), "long": pa.int64(), "array<long>": pa.list_(pa.int64())}
     types = [pa.int64(), *(kinds[c.split()[1]] for c in columns.split(", "))]
 
+    size = size or CHUNK_BYTES
+
     def cut(batches):
         first = TaskContext.get().partitionId() * _CHUNKS_OF_TASK
         for i, table in enumerate(_slices(batches, size)):

@@ -46,6 +46,17 @@ def unpack_hashes(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A byte per count; those of 255 and more follow in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def unpack_counts(blob: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(blob, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(blob, "<i8", offset=n)
+    return out
+
+
 def pack_bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 

@@ -23,6 +23,7 @@ from .packing import pack
 from .ranked_search import ranked
 from .simhash import near_duplicates
 from .substring_dedup import remove_repeats
+from .token_alignment import link_counts
 from .vector_search import top_k
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +127,8 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
     return out.withColumnRenamed("item", "item_id")
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_counts(table(spark, sf_dir, "documents"), a="byte_bpe_50k.json", b="piece_bpe_32k.model")

@@ -16,6 +16,7 @@ of the chunks and then in all, and every chunk gets the counts of its own pairs
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 
 import numpy as np
@@ -27,12 +28,15 @@ from .chunks import _CHUNKS_OF_TASK, chunked, pack_table, unpack_table
 from .packed import (binary, pack_bits, pack_counts, pack_keys, parallelism, unpack_bits, unpack_counts, unpack_keys)
 from .packing import tokenizer_path
 
-CACHE_PIECES = 200_000        # pieces of text whose ids a worker keeps; beyond it the older half goes
+CACHE_PIECES = 400_000        # pieces of text whose ids a worker keeps; beyond it the older half goes
 CHUNK_BYTES = 3 << 20         # text aligned at a time
 WIDE = 1 << 12                # links of a group above which equal ids are counted before pairing
 TASKS_OF_PART = 1024          # scan tasks whose counts are summed first
 _SCATTER = 40503              # odd: spreads neighbouring first ids over the buckets
 
+# Fixed value: how the byte-level tokenizers part a text before merging.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 _GRAPHIC, _LEAD = np.zeros(256, bool), np.zeros(256, bool)
 _GRAPHIC[0x21:0x7F] = True
 _LEAD[0xC3:0xE0] = True       # of two-byte characters, none of which is white space
@@ -74,15 +78,31 @@ class Aligner:
         self.a_len, self.b_len = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
         self.space = b.piece_to_id("▁")
         words = [x[0] for x in a.pre_tokenizer.pre_tokenize_str(" ab. cd\nef")] if a.pre_tokenizer else []
-        self.parts = (a.normalizer is None and words == ["Ġab", ".", "Ġcd", "Ċ", "ef"]
-                      and not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        plain = a.normalizer is None and words == ["Ġab", ".", "Ġcd", "Ċ", "ef"]
+        self.fast = self._ranked(json.loads(a.to_str())["model"]) if plain else None
+        self.parts = (plain and not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
                       and self._encode_b([b"\na b", b" \na"]) is not None)
         self.new, self.old = ({}, {}), ({}, {})
         self.odd: set[bytes] = set()
 
+    def _ranked(self, model: dict):
+        """The same byte-level merges as ranks, if they are: every id after the
+        single bytes is that of the next merge."""
+        if model["type"] != "BPE" or model.get("ignore_merges") or model.get("byte_fallback"):
+            return None
+        vocab, merges = model["vocab"], [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
+        made = [vocab.get(m.replace(" ", "", 1)) for m in merges]
+        if made != list(range(256, 256 + len(made))) or len({self.a_bytes[i] for i in range(256)}) != 256:
+            return None
+        import tiktoken
+        ranks = {self.a_bytes[i]: i for i in range(256 + len(made))}
+        return tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
+    def _ids_a(self, text: str) -> list[int]:
+        return self.fast.encode_ordinary(text) if self.fast else self.a.encode(text, add_special_tokens=False).ids
+
     def _encode_a(self, pieces: list[bytes]) -> list[bytes]:
-        got = self.a.encode_batch([p.decode() for p in pieces], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+        return [np.array(self._ids_a(p.decode()), "<u4").tobytes() for p in pieces]
 
     def _encode_b(self, pieces: list[bytes]) -> list[bytes] | None:
         """``b`` puts a space before a text: it is taken off, or, before a line break, its token is."""
@@ -92,6 +112,23 @@ class Aligner:
             return None
         return [np.array(ids[1:] if m else ids, "<u4").tobytes() for m, ids in zip(mid, got)]
 
+    def _together(self, pieces: list[bytes]) -> tuple[list[bytes], list[bytes]] | None:
+        """Ids of pieces that may follow one another, from one text of them all;
+        None if some are not restored by their tokens."""
+        pieces = [b" a", *pieces]
+        text, ends, out = b"".join(pieces), np.cumsum([len(p) for p in pieces]), []
+        for ids, table, lengths in ((self._ids_a(text.decode()), self.a_bytes, self.a_len),
+                                    (self.b.encode(text[1:].decode(), num_threads=1), self.b_bytes, self.b_len)):
+            raw = np.array(ids, "<u4")
+            at = np.cumsum(lengths[raw])
+            stops = np.searchsorted(at, ends)
+            if at[-1] != len(text) or (at[stops] != ends).any() or b"".join([table[i] for i in ids]) != text:
+                return None
+            stops = ((stops + 1) * 4).tolist()
+            raw = raw.tobytes()
+            out.append([raw[i:j] for i, j in zip(stops, stops[1:])])
+        return tuple(out)
+
     def pieces(self, text: bytes) -> list[bytes]:
         """Pieces of `` `` + text; a leading space is left out unless more white space follows it."""
         raw = np.frombuffer(text, np.uint8)
@@ -113,47 +150,51 @@ class Aligner:
         return out
 
     def _learn(self, missing: set[bytes]) -> None:
-        fresh = []
+        inner, outer = [], []       # pieces as they stand between others, and those with white space at an end
         for piece in missing:
             if piece in self.old[0]:
                 for new, old in zip(self.new, self.old):
                     new[piece] = old[piece]
+            elif self.parts and (_GRAPHIC[piece[-1]] or len(piece) > 1 and _LEAD[piece[-2]]) and piece[:1] != b" ":
+                inner.append(piece)
             else:
-                fresh.append(piece)
-        for i in range(0, len(fresh), 10_000):
-            some = fresh[i:i + 10_000]
-            full = [p if p[:1] in (b" ", b"\n") else b" " + p for p in some]
-            a, b = self._encode_a(full), self._encode_b(full)
-            for piece, whole, x, y in zip(some, full, a, b):
+                outer.append(piece)
+        some = [inner[i:i + 20_000] for i in range(0, len(inner), 20_000)] + [outer[i:i + 1_000] for i in range(0, len(outer), 1_000)]
+        for n, group in enumerate(some):
+            full = [p if p[:1] in (b" ", b"\n") else b" " + p for p in group]
+            ids = self._together(full) if n * 20_000 < len(inner) else None
+            for piece, whole, x, y in zip(group, full, *(ids or (self._encode_a(full), self._encode_b(full)))):
                 self.new[0][piece], self.new[1][piece] = x, y
-                if self.joined(x, self.a_bytes) != whole or self.joined(y, self.b_bytes) != whole:
+                if not ids and not self.joined(x, self.a_bytes) == self.joined(y, self.b_bytes) == whole:
                     self.odd.add(piece)
 
     @staticmethod
     def joined(ids: bytes, table: list[bytes]) -> bytes:
         return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
-    def encode(self, text: bytes) -> tuple[bytes, bytes]:
-        """Packed ids by both; empty for texts that are empty, not UTF-8, or not restored by either's token bytes."""
-        try:
-            text.decode()
-        except UnicodeDecodeError:
-            return b"", b""
-        if not text:
-            return b"", b""
+    def encode_many(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Packed ids of each text by both; empty for texts that are empty, not
+        UTF-8, or not restored by either's token bytes."""
         if len(self.new[0]) > CACHE_PIECES // 2:
             self.old, self.new = self.new, ({}, {})
             self.odd &= self.old[0].keys()
-        pieces = self.pieces(text)
-        a = list(map(self.new[0].get, pieces))
-        if None in a:
-            self._learn({p for p, x in zip(pieces, a) if x is None})
-            a = list(map(self.new[0].get, pieces))
-        a, b = b"".join(a), b"".join(map(self.new[1].get, pieces))
-        if self.odd and not self.odd.isdisjoint(pieces) and not (
-                self.joined(a, self.a_bytes) == self.joined(b, self.b_bytes) == b" " + text):
-            return b"", b""
-        return a, b
+        split, missing = [], set()
+        for text in texts:
+            try:
+                text.decode()
+                split.append(self.pieces(text) if text else [])
+            except UnicodeDecodeError:
+                split.append([])
+            missing.update(split[-1])
+        self._learn(missing - self.new[0].keys())
+        out = []
+        for text, pieces in zip(texts, split):
+            a, b = (b"".join(map(known.__getitem__, pieces)) for known in self.new)
+            if self.odd and not self.odd.isdisjoint(pieces) and not (
+                    self.joined(a, self.a_bytes) == self.joined(b, self.b_bytes) == b" " + text):
+                a = b = b""
+            out.append((a, b))
+        return out
 
 
 def aligner(a: str, b: str) -> Aligner:
@@ -247,7 +288,7 @@ class Digits:
 
 def _aligned(table: pa.Table, tools: Aligner):
     """Per row: ids by both, joined; the rows' bounds; the groups' starts and the rows' bounds among them."""
-    both = [tools.encode(x or b"") for x in table["text"].cast(pa.binary()).to_pylist()]
+    both = tools.encode_many([x or b"" for x in table["text"].cast(pa.binary()).to_pylist()])
     a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in zip(*both))
     a_cuts, b_cuts = (np.cumsum([0, *(len(x) // 4 for x in side)]) for side in zip(*both))
     a_at, b_at = groups(np.cumsum(tools.a_len[a]), np.cumsum(tools.b_len[b]), a_cuts, b_cuts)

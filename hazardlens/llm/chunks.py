@@ -18,9 +18,9 @@ CHUNK_BYTES = 12 << 20        # text in a chunk; a longer document is a chunk of
 _CHUNKS_OF_TASK = 1 << 24
 
 
-def pack_table(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+def pack_table(table: pa.Table, level: int = 1) -> bytes:
+    sink, codec = pa.BufferOutputStream(), pa.Codec("zstd", compression_level=level)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as w:
         w.write_table(table)
     return sink.getvalue().to_pybytes()
 

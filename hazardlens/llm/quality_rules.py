@@ -5,11 +5,16 @@ target (texts labelled as good) and the raw corpus (all texts). A document's
 score is the mean, over its n-grams, of log p(target) - log p(raw); every
 document at or above one fixed threshold is kept.
 
-Documents are dealt into chunks. A chunk sends its distinct n-grams, sorted and
-packed, to buckets by their upper bits; a bucket sums them over all chunks and
-sends each chunk the counts of its own n-grams back, in the same order. Both
-passes read one exchange of the texts. Nothing is gathered: the driver and the
-tasks hold no table that grows with the corpus.
+The target is smoothed by the raw shares, with a mass that is a fixed share of
+its own size: an n-gram that no trusted text holds has one constant ratio,
+whatever the size of the corpus or of the target.
+
+Texts are packed into chunks, where they lie. A chunk sends its distinct n-grams,
+sorted and packed, to buckets by their upper bits; a bucket sums them over all
+chunks and sends each chunk one bit per n-gram, whether another chunk has it,
+and the counts of those; of the others the chunk's own counts are the corpus's.
+All passes read one exchange of the compressed texts. Nothing is gathered: the
+driver and the tasks hold no table that grows with the corpus.
 """
 
 from __future__ import annotations
@@ -20,13 +25,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packed import binary, bucket_bits, bucket_edges, parallelism
+from .chunks import chunked, pack_table, unpack_table
+from .packed import (binary, bucket_bits, bucket_edges, pack_bits, pack_counts, pack_hashes, unpack_bits, unpack_counts,
+                     unpack_hashes)
 from .words import window_hashes, word_hashes
 
-BUCKETS = 1 << 16            # least number of distinct n-grams that the smoothing assumes
+KEY_BITS = 36                # of an n-gram's hash, beside those that name its bucket
+CHUNK_BYTES = 24 << 20       # text counted at a time
+ZSTD_LEVEL = 6               # of the texts in their exchange
 ORDERS = (1, 2)              # word n-grams counted and scored
 THRESHOLD = -0.25            # mean log ratio a document must reach
-PRIOR = 1.0                  # pseudo-count per distinct n-gram, dealt by the raw shares, in the target
+PRIOR = 1.8                  # mass of the raw shares in the target, as a share of the target's own
 MIN_WORDS, MAX_REPEAT_PCT, REPEAT_WORDS = 50, 50, 3
 
 _SYMBOLS = np.zeros(256, np.int64)
@@ -60,93 +69,75 @@ def statistics(text: bytes, words: np.ndarray) -> tuple[int, int, int, int, int]
     return len(words), int(_CODE_POINT[raw].sum()), int(_SYMBOLS[raw].sum()), dup, repeat
 
 
-def ngram_buckets(words: np.ndarray) -> np.ndarray:
-    """The 64-bit hash of every n-gram, all orders after another: each n-gram has a bucket of its own."""
-    return np.concatenate([window_hashes(words, n) for n in ORDERS])
+def ngram_keys(words: np.ndarray, bits: int) -> np.ndarray:
+    """The upper ``bits`` of the 64-bit hash of every n-gram, all orders after another."""
+    return np.concatenate([window_hashes(words, n) for n in ORDERS]) >> np.uint64(64 - bits)
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray, raw_sum: int, target_sum: int, distinct: int) -> np.ndarray:
-    """log p(target) - log p(raw) per n-gram, the target smoothed by the raw
-    shares; the weight of the smoothing follows the corpus's distinct n-grams."""
-    kinds = max(BUCKETS, distinct)
-    p = (raw + 1e-3) / (raw_sum + 1e-3 * kinds)
-    q = (target + PRIOR * kinds * p) / (target_sum + PRIOR * kinds)
-    return np.log(q) - np.log(p)
+def log_ratios(raw: np.ndarray, target: np.ndarray, raw_sum: int, target_sum: int) -> np.ndarray:
+    """log p(target) - log p(raw) per n-gram of the corpus; zeros without any target."""
+    if not target_sum:
+        return np.zeros(len(raw))
+    p = raw / raw_sum
+    return np.log((target / target_sum + PRIOR * p) / (1 + PRIOR)) - np.log(p)
 
 
-def _pack_hashes(hashes: np.ndarray) -> bytes:
-    """Blob of sorted uint64 hashes: byte planes of their differences."""
-    steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+def _texts(table: pa.Table) -> list[bytes]:
+    return [x or b"" for x in table["text"].cast(pa.binary()).to_pylist()]
 
 
-def _unpack_hashes(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+def _counted(grams: list[np.ndarray], trusted: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of some texts, sorted, and how often all and trusted ones hold each."""
+    def distinct(some):
+        return np.unique(np.concatenate([*some, np.zeros(0, np.uint64)]), return_counts=True)
 
+    keys, raw = distinct(grams)
+    good, n = distinct([g for g, t in zip(grams, trusted) if t])
+    target = np.zeros(len(keys), np.int64)
+    target[np.searchsorted(keys, good)] = n
+    return keys, raw, target
 
-def _pack_counts(counts: np.ndarray) -> bytes:
-    """A byte per count; those of 255 and more follow in full."""
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
 
+_SENT = "bucket int, chunk long, n long, keys binary, raw binary, target binary, raw_n long, target_n long"
+_ANSWERS = "chunk long, bucket int, n long, shared binary, raw binary, target binary"
 
-def _unpack_counts(blob: bytes, n: int) -> np.ndarray:
-    out = np.frombuffer(blob, np.uint8, n).astype(np.int64)
-    out[out == 255] = np.frombuffer(blob, "<i8", offset=n)
-    return out
-
-
-_SENT = "bucket int, chunk long, hashes binary, raw binary, target binary"
-_COUNTED = "chunk long, bucket int, n long, raw binary, target binary, raw_sum long, target_sum long, distinct_sum long"
-
-
-def _words(table: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
-    texts = [x or b"" for x in table["text"].cast(pa.binary()).to_pylist()]
-    return texts, [word_hashes(x) for x in texts]
-
-
-def ngram_counts(src: DataFrame, marks: DataFrame) -> DataFrame:
-    """Per chunk of ``src(doc_id, text, chunk)`` and bucket: raw and target
-    counts, over all rows, of the chunk's distinct n-grams in the order of their
-    hashes, and the bucket's sums. ``marks(held, holder)`` are the trusted ids and their chunks."""
-    bits = bucket_bits(src.sparkSession)
 
+def ngram_counts(chunks: DataFrame, marks: DataFrame, bits: int) -> DataFrame:
+    """Per chunk and bucket: which of the chunk's distinct n-grams, in order, other
+    chunks have too, the raw and target counts of these over all rows, and the
+    corpus's sums. ``marks(holder, held)`` are the trusted ids by chunk."""
     def send(key, left, right):
-        trusted = pc.is_in(left["doc_id"], value_set=right["held"].combine_chunks()).to_pylist()
-        grams = [ngram_buckets(w) for w in _words(left)[1]]
-        hashes, at = np.unique(np.concatenate([*grams, np.zeros(0, np.uint64)]), return_inverse=True)
-        raw = np.bincount(at, minlength=len(hashes))
-        good = np.repeat(np.array(trusted, bool), [len(g) for g in grams])
-        target = np.bincount(at[good], minlength=len(hashes))
-        edges = bucket_edges(hashes >> np.uint64(64 - bits), bits)
-        spans = list(zip(edges[:-1], edges[1:]))        # empty ones too: every chunk is told every bucket's sums
-        return pa.table({"bucket": pa.array(range(len(spans)), pa.int32()),
+        table = unpack_table(left["docs"][0].as_py())
+        trusted = pc.is_in(table["doc_id"], value_set=right["held"].combine_chunks()).to_pylist()
+        keys, raw, target = _counted([ngram_keys(word_hashes(t), bits + KEY_BITS) for t in _texts(table)], trusted)
+        edges = bucket_edges(keys >> np.uint64(KEY_BITS), bits)
+        spans = [(k, i, j) for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
+        return pa.table({"bucket": pa.array([k for k, _, _ in spans], pa.int32()),
                          "chunk": pa.array([key[0].as_py()] * len(spans), pa.int64()),
-                         "hashes": binary([_pack_hashes(hashes[i:j]) for i, j in spans]),
-                         "raw": binary([_pack_counts(raw[i:j]) for i, j in spans]),
-                         "target": binary([_pack_counts(target[i:j]) for i, j in spans])})
-
-    def count(key, table):
-        parts = [_unpack_hashes(x) for x in table["hashes"].to_pylist()]
-        sizes = [len(x) for x in parts]
-        hashes, at = np.unique(np.concatenate(parts), return_inverse=True)
-        cuts = np.cumsum(sizes)[:-1]
-        blobs, sums = [], []
+                         "n": pa.array([j - i for _, i, j in spans], pa.int64()),
+                         "keys": binary([pack_hashes(keys[i:j]) for _, i, j in spans]),
+                         "raw": binary([pack_counts(raw[i:j]) for _, i, j in spans]),
+                         "target": binary([pack_counts(target[i:j]) for _, i, j in spans]),
+                         "raw_n": pa.array([int(raw[i:j].sum()) for _, i, j in spans], pa.int64()),
+                         "target_n": pa.array([int(target[i:j].sum()) for _, i, j in spans], pa.int64())})
+
+    def answer(key, table):
+        parts = [unpack_hashes(x) for x in table["keys"].to_pylist()]
+        cuts = np.cumsum([len(x) for x in parts])[:-1]
+        keys, at, holders = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = np.split((holders > 1)[at], cuts)
+        totals = []
         for name in ("raw", "target"):
-            some = np.concatenate([_unpack_counts(x, n) for x, n in zip(table[name].to_pylist(), sizes)])
-            total = np.zeros(len(hashes), np.int64)
-            np.add.at(total, at, some)
-            blobs.append([_pack_counts(x) for x in np.split(total[at], cuts)])
-            sums.append(int(total.sum()))
-        many = len(sizes)
-        return pa.table({"chunk": table["chunk"], "bucket": pa.array([key[0].as_py()] * many, pa.int32()),
-                         "n": pa.array(sizes, pa.int64()), "raw": binary(blobs[0]), "target": binary(blobs[1]),
-                         "raw_sum": pa.array([sums[0]] * many, pa.int64()),
-                         "target_sum": pa.array([sums[1]] * many, pa.int64()),
-                         "distinct_sum": pa.array([len(hashes)] * many, pa.int64())})
-
-    return (src.groupBy("chunk").cogroup(marks.groupBy("holder")).applyInArrow(send, _SENT)
-            .groupBy("bucket").applyInArrow(count, _COUNTED))
+            own = np.concatenate([unpack_counts(x, len(p)) for x, p in zip(table[name].to_pylist(), parts)])
+            total = np.zeros(len(keys), np.int64)
+            np.add.at(total, at, own)
+            totals.append(binary([pack_counts(x[s]) for x, s in zip(np.split(total[at], cuts), shared)]))
+        return pa.table([table["chunk"], table["bucket"], table["n"], binary([pack_bits(s) for s in shared]), *totals],
+                        names=["chunk", "bucket", "n", "shared", "raw", "target"])
+
+    sent = chunks.groupBy("chunk").cogroup(marks.groupBy("holder")).applyInArrow(send, _SENT)
+    sums = [sent.agg(F.sum(f"{name}_n")).scalar().alias(f"{name}_sum") for name in ("raw", "target")]
+    return sent.groupBy("bucket").applyInArrow(answer, _ANSWERS).select("*", *sums)
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, trusted_rows: int | None = None,
@@ -159,44 +150,60 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, tru
     ``trusted_rows`` ids only (those with the smallest hashes). The raw corpus
     is every row of ``docs``. ``kept`` is false if a
     base rule fails, else whether ``score`` reaches ``threshold``; without any
-    trusted text all scores are 0.
+    trusted text all scores are 0. Two n-grams count as one if their hashes agree
+    in the bits of the bucket and ``KEY_BITS`` more.
 
     Null or empty text has zero counts, score 0 and fails the base rule. Null
     ids are never trusted; repeated rows count each time. Other columns are
     ignored, whatever their names; an empty table gives no rows.
     """
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    src = src.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2 * parallelism(docs.sparkSession))))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    bits = bucket_bits(docs.sparkSession)
+    chunks = chunked(src, "docs binary", lambda table: (pack_table(table, ZSTD_LEVEL),), CHUNK_BYTES)
     ids = trusted.select(F.col(f"`{trusted.columns[0]}`").alias("trusted")).where("trusted IS NOT NULL").distinct()
     if trusted_rows is not None:
         ids = ids.orderBy(F.xxhash64("trusted"), "trusted").limit(trusted_rows)
-    held = src.select(F.col("doc_id").alias("held"), F.col("chunk").alias("holder")).distinct()
+
+    def ids_of(key, table):
+        held = unpack_table(table["docs"][0].as_py())["doc_id"].unique()
+        return pa.table([pa.array([key[0].as_py()] * len(held), pa.int64()), held], names=["holder", "held"])
+
+    held = chunks.groupBy("chunk").applyInArrow(ids_of, f"holder long, held {kind}")
     marks = held.join(ids, held.held == ids.trusted, "left_semi")
 
     def run(key, left, right):
-        right = right.sort_by("bucket")
+        table = unpack_table(left["docs"][0].as_py())
+        marked = pc.is_valid(right["held"])
+        good = pc.is_in(table["doc_id"], value_set=right["held"].filter(marked).combine_chunks()).to_pylist()
+        right = right.filter(pc.invert(marked)).sort_by("bucket")
+        texts = _texts(table)
+        words = [word_hashes(t) for t in texts]
+        grams = [ngram_keys(w, bits + KEY_BITS) for w in words]
+        keys, *own = _counted(grams, good)
         sizes = right["n"].to_pylist()
-        counts = [np.concatenate([_unpack_counts(x, n) for x, n in zip(right[name].to_pylist(), sizes)])
-                  for name in ("raw", "target")]
-        ratio = log_ratios(*counts, *(sum(right[f"{name}_sum"].to_pylist()) for name in ("raw", "target", "distinct")))
-        texts, words = _words(left)
-        grams = [ngram_buckets(w) for w in words]
-        hashes, at = np.unique(np.concatenate([*grams, np.zeros(0, np.uint64)]), return_inverse=True)
-        if len(hashes) != len(ratio):
-            raise ValueError(f"chunk {key[0]} has {len(hashes)} n-grams, of which {len(ratio)} were counted")
-        each, rows, begin = ratio[at], [], 0
+        if sum(sizes) != len(keys):
+            raise ValueError(f"chunk {key[0]} has {len(keys)} n-grams, of which {sum(sizes)} were counted")
+        ratio = np.zeros(0)
+        if sizes:
+            bits_of = [unpack_bits(x, n) for x, n in zip(right["shared"].to_pylist(), sizes)]
+            shared = np.concatenate(bits_of)
+            for counts, name in zip(own, ("raw", "target")):
+                counts[shared] = np.concatenate([unpack_counts(x, int(s.sum()))
+                                                 for x, s in zip(right[name].to_pylist(), bits_of)])
+            ratio = log_ratios(*own, right["raw_sum"][0].as_py(), right["target_sum"][0].as_py())
+        rows = []
         for text, w, g in zip(texts, words, grams):
             n, chars, symbols, dup, repeat = statistics(text, w)
             failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PCT * n
-            score = float(each[begin:begin + len(g)].mean()) if n else 0.0
-            begin += len(g)
+            score = float(ratio[np.searchsorted(keys, g)].mean()) if n else 0.0
             rows.append((n, chars, symbols, dup, repeat, failed, score, not failed and score >= threshold))
-        cols = list(zip(*rows)) or [()] * 8
         kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
-        return pa.table([left["doc_id"], *(pa.array(c, k) for c, k in zip(cols, kinds))], names=names)
+        return pa.table([table["doc_id"], *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=names)
 
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.groupBy("chunk").cogroup(ngram_counts(src, marks).groupBy("chunk")).applyInArrow(
+    told = ngram_counts(chunks, marks, bits).unionByName(
+        marks.select(F.col("holder").alias("chunk"), "held"), allowMissingColumns=True)
+    return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
              "n_repeat_words long, base_failed boolean, score double, kept boolean")

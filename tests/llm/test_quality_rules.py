@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -6,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from hazardlens.llm import quality_rules as Q
+from hazardlens.llm.packed import pack_counts, pack_hashes, unpack_counts, unpack_hashes
 from hazardlens.llm.words import word_hashes
 
 from . import brute, data
@@ -20,15 +22,14 @@ def test_statistics(text):
 
 
 def plain_scores(rows, trusted):
-    """The same ratios from dictionaries of buckets."""
-    grams = [Q.ngram_buckets(word_hashes((t or "").encode())).tolist() for _, t, *_ in rows]
+    """The same ratios from dictionaries of the n-grams themselves."""
+    grams = [(w := brute.words(t)) + list(zip(w, w[1:])) for _, t, *_ in rows]
     raw = Counter(g for doc in grams for g in doc)
     target = Counter(g for (i, *_), doc in zip(rows, grams) if i in trusted for g in doc)
-    n, m = sum(raw.values()), sum(target.values())
+    n, m = raw.total(), target.total()
 
-    def ratio(b):
-        p = (raw[b] + 1e-3) / (n + 1e-3 * Q.BUCKETS)
-        return math.log((target[b] + Q.PRIOR * Q.BUCKETS * p) / (m + Q.PRIOR * Q.BUCKETS)) - math.log(p)
+    def ratio(g):
+        return math.log((target[g] + Q.PRIOR * m * raw[g] / n) / (m + Q.PRIOR * m)) - math.log(raw[g] / n)
 
     return [sum(map(ratio, doc)) / len(doc) if doc else 0.0 for doc in grams]
 
@@ -87,10 +88,31 @@ def test_junk_is_told_from_clean_text_in_a_larger_corpus(spark, queries):
 def test_counts_pack_and_unpack():
     for counts in ([], [1, 0, 254, 255, 256, 10**12, 0], [255] * 3):
         c = np.array(counts, np.int64)
-        assert Q._unpack_counts(Q._pack_counts(c), len(c)).tolist() == counts
+        assert unpack_counts(pack_counts(c), len(c)).tolist() == counts
     hashes = np.unique(np.array([0, 1, 2**63, 2**64 - 1, 12345], np.uint64))
     for h in (hashes, hashes[:0]):
-        assert Q._unpack_hashes(Q._pack_hashes(h)).tolist() == h.tolist()
+        assert unpack_hashes(pack_hashes(h)).tolist() == h.tolist()
+
+
+def test_small_chunks_match_brute_force(spark, monkeypatch):
+    """N-grams of one chunk alone and of several, in more buckets than chunks, over more than 65,536 n-grams."""
+    monkeypatch.setattr(Q, "CHUNK_BYTES", 40_000)
+    rng = random.Random(8)
+    rows = [(i, data.sentence(rng, rng.randrange(1, 200), words=rng.choice((50, 5000))), "en", "s") for i in range(1800)]
+    ids = spark.createDataFrame([(i,) for i in range(0, 1800, 7)], "id long")
+    got = {r.doc_id: r.score for r in Q.judge(data.frame(spark, rows).repartition(3), ids).collect()}
+    want = plain_scores(rows, set(range(0, 1800, 7)))
+    assert len({g for _, t, *_ in rows for g in zip(t.split(), t.split()[1:])}) > 65_536
+    assert all(abs(got[i] - s) < 1e-9 for i, s in enumerate(want))
+
+
+def test_verdict_does_not_loosen_with_the_corpus(spark):
+    """Texts with no n-gram of a trusted one fail, however few are trusted and however many texts there are."""
+    for n in (200, 2000):
+        rows = [(i, " ".join(f"d{i}w{j}" for j in range(60)), "en", "s") for i in range(n)]
+        got = Q.judge(data.frame(spark, rows, clashes=False), spark.range(100)).collect()
+        assert all(r.kept == (r.doc_id < 100) for r in got)
+        assert len({round(r.score, 9) for r in got if r.doc_id >= 100}) == 1
 
 
 def test_every_trusted_document_counts(spark):

@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import chunked, pack_table, unpack_table
-from .packed import (binary, bucket_bits, bucket_edges, pack_bits, pack_counts, pack_hashes, unpack_bits, unpack_counts,
-                     unpack_hashes)
+from .packed import (binary, bucket_bits, bucket_edges, pack_bits, pack_counts, pack_hashes, squeezed, unpack_bits,
+                     unpack_counts, unpack_hashes, unsqueezed)
 from .words import window_hashes, word_hashes
 
 KEY_BITS = 36                # of an n-gram's hash, beside those that name its bucket
-CHUNK_BYTES = 24 << 20       # text counted at a time
+CHUNK_BYTES = 32 << 20       # text counted at a time
 ZSTD_LEVEL = 6               # of the texts in their exchange
 ORDERS = (1, 2)              # word n-grams counted and scored
 THRESHOLD = -0.25            # mean log ratio a document must reach
@@ -86,19 +86,27 @@ def _texts(table: pa.Table) -> list[bytes]:
     return [x or b"" for x in table["text"].cast(pa.binary()).to_pylist()]
 
 
-def _counted(grams: list[np.ndarray], trusted: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct n-grams of some texts, sorted, and how often all and trusted ones hold each."""
-    def distinct(some):
-        return np.unique(np.concatenate([*some, np.zeros(0, np.uint64)]), return_counts=True)
+def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and their counts; sorts in place, since the arrays are large."""
+    grams.sort()
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, np.int64)
+    return grams[first], np.diff(np.append(first, len(grams)))
 
-    keys, raw = distinct(grams)
-    good, n = distinct([g for g, t in zip(grams, trusted) if t])
+
+def _counted(grams: np.ndarray, sizes: list[int], trusted: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of texts laid end to end, sorted, and how often all and the trusted ones hold each."""
+    good, n = _distinct(grams[np.repeat(np.array(trusted, bool), sizes)])
+    keys, raw = _distinct(grams.copy())
     target = np.zeros(len(keys), np.int64)
     target[np.searchsorted(keys, good)] = n
     return keys, raw, target
 
 
-_SENT = "bucket int, chunk long, n long, keys binary, raw binary, target binary, raw_n long, target_n long"
+def _laid(grams: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+    return np.concatenate([*grams, np.zeros(0, np.uint64)]), [len(g) for g in grams]
+
+
+_SENT = "bucket int, chunk long, n long, keys binary, raw binary, target binary"
 _ANSWERS = "chunk long, bucket int, n long, shared binary, raw binary, target binary"
 
 
@@ -109,35 +117,32 @@ def ngram_counts(chunks: DataFrame, marks: DataFrame, bits: int) -> DataFrame:
     def send(key, left, right):
         table = unpack_table(left["docs"][0].as_py())
         trusted = pc.is_in(table["doc_id"], value_set=right["held"].combine_chunks()).to_pylist()
-        keys, raw, target = _counted([ngram_keys(word_hashes(t), bits + KEY_BITS) for t in _texts(table)], trusted)
+        keys, raw, target = _counted(*_laid([ngram_keys(word_hashes(t), bits + KEY_BITS) for t in _texts(table)]), trusted)
         edges = bucket_edges(keys >> np.uint64(KEY_BITS), bits)
         spans = [(k, i, j) for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
         return pa.table({"bucket": pa.array([k for k, _, _ in spans], pa.int32()),
                          "chunk": pa.array([key[0].as_py()] * len(spans), pa.int64()),
                          "n": pa.array([j - i for _, i, j in spans], pa.int64()),
-                         "keys": binary([pack_hashes(keys[i:j]) for _, i, j in spans]),
-                         "raw": binary([pack_counts(raw[i:j]) for _, i, j in spans]),
-                         "target": binary([pack_counts(target[i:j]) for _, i, j in spans]),
-                         "raw_n": pa.array([int(raw[i:j].sum()) for _, i, j in spans], pa.int64()),
-                         "target_n": pa.array([int(target[i:j].sum()) for _, i, j in spans], pa.int64())})
+                         "keys": squeezed([pack_hashes(keys[i:j]) for _, i, j in spans]),
+                         "raw": squeezed([pack_counts(raw[i:j]) for _, i, j in spans]),
+                         "target": squeezed([pack_counts(target[i:j]) for _, i, j in spans])})
 
     def answer(key, table):
-        parts = [unpack_hashes(x) for x in table["keys"].to_pylist()]
+        parts = [unpack_hashes(x) for x in unsqueezed(table["keys"])]
         cuts = np.cumsum([len(x) for x in parts])[:-1]
         keys, at, holders = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         shared = np.split((holders > 1)[at], cuts)
         totals = []
         for name in ("raw", "target"):
-            own = np.concatenate([unpack_counts(x, len(p)) for x, p in zip(table[name].to_pylist(), parts)])
+            own = np.concatenate([unpack_counts(x, len(p)) for x, p in zip(unsqueezed(table[name]), parts)])
             total = np.zeros(len(keys), np.int64)
             np.add.at(total, at, own)
-            totals.append(binary([pack_counts(x[s]) for x, s in zip(np.split(total[at], cuts), shared)]))
+            totals.append(squeezed([pack_counts(x[s]) for x, s in zip(np.split(total[at], cuts), shared)]))
         return pa.table([table["chunk"], table["bucket"], table["n"], binary([pack_bits(s) for s in shared]), *totals],
                         names=["chunk", "bucket", "n", "shared", "raw", "target"])
 
     sent = chunks.groupBy("chunk").cogroup(marks.groupBy("holder")).applyInArrow(send, _SENT)
-    sums = [sent.agg(F.sum(f"{name}_n")).scalar().alias(f"{name}_sum") for name in ("raw", "target")]
-    return sent.groupBy("bucket").applyInArrow(answer, _ANSWERS).select("*", *sums)
+    return sent.groupBy("bucket").applyInArrow(answer, _ANSWERS)
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, trusted_rows: int | None = None,
@@ -166,11 +171,17 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, tru
         ids = ids.orderBy(F.xxhash64("trusted"), "trusted").limit(trusted_rows)
 
     def ids_of(key, table):
-        held = unpack_table(table["docs"][0].as_py())["doc_id"].unique()
-        return pa.table([pa.array([key[0].as_py()] * len(held), pa.int64()), held], names=["holder", "held"])
+        table = unpack_table(table["docs"][0].as_py())
+        n = np.array([len(t.split()) for t in _texts(table)], np.int64)
+        grams = sum(np.maximum(n - k + 1, 0) for k in ORDERS)
+        table = pa.table({"held": table["doc_id"], "n": grams}).group_by("held").aggregate([("n", "sum")])
+        return pa.table([pa.array([key[0].as_py()] * len(table), pa.int64()), table["held"], table["n_sum"]], names=["holder", "held", "n"])
 
-    held = chunks.groupBy("chunk").applyInArrow(ids_of, f"holder long, held {kind}")
+    held = chunks.groupBy("chunk").applyInArrow(ids_of, f"holder long, held {kind}, n long")
     marks = held.join(ids, held.held == ids.trusted, "left_semi")
+    sums = [some.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar().alias(name)
+            for some, name in ((held, "raw_sum"), (marks, "target_sum"))]
+    marks = marks.select("holder", "held")
 
     def run(key, left, right):
         table = unpack_table(left["docs"][0].as_py())
@@ -179,8 +190,8 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, tru
         right = right.filter(pc.invert(marked)).sort_by("bucket")
         texts = _texts(table)
         words = [word_hashes(t) for t in texts]
-        grams = [ngram_keys(w, bits + KEY_BITS) for w in words]
-        keys, *own = _counted(grams, good)
+        grams, lengths = _laid([ngram_keys(w, bits + KEY_BITS) for w in words])
+        keys, *own = _counted(grams, lengths, good)
         sizes = right["n"].to_pylist()
         if sum(sizes) != len(keys):
             raise ValueError(f"chunk {key[0]} has {len(keys)} n-grams, of which {sum(sizes)} were counted")
@@ -190,19 +201,20 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, tru
             shared = np.concatenate(bits_of)
             for counts, name in zip(own, ("raw", "target")):
                 counts[shared] = np.concatenate([unpack_counts(x, int(s.sum()))
-                                                 for x, s in zip(right[name].to_pylist(), bits_of)])
+                                                 for x, s in zip(unsqueezed(right[name]), bits_of)])
             ratio = log_ratios(*own, right["raw_sum"][0].as_py(), right["target_sum"][0].as_py())
-        rows = []
-        for text, w, g in zip(texts, words, grams):
+        rows, begin = [], 0
+        for text, w, size in zip(texts, words, lengths):
             n, chars, symbols, dup, repeat = statistics(text, w)
             failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PCT * n
-            score = float(ratio[np.searchsorted(keys, g)].mean()) if n else 0.0
+            score = float(ratio[np.searchsorted(keys, grams[begin:begin + size])].mean()) if n else 0.0
+            begin += size
             rows.append((n, chars, symbols, dup, repeat, failed, score, not failed and score >= threshold))
         kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
         return pa.table([table["doc_id"], *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=names)
 
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
-    told = ngram_counts(chunks, marks, bits).unionByName(
+    told = ngram_counts(chunks, marks, bits).select("*", *sums).unionByName(
         marks.select(F.col("holder").alias("chunk"), "held"), allowMissingColumns=True)
     return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "

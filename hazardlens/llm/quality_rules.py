@@ -30,8 +30,8 @@ from .packed import (binary, bucket_bits, bucket_edges, pack_bits, pack_counts,
                      unpack_counts, unpack_hashes, unsqueezed)
 from .words import window_hashes, word_hashes
 
-KEY_BITS = 36                # of an n-gram's hash, beside those that name its bucket
-CHUNK_BYTES = 32 << 20       # text counted at a time
+KEY_BITS = 34                # of an n-gram's hash, beside those that name its bucket
+CHUNK_BYTES = 36 << 20       # text counted at a time
 ZSTD_LEVEL = 6               # of the texts in their exchange
 ORDERS = (1, 2)              # word n-grams counted and scored
 THRESHOLD = -0.25            # mean log ratio a document must reach

@@ -9,9 +9,9 @@
 
 ``--raw`` accepts landed pages (default: one JSON array per line), raw API
 responses saved one array per file (``--raw-format json-files``) or a CSV
-export (``--raw-format csv``, columns by header). Every landed column passes through. ``--input-bytes``
-sizes the shuffles of a cluster job. Results are written by Spark; only small reports (``show``) reach
-the console.
+export (``--raw-format csv``, columns by header). Every landed column passes through, renamed where it
+would clash. ``--input-bytes`` sizes the shuffles of a cluster job. Results are written by Spark; only
+small reports (``show``) reach the console.
 """
 
 from __future__ import annotations
@@ -25,12 +25,8 @@ def _read_raw(spark, path: str, fmt: str):
     if fmt == "csv":
         from .sources.files import read_raw_csv
         return read_raw_csv(spark, path)
-    from .schemas import RAW
-    from .sources.landed import landed_keys, page_schema, read_pages
-    multiline = fmt == "json-files"
-    keys = landed_keys(spark, path, multiline)
-    extra = [k for k in keys if k not in RAW.fieldNames()]
-    return read_pages(spark, path, page_schema(extra), multiline)
+    from .sources.landed import read_all_keys
+    return read_all_keys(spark, path, fmt == "json-files")
 
 
 def main(argv: list[str] | None = None) -> int:

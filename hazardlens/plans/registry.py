@@ -153,6 +153,47 @@ def dedup_landed_pages(spark, sf):
     return df.select("inspection_id", "results", "result_score")
 
 
+@register("dedup_numbered_pages", "SELECT inspection_id, results, result_score FROM c_dedup")
+def dedup_numbered_pages(spark, sf):
+    """S1 + C6 on pages numbered without leading zeros: 9, then 10 and 11 with the copies sent later."""
+    raw, path = _raw(spark, sf), staging_path(spark, "numbered")
+    later = F.col("ingest_seq") == 1
+    even = F.crc32("inspection_id") % 2 == 0
+    for page, part in ((9, ~later), (10, later & even), (11, later & ~even)):
+        L.land_pages(raw.filter(part), f"{path}/page_{page}", PAGE_SIZE_TEST, RAW_TEXT_COLUMNS)
+    df = C.normalize_results(C.drop_bad_dates(C.parse_dates(L.read_pages(spark, f"{path}/*"))))
+    return C.dedup_keep_last(df).select("inspection_id", "results", "result_score")
+
+
+@register("dedup_by_manifest", "SELECT inspection_id, results, result_score FROM c_dedup")
+def dedup_by_manifest(spark, sf):
+    """S1 + C6 where names give no order: the copies sent later land under a name that
+    sorts first, and the folder's manifest tells when each file arrived."""
+    raw, path = _raw(spark, sf), staging_path(spark, "manifest")
+    for name, seq in (("z-first", 0), ("a-later", 1)):
+        some = raw.filter(F.col("ingest_seq") == seq).select(*RAW_TEXT_COLUMNS)
+        some.withColumn("pull", F.lit(name)).write.mode("append").partitionBy("pull").json(path)
+        L.record_landing(spark, path)
+    df = C.normalize_results(C.drop_bad_dates(C.parse_dates(L.read_pages(spark, path))))
+    return C.dedup_keep_last(df).select("inspection_id", "results", "result_score")
+
+
+CLASHING = {"Zip": "zip", "landing": "facility_type", "result_score": "results", "establishment_id": "license_", "ward": "risk"}
+
+
+@register("clashing_keys", f"SELECT {', '.join(RAW_TEXT_COLUMNS)}, ingest_seq, zip AS Zip_landed, facility_type AS landing_landed, "
+                           "results AS result_score_landed, license_ AS establishment_id_landed, risk AS ward FROM raw_inspections")
+def clashing_keys(spark, sf):
+    """One record per line, with keys that equal columns of later steps, or declared
+    ones but for case, and one new key; all come back."""
+    raw, path = _raw(spark, sf), staging_path(spark, "clashing")
+    entries = {**{c: c for c in RAW.fieldNames()}, **CLASHING}
+    record = F.create_map(*(x for key, c in entries.items() for x in (F.lit(key), F.col(c).cast("string"))))
+    raw.select(F.to_json(record).alias("value")).write.text(path)
+    df = L.read_all_keys(spark, path)
+    return df.drop("landing").withColumnRenamed("ingest_seq_landed", "ingest_seq").withColumn("ingest_seq", F.col("ingest_seq").cast("long"))
+
+
 @register("dedup_csv_files", "SELECT inspection_id, results, result_score FROM c_dedup")
 def dedup_csv_files(spark, sf):
     """S4 + C6 over several CSV files: the landing order is that of the files and rows."""

@@ -24,6 +24,10 @@ LANDING = "landing"
 # The micro-batch a record came with, in the refresh stream.
 BATCH = "_batch"
 
+# Columns that later steps add, so that no landed key may keep their names.
+DERIVED = {"establishment_id", "result_score", "n_critical", "n_serious", "n_minor", "kw_critical", "kw_major", "kw_minor",
+           "kw_found", "violation_codes", "violation_severity", "ingest_seq", LANDING, BATCH}
+
 # Columns the cleaning step reads without a guard.
 RAW_REQUIRED = ["dba_name", "address", "license_", "inspection_date",
                 "inspection_type", "results", "violations"]

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import safe_timestamp
-from ..schemas import RAW, ensure_columns
-from .landed import landing_order, page_schema
+from ..schemas import LANDING, RAW, ensure_columns
+from .landed import _in_order, column_names, page_schema
 
 log = logging.getLogger(__name__)
 
@@ -71,11 +71,12 @@ def read_raw_csv(spark: SparkSession, path: str, null_value: str = "") -> DataFr
     """
     df = _csv_text(spark, path, null_value)
     has_seq = "ingest_seq" in df.columns
-    extra = [c for c in df.columns if c not in RAW.fieldNames()]
-    names = page_schema(extra).fieldNames()
-    full = ensure_columns(df, page_schema(extra)).select(
-        *names, F.col("ingest_seq").cast("long") if has_seq else landing_order())
-    return full
+    names = [c if c.lower() in RAW.fieldNames() else column_names([c])[c] for c in df.columns]
+    renamed = {c: n for c, n in zip(df.columns, names) if c != n}
+    extra = [n for n in names if n.lower() not in RAW.fieldNames()]
+    df = df.withColumnsRenamed(renamed)
+    full = ensure_columns(df if has_seq else _in_order(spark, df, [path]), page_schema(extra))
+    return full.select(*page_schema(extra).fieldNames(), F.col("ingest_seq").cast("long") if has_seq else LANDING)
 
 
 def _absent(error: AnalysisException) -> bool:

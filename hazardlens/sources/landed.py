@@ -6,8 +6,12 @@ The upstream API serves records in pages of ``PAGE_SIZE`` rows ordered by
 line one page (an array) or one record (an object).
 
 * ``read_pages`` reads any number of page files under one explicit schema and
-  gives every record its landing order: file path, then place in the file. A
-  damaged page stops the read; ``damaged_pages`` lists such lines instead.
+  gives every record its landing order: that of its file, then place in the
+  file. Files are ordered by the folder's manifest (``record_landing``), else by
+  the numbers in their names; names that give no order are refused. A damaged
+  page stops the read; ``damaged_pages`` lists such lines instead.
+* ``read_all_keys`` reads every key that occurs in the records, under a name of
+  its own where keys clash with each other or with a column of a later step.
 * ``assign_pages`` / ``ordered_page`` give every record its page number under
   a *global* order without a single-partition window.
 * ``land_pages`` lands a frame as page files (support for the fixtures).
@@ -15,6 +19,7 @@ line one page (an array) or one record (an object).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,20 +28,146 @@ from pyspark.sql import types as T
 
 from ..config import PAGE_SIZE
 from ..operators.ordering import global_row_index
-from ..schemas import LANDING, RAW, RAW_TEXT_COLUMNS
+from ..schemas import DERIVED, LANDING, RAW, RAW_TEXT_COLUMNS
 
 DEFAULT_ORDER = ("inspection_id", "ingest_seq")
 
 
-def landing_order(file: str = "_metadata.file_path", block: str = "_metadata.file_block_start") -> Column:
-    """Landing order of a record just read: file path, then place in the file.
+MANIFEST = "_manifest"            # folder beside the pages; Spark's readers pass over it
+MANIFEST_SCHEMA = "file string, arrival long, position long"
+BROADCAST_FILES = 200_000         # manifest entries up to which the manifest is sent to every task (about 20 MB)
 
-    A file split is read by one task in file order, where the running id
-    rises; splits of one file are ordered by where they start. The struct
-    compares field by field, and no two records share one.
+
+def natural_key(name: Column) -> Column:
+    """Text that sorts like ``name`` with its numbers taken as numbers: each run of
+    digits, without leading zeros, follows its own length."""
+    def one(part: Column) -> Column:
+        digits = F.regexp_replace(part, "^0+(?=[0-9])", "")
+        return F.when(part.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 4, "0"), digits)).otherwise(part)
+    return F.array_join(F.transform(F.regexp_extract_all(name, F.lit("([0-9]+|[^0-9]+)"), F.lit(1)), one), "")
+
+
+def landing_order(file: str | Column = "_metadata.file_path", block: str = "_metadata.file_block_start",
+                  order: Column | None = None) -> Column:
+    """Landing order of a record just read: that of its file, then place in the file.
+
+    ``order`` is the file's; by default its path in natural order, so that
+    ``page_9`` comes before ``page_10``. A file split is read by one task in
+    file order, where the running id rises; splits of one file are ordered by
+    where they start. The struct compares field by field, and no two records
+    share one; it is null where ``order`` is.
     """
-    return F.struct(F.col(file).alias("file"), F.col(block).cast("long").alias("block"),
-                    F.monotonically_increasing_id().alias("line")).alias(LANDING)
+    order = natural_key(F.col(file)) if order is None else order
+    place = F.struct(order.alias("file"), F.col(block).cast("long").alias("block"),
+                     F.monotonically_increasing_id().alias("line"))
+    return F.when(order.isNotNull(), place).alias(LANDING)
+
+
+def _paths(path: str | Sequence[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
+def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file``: the paths of the files, as readers report them. No content is read."""
+    return spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file"))
+
+
+def unordered_folders(files: DataFrame) -> DataFrame:
+    """The folders whose file names give no landing order: names that are alike
+    but for leading zeros, or that differ in more than their numbers. (Names
+    without any number are in the order of the letters.)"""
+    name = F.regexp_extract("file", "([^/]*)$", 1)
+    return (files.groupBy(F.regexp_extract("file", "^(.*/)[^/]*$", 1).alias("folder"))
+            .agg(F.count(F.lit(1)).alias("n_files"),
+                 F.count_distinct(natural_key(name)).alias("n_orders"),
+                 F.count_distinct(F.regexp_replace(name, "[0-9]+", "#")).alias("n_kinds"),
+                 F.max(name.rlike("[0-9]")).alias("numbered"))
+            .where("n_orders < n_files OR (n_kinds > 1 AND numbered)"))
+
+
+def require_order(spark: SparkSession, paths: list[str]) -> None:
+    bad = unordered_folders(_files(spark, paths)).first()
+    if bad:
+        raise ValueError(f"the {bad.n_files} file names in {bad.folder} give no landing order; "
+                         "name them by page number or offset, or keep a manifest (record_landing)")
+
+
+def _root(spark: SparkSession, path: str) -> str:
+    """The folder as ``_plain`` shows it in the paths of its files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return re.sub("^(file:)/+", r"\1/", fs.makeQualified(place).toUri().toString().rstrip("/"))
+
+
+def _plain(file: str) -> Column:
+    """A reader's file path; ``file:///x`` and ``file:/x`` are one."""
+    return F.regexp_replace(file, "^(file:)/+", "$1/")
+
+
+def record_landing(spark: SparkSession, path: str, arrival: int | None = None, positions: DataFrame | None = None) -> int:
+    """Note in the folder's manifest the files that landed in ``path`` since the last time.
+
+    A later call has a higher ``arrival`` (given, or the next one). ``positions``
+    (``file`` below the folder, ``position``: page number or offset) orders the
+    files of one arrival; without it their names must. Returns the arrival.
+    """
+    known = read_manifest(spark, path)
+    landed = _files(spark, [path]).select(F.substr(_plain("file"), F.lit(len(_root(spark, path)) + 2)).alias("file"))
+    if known is not None:
+        landed = landed.join(known.select("file"), "file", "left_anti")
+        if arrival is None:
+            arrival = (known.agg(F.max("arrival")).first()[0] or 0) + 1
+    arrival = 1 if arrival is None else arrival
+    if positions is not None:
+        landed = landed.join(positions.select("file", F.col("position").cast("long")), "file", "left")
+        lost = landed.where("position IS NULL").first()
+        if lost:
+            raise ValueError(f"no position given for {lost.file}")
+    else:
+        bad = unordered_folders(landed).first()
+        if bad:
+            raise ValueError(f"the names of {bad.n_files} new files in {path} give no order: positions are needed")
+        landed = landed.withColumn("position", F.lit(None).cast("long"))
+    entries = landed.select("file", F.lit(arrival).cast("long").alias("arrival"), "position")
+    entries.write.mode("append").json(f"{path.rstrip('/')}/{MANIFEST}")
+    return arrival
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """``file, arrival, position`` of a landing folder, or None if it keeps no manifest."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFEST}")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.schema(MANIFEST_SCHEMA).json(place.toString())
+
+
+def _in_order(spark: SparkSession, df: DataFrame, paths: list[str]) -> DataFrame:
+    """``df`` of a file reader with the landing order: by the manifest of the
+    folders if they keep one, else by the names, which must give an order.
+
+    A file that its folder's manifest does not list has no order yet, which the
+    dedup refuses. The manifest has a row per file; up to ``BROADCAST_FILES`` it
+    is sent along, beyond that Spark joins by file.
+    """
+    kept = [(p, m) for p in paths if (m := read_manifest(spark, p)) is not None] if not any("*" in p for p in paths) else []
+    if not kept:
+        require_order(spark, paths)
+        return df.select("*", landing_order())
+    if len(kept) < len(paths):
+        raise ValueError("some of the landing folders keep a manifest and some do not")
+    cols, entries = df.columns, None
+    for i, (path, manifest) in enumerate(kept):
+        order = natural_key(F.concat_ws("/", F.col("arrival"), F.lit(i), F.coalesce(F.col("position"), F.lit(0)), F.col("file")))
+        some = manifest.select(F.concat(F.lit(_root(spark, path) + "/"), "file").alias("_listed"), order.alias("_order"))
+        entries = some if entries is None else entries.unionByName(some)
+    entries = entries.dropDuplicates(["_listed"])
+    if entries.count() <= BROADCAST_FILES:
+        entries = F.broadcast(entries)
+    placed = df.select("*", _plain("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    found = placed.join(entries, F.col("_file") == F.col("_listed"), "left")
+    place = F.struct(F.col("_order").alias("file"), F.col("_block").cast("long").alias("block"), F.col("_line").alias("line"))
+    return found.select(*(F.col(f"`{c}`") for c in cols), F.when(F.col("_order").isNotNull(), place).alias(LANDING))
 
 
 def page_schema(extra: Sequence[str] = (), with_seq: bool = False) -> T.StructType:
@@ -55,16 +186,16 @@ def read_pages(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     may be lost unnoticed. ``multiline=True`` reads raw API responses saved one
     pretty-printed array per file.
     """
-    paths = [path] if isinstance(path, str) else list(path)
+    paths = _paths(path)
     schema = schema or page_schema()
     df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(paths)
-    return df.select(*schema.fieldNames(), landing_order())
+    return _in_order(spark, df, paths)
 
 
 def damaged_pages(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
     """The lines that ``read_pages`` refuses: ``file``, the ``page`` text itself, and
     the ``inspection_id`` that could be read of it, if any."""
-    paths = [path] if isinstance(path, str) else list(path)
+    paths = _paths(path)
     schema = page_schema().add("_corrupt_record", "string")
     df = (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE").json(paths))
     # a query of the damage column alone is refused by the reader, so a parsed one stays
@@ -72,17 +203,59 @@ def damaged_pages(spark: SparkSession, path: str | Sequence[str], multiline: boo
             .filter(F.col("page").isNotNull()))
 
 
+def _records(spark: SparkSession, paths: list[str], multiline: bool) -> DataFrame:
+    """``r``: every record as a map from its keys to their texts, of pages (arrays)
+    and of single records (objects) alike. A damaged one raises when it is read."""
+    lines = spark.read.option("wholetext", multiline).text(paths).where(F.trim("value") != "")
+    strict = {"mode": "FAILFAST"}
+    page = F.from_json("value", "array<map<string,string>>", strict)
+    one = F.array(F.from_json("value", "map<string,string>", strict))
+    return lines.select(F.explode(F.when(F.ltrim("value").startswith("["), page).otherwise(one)).alias("r"),
+                        F.col("_metadata"))
+
+
 def landed_keys(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> list[str]:
     """Every key that occurs in the landed records: the declared columns first,
     then the others by name. One pass over the files; only names reach the driver."""
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.option("wholetext", multiline).text(paths)
-    records = lines.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("r"))
+    records = _records(spark, _paths(path), multiline)
     found = {r.k for r in records.select(F.explode(F.map_keys("r")).alias("k")).distinct().collect()}
-    known = [c for c in RAW.fieldNames() if c in found]
+    known = [c for c in RAW_TEXT_COLUMNS if c in found]
     return known + sorted(found - set(known))
 
 
+def column_names(keys: Sequence[str]) -> dict[str, str]:
+    """The column of every landed key: the key itself, unless it equals, but for
+    case, a column that is declared, that a later step adds, or that an earlier
+    key has; or if a column cannot be called so (a dot, a backtick, a leading
+    underscore). Such a key gets ``_landed`` (and a number) behind it."""
+    out = {k: k for k in keys if k in RAW_TEXT_COLUMNS}
+    taken = {c.lower() for c in (*RAW_TEXT_COLUMNS, *DERIVED)}
+    for key in keys:
+        if key in out:
+            continue
+        plain = re.sub("[.`]", "_", key).lstrip("_")
+        name, n = key, 1
+        while name.lower() in taken or name != re.sub("[.`]", "_", name).lstrip("_") or not name:
+            name, n = f"{plain}_landed" + (str(n) if n > 1 else ""), n + 1
+        taken.add(name.lower())
+        out[key] = name
+    return out
+
+
+def read_all_keys(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """The records with every key that any of them has, as text, and the
+    landing order: the declared columns first (null where absent), then the
+    others under their ``column_names``."""
+    names = column_names(landed_keys(spark, path, multiline))
+    extra = {k: c for k, c in names.items() if k not in RAW_TEXT_COLUMNS}
+    if all(k == c for k, c in extra.items()):
+        return read_pages(spark, path, page_schema(list(extra)), multiline)
+    # a reader's schema cannot rename, so the records come as maps
+    paths = _paths(path)
+    cols = [F.col("r")[k].alias(c) for k, c in [*((c, c) for c in RAW_TEXT_COLUMNS), *extra.items()]]
+    return _in_order(spark, _records(spark, paths, multiline), paths).select(*cols, LANDING)
+
+
 def union_pages(parts: Sequence[DataFrame]) -> DataFrame:
     """Append already-loaded parts; the schema is the union of their columns."""
     out = parts[0]

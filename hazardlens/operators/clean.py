@@ -1,10 +1,11 @@
 """Cleaning (C1-C15): parse, filter, normalise, dedup, establishment key.
 
-Everything is narrow except the dedup (C6), which is one hash exchange on
-``inspection_id``. The dedup keeps, per id, the copy landed last; it is a
-group limit with a partial (map-side) step, so a hot id — e.g. one record
-re-sent millions of times — is reduced to one row per map task before the
-shuffle.
+Everything is narrow except the dedup (C6), which keeps, per id, the copy landed
+last. It is one hash exchange on ``inspection_id``: a group limit with a partial
+(map-side) step, so a hot id — e.g. one record re-sent millions of times — is
+reduced to one row per map task before the shuffle. Over stored records
+(``dedup_late``) only ids and landing order are shuffled, and the few superseded
+rows are dropped in the scan.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..functions.text import norm, safe_double, safe_timestamp, strip
 from ..schemas import BATCH, LANDING, RAW, RAW_REQUIRED, ensure_columns
+from ..session import staged
 
 KEY_SEPARATOR = "|"
+REPEATED_IDS = 500_000        # ids with several records up to which they are sent to every task (about 50 MB)
 
 
 def result_score(results_norm: Column, cfg: ScoringConfig = DEFAULT_CONFIG) -> Column:
@@ -52,6 +55,15 @@ def landing_columns(df: DataFrame) -> list[str]:
     return own if LANDING in own else [*own, "ingest_seq"]
 
 
+def _known_order(df: DataFrame, order: list[str] | None) -> list[Column]:
+    """The order columns, weightiest first; a null in one raises when it is read."""
+    out = []
+    for c in order or landing_columns(df):
+        refused = F.raise_error(F.lit(f"keep-last dedup: {c} is null, so the landing order is unknown"))
+        out.append(F.when(F.col(c).isNull(), refused.cast(df.schema[c].dataType)).otherwise(F.col(c)))
+    return out
+
+
 def dedup_keep_last(df: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame:
     """One row per ``key``, the last landed. Null keys form one group.
 
@@ -63,14 +75,47 @@ def dedup_keep_last(df: DataFrame, key: str = "inspection_id", order: list[str]
     """
     if key not in df.columns:
         return df
-    by = []
-    for c in order or landing_columns(df):
-        refused = F.raise_error(F.lit(f"keep-last dedup: {c} is null, so the landing order is unknown"))
-        by.append(F.when(F.col(c).isNull(), refused.cast(df.schema[c].dataType)).otherwise(F.col(c)).desc())
+    by = [c.desc() for c in _known_order(df, order)]
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*by))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= 1).drop("_rank")
 
 
+def repeated_ids(df: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame | None:
+    """The keys that more than one row holds, with the order of the last one (``_last``).
+
+    Only the key and the order columns are read and shuffled, one row per key and
+    map task. The result is written to the shared folder and counted: beyond
+    ``REPEATED_IDS`` rows it is not returned, since it is meant to be sent to
+    every task.
+    """
+    last = F.max(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(_known_order(df, order)))))
+    found = (df.groupBy(F.col(key).alias("_repeated")).agg(last.alias("_last"), F.count(F.lit(1)).alias("_n"))
+             .where("_n > 1").select("_repeated", "_last"))
+    found = staged(found, "repeated-ids")
+    return found if found.count() <= REPEATED_IDS else None
+
+
+def drop_repeated(df: DataFrame, repeated: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame:
+    """C6 by ``repeated_ids``: the rows of its keys that landed before the last one
+    go, in the scan itself; no row of ``df`` is shuffled."""
+    own = F.struct(*(c.alias(f"c{i}") for i, c in enumerate(_known_order(df, order))))
+    placed = df.withColumn("_own", own)
+    gone = placed[key].eqNullSafe(repeated["_repeated"]) & (placed["_own"] < repeated["_last"])
+    return placed.join(F.broadcast(repeated), gone, "left_anti").drop("_own")
+
+
+def dedup_late(df: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame:
+    """C6 without shipping whole rows: reads the narrow columns first and then drops
+    the few superseded rows where they are read. With more repeated keys than
+    can be sent to every task, ``dedup_keep_last``.
+
+    For sources that can be read twice cheaply (stored tables and files)."""
+    if key not in df.columns:
+        return df
+    repeated = repeated_ids(df, key, order)
+    return dedup_keep_last(df, key, order) if repeated is None else drop_repeated(df, repeated, key, order)
+
+
 def normalize_text(df: DataFrame) -> DataFrame:
     """C7 + C8 + C9: inspection type to key form; names/address/optional text stripped."""
     df = ensure_columns(df, RAW)
@@ -115,24 +160,33 @@ def _key_expr(license_stripped: Column, name: Column, address: Column) -> Column
     return F.when(F.length(license_stripped) > 0, license_stripped).otherwise(fallback)
 
 
-def clean(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
+def usable_records(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
+    """C1 -> C5: records whose date parses and whose result counts, with its score."""
+    require_columns(raw)
+    df = ensure_columns(raw, RAW)
+    others = [c for c in df.columns if c not in ("inspection_date", "results")]
+    parsed = df.select(*others, safe_timestamp("inspection_date").alias("inspection_date"),
+                       norm("results").alias("results"))
+    return (parsed.filter(F.col("inspection_date").isNotNull() & F.col("results").isin(cfg.usable_results))
+            .withColumn("result_score", result_score(F.col("results"), cfg))
+            .select(*df.columns, "result_score"))
+
+
+def clean(raw: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, repeated: DataFrame | None = None) -> DataFrame:
     """The whole cleaning step with the published semantics (C1 -> C13).
 
     Same expressions as the step functions above, fused into three
     projections so the plan stays small: filter + score before the dedup
-    exchange (rows that can never survive are dropped before they are
-    shuffled), then one projection for all row-wise normalisation.
+    (rows that can never survive are dropped before they are shuffled), then one
+    projection for all row-wise normalisation. ``repeated`` are the
+    ``repeated_ids`` of the usable records, if known: the dedup then shuffles nothing.
     """
-    require_columns(raw)
     has_id = "inspection_id" in raw.columns     # the dedup is skipped when there is no id column
-    df = ensure_columns(raw, RAW)
-    others = [c for c in df.columns if c not in ("inspection_date", "results")]
-    parsed = df.select(*others, safe_timestamp("inspection_date").alias("inspection_date"),
-                       norm("results").alias("results"))
-    usable = (parsed.filter(F.col("inspection_date").isNotNull() & F.col("results").isin(cfg.usable_results))
-              .withColumn("result_score", result_score(F.col("results"), cfg))
-              .select(*df.columns, "result_score"))
-    d = dedup_keep_last(usable) if has_id else usable
+    usable = usable_records(raw, cfg)
+    if has_id:
+        d = dedup_keep_last(usable) if repeated is None else drop_repeated(usable, repeated)
+    else:
+        d = usable
     lic = strip("license_")
     name, addr = strip("dba_name"), strip("address")
     replaced = {

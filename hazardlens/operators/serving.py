@@ -107,21 +107,22 @@ def score_histogram(filtered: DataFrame, bins: int = 25) -> DataFrame:
 
     The width is the smallest of ``HISTOGRAM_STEPS`` that covers the range; bins
     start at multiples of it, and the maximum falls in the last bin even where
-    it is that bin's end. Two small aggregations, whatever the input.
+    it is that bin's end. One scan: the scores' value counts (one decimal in
+    0..100, so at most 1,001) give the range and then the bins.
     """
-    scores = filtered.filter(F.col(SCORE).isNotNull()).select(F.col(SCORE).alias("s"))
-    lo, hi = scores.agg(F.min("s")).scalar(), scores.agg(F.max("s")).scalar()
-
-    def last_bin(step) -> Column:
-        return F.greatest(F.ceil(hi / step) - 1, F.floor(lo / step))
-
-    step = F.lit(None).cast("double")
-    for w in sorted(HISTOGRAM_STEPS, reverse=True):
-        step = F.when(last_bin(F.lit(float(w))) - F.floor(lo / F.lit(float(w))) + 1 <= bins, F.lit(float(w))).otherwise(step)
-    counts = scores.groupBy("s").agg(F.count(F.lit(1)).alias("n")).withColumn("step", step)
-    at = F.least(F.floor(F.col("s") / F.col("step")), last_bin(F.col("step")))
-    return (counts.groupBy((at * F.col("step")).cast("double").alias("bin_start"), "step")
-            .agg(F.sum("n").alias("establishments"))
+    s = F.col("s")
+    values = filtered.filter(F.col(SCORE).isNotNull()).groupBy(F.col(SCORE).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    whole = values.agg(F.collect_list(F.struct("s", "n")).alias("values"), F.min("s").alias("lo"), F.max("s").alias("hi"))
+
+    def last_bin(step: Column) -> Column:
+        return F.greatest(F.ceil(F.col("hi") / step) - 1, F.floor(F.col("lo") / step))
+
+    steps = F.array(*(F.lit(float(w)) for w in sorted(HISTOGRAM_STEPS)))
+    fits = F.filter(steps, lambda w: last_bin(w) - F.floor(F.col("lo") / w) + 1 <= bins)
+    ranged = whole.withColumn("step", F.get(fits, 0)).withColumn("last", last_bin(F.col("step")))
+    counts = ranged.select("step", "last", F.inline("values"))
+    start = (F.least(F.floor(s / F.col("step")), F.col("last")) * F.col("step")).cast("double")
+    return (counts.groupBy(start.alias("bin_start"), "step").agg(F.sum("n").alias("establishments"))
             .select("bin_start", (F.col("bin_start") + F.col("step")).alias("bin_end"), "establishments"))
 
 

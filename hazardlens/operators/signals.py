@@ -39,12 +39,20 @@ def parse_violations(df: DataFrame, text_col: str = "violations",
     return staged.withColumn("violation_severity", V.severity(s, k, cfg))
 
 
+def _totals() -> list:
+    return [F.coalesce(F.sum(F.size("violation_codes")), F.lit(0)).cast("long").alias("total_codes"),
+            F.coalesce(F.sum(F.col("kw_critical") + F.col("kw_major") + F.col("kw_minor")), F.lit(0)).cast("long").alias("total_keyword_hits")]
+
+
+def _severities() -> list:
+    sev = F.col("violation_severity")
+    return [round1(exact_mean(sev, 2)).alias("mean_severity"), round1(F.median(sev)).alias("median_severity"),
+            round1(F.max(sev)).alias("max_severity")]
+
+
 def signal_totals(signals: DataFrame) -> DataFrame:
     """V8: total codes found and total keyword hits over all rows."""
-    return signals.agg(
-        F.coalesce(F.sum(F.size("violation_codes")), F.lit(0)).cast("long").alias("total_codes"),
-        F.coalesce(F.sum(F.col("kw_critical") + F.col("kw_major") + F.col("kw_minor")), F.lit(0)).cast("long").alias("total_keyword_hits"),
-    )
+    return signals.agg(*_totals())
 
 
 def severity_stats(signals: DataFrame) -> DataFrame:
@@ -53,9 +61,9 @@ def severity_stats(signals: DataFrame) -> DataFrame:
     The median is exact; severities have two decimals in 0..100, so the
     value->count buffer behind it holds at most 10,001 entries.
     """
-    sev = F.col("violation_severity")
-    return signals.agg(
-        round1(exact_mean(sev, 2)).alias("mean_severity"),
-        round1(F.median(sev)).alias("median_severity"),
-        round1(F.max(sev)).alias("max_severity"),
-    )
+    return signals.agg(*_severities())
+
+
+def signal_report(signals: DataFrame) -> DataFrame:
+    """V8 + V9 and the number of rows (``n_rows``) in one pass."""
+    return signals.agg(F.count(F.lit(1)).alias("n_rows"), *_totals(), *_severities())

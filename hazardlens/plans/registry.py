@@ -357,7 +357,8 @@ def clean_results(spark, sf):
 
 @register("dedup_inspections", "SELECT inspection_id, ingest_seq, results, result_score FROM c_dedup")
 def dedup_inspections(spark, sf):
-    df = C.dedup_keep_last(C.normalize_results(C.drop_bad_dates(C.parse_dates(_raw(spark, sf)))))
+    """C6 by late materialisation: ids and order first, then the superseded rows go in the scan."""
+    df = C.dedup_late(C.normalize_results(C.drop_bad_dates(C.parse_dates(_raw(spark, sf)))))
     return df.select("inspection_id", "ingest_seq", "results", "result_score")
 
 

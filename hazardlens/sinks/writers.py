@@ -40,10 +40,16 @@ def scores_for_load(df: DataFrame) -> DataFrame:
 
 def require_key(df: DataFrame, key: str, table_name: str) -> DataFrame:
     """K7 as a gate: raise unless ``key`` is present and unique in every row."""
+    require_key_count(df, key, table_name)
+    return df
+
+
+def require_key_count(df: DataFrame, key: str, table_name: str) -> int:
+    """``require_key`` that gives the number of rows it has counted."""
     found = key_check(df, key, table_name).first()
     if found.n_rows and (found.null_keys or found.duplicate_keys):
         raise ValueError(f"{table_name}: {found.null_keys} null and {found.duplicate_keys} duplicate values of {key}")
-    return df
+    return found.n_rows or 0
 
 
 def switch_in(spark: SparkSession, path: str, write) -> None:

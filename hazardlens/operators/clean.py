@@ -64,6 +64,12 @@ def _known_order(df: DataFrame, order: list[str] | None) -> list[Column]:
     return out
 
 
+def _one_order(df: DataFrame, order: list[str] | None) -> Column:
+    """The order as one value: a single column as it is, several as a struct."""
+    by = _known_order(df, order)
+    return by[0] if len(by) == 1 else F.struct(*(c.alias(f"c{i}") for i, c in enumerate(by)))
+
+
 def dedup_keep_last(df: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame:
     """One row per ``key``, the last landed. Null keys form one group.
 
@@ -88,7 +94,7 @@ def repeated_ids(df: DataFrame, key: str = "inspection_id", order: list[str] | N
     ``REPEATED_IDS`` rows it is not returned, since it is meant to be sent to
     every task.
     """
-    last = F.max(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(_known_order(df, order)))))
+    last = F.max(_one_order(df, order))
     found = (df.groupBy(F.col(key).alias("_repeated")).agg(last.alias("_last"), F.count(F.lit(1)).alias("_n"))
              .where("_n > 1").select("_repeated", "_last"))
     found = staged(found, "repeated-ids")
@@ -98,8 +104,7 @@ def repeated_ids(df: DataFrame, key: str = "inspection_id", order: list[str] | N
 def drop_repeated(df: DataFrame, repeated: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame:
     """C6 by ``repeated_ids``: the rows of its keys that landed before the last one
     go, in the scan itself; no row of ``df`` is shuffled."""
-    own = F.struct(*(c.alias(f"c{i}") for i, c in enumerate(_known_order(df, order))))
-    placed = df.withColumn("_own", own)
+    placed = df.withColumn("_own", _one_order(df, order))
     gone = placed[key].eqNullSafe(repeated["_repeated"]) & (placed["_own"] < repeated["_last"])
     return placed.join(F.broadcast(repeated), gone, "left_anti").drop("_own")
 

@@ -65,7 +65,8 @@ def run_transform(spark: SparkSession, raw: DataFrame, as_of, out_dir: str | Non
     report the dropped rows (C15), the establishments (C14), and the totals and
     statistics of the signals (V8, V9).
     """
-    inspections = parse_violations(clean(raw, cfg), cfg=cfg)
+    if mode == "explore" or out_dir is None:
+        inspections = parse_violations(clean(raw, cfg), cfg=cfg)
     if mode == "explore":
         return TransformResult(inspections, None, explore_report(explore_sample(inspections)))
     if out_dir is None:

@@ -207,7 +207,8 @@ def dedup_csv_files(spark, sf):
 @register("ordered_page", f"""SELECT inspection_id, ingest_seq FROM raw_inspections
 ORDER BY inspection_id NULLS FIRST, ingest_seq NULLS FIRST LIMIT {PAGE_SIZE_TEST} OFFSET {PAGE_SIZE_TEST}""")
 def ordered_page(spark, sf):
-    return L.ordered_page(_raw(spark, sf), 1, PAGE_SIZE_TEST).select("inspection_id", "ingest_seq")
+    path = L.store_pages(_raw(spark, sf), staging_path(spark, "paged"), PAGE_SIZE_TEST)
+    return L.stored_page(spark, path, 1).select("inspection_id", "ingest_seq")
 
 
 @register("page_assignment", f"""SELECT CAST(floor(rn / {PAGE_SIZE_TEST}) AS BIGINT) AS page_no, count(*) AS n_rows,

@@ -292,6 +292,22 @@ def ordered_page(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE,
     return df.join(keys, same).orderBy("row_index").select(*df.columns)
 
 
+def store_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE, order: Sequence[str] = DEFAULT_ORDER) -> str:
+    """S3 for many page requests: the rows stored in their order with ``row_index``
+    and ``page_no``, sorted once. Each file holds a range of pages, which its
+    statistics tell, so a page is read from the one or two files that hold it."""
+    indexed = global_row_index(df, [F.col(c).asc_nulls_first() for c in order])
+    paged = indexed.withColumn("page_no", F.floor(F.col("row_index") / F.lit(page_size)).cast("long"))
+    paged.repartitionByRange("row_index").sortWithinPartitions("row_index").write.mode("overwrite").parquet(path)
+    return path
+
+
+def stored_page(spark: SparkSession, path: str, page_no: int) -> DataFrame:
+    """The rows of one page of ``store_pages``, in order: a range read at any depth;
+    only the page itself is sorted."""
+    return spark.read.parquet(path).where(F.col("page_no") == page_no).orderBy("row_index").drop("row_index", "page_no")
+
+
 def land_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE, columns: Sequence[str] | None = None,
                order: Sequence[str] = DEFAULT_ORDER) -> str:
     """Land ``df`` under ``path`` in ``order``, at most ``page_size`` records to a file, one per line.

@@ -147,3 +147,22 @@ def test_csv_columns_that_clash_are_renamed(spark, tmp_path):
                                       "result_score,landing,a.b\n1,Pass,n,a,L,2001-01-01,Canvass,,9,dock,7\n")
     out = clean(SF.read_raw_csv(spark, str(tmp_path / "raw.csv"))).first()
     assert (out.result_score_landed, out.landing_landed, out.a_b_landed, out.result_score) == ("9", "dock", "7", 0.0)
+
+
+def test_a_stored_page_is_a_range_read(spark):
+    from hazardlens.session import staging_path
+    from hazardlens.sources.fixtures import raw_inspections
+    from conftest import SF_SMALL
+    raw = raw_inspections(spark, SF_SMALL)
+    path = L.store_pages(raw, staging_path(spark, "t-stored"), 100)
+    rows = sorted(tuple(r) for r in raw.select("inspection_id", "ingest_seq").collect())
+    for page in (0, 7, len(rows) // 100, 99):
+        df = L.stored_page(spark, path, page)
+        assert df.columns == raw.columns
+        assert [(r.inspection_id, r.ingest_seq) for r in df.collect()] == rows[100 * page:100 * page + 100]
+    plan = L.stored_page(spark, path, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(page_no), EqualTo(page_no,7)]" in plan and "Join" not in plan and "Window" not in plan
+    # the files hold disjoint ranges of rows, so the statistics of all but one or two exclude a page
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("row_index").alias("a"), F.max("row_index").alias("b")).collect()
+    ranges = sorted((r.a, r.b) for r in files)
+    assert all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))

@@ -11,9 +11,13 @@ and reported if its structure confirms a secret —
 * ``ssh``: the OpenSSH private-key container, its nested lengths followed
   through cipher, KDF and public keys to the private block.
 
-Base64 and hex digits may be wrapped over lines, indented and with blanks at
-the ends of lines, the breaks real or escaped (``\\n``). Every text is scanned whole,
-in one map over the documents; nothing is shuffled or gathered.
+Base64 and hex digits may be wrapped over lines: indented, quoted, in comments,
+with blanks at the ends of lines, the breaks real or escaped (``\\n``). Hex may
+also come as single bytes (``30:82``, ``0x30, 0x82``, ``\\x30\\x82``). A run that
+decodes to plain text (a whole PEM in base64 or hex, say) is scanned once more
+inside. Every text is scanned whole, in one map over the documents; nothing is
+shuffled or gathered. Each run of digits is decoded once per alignment and its
+keys are followed in place by their lengths, so the time grows with the text.
 """
 
 from __future__ import annotations
@@ -22,7 +26,6 @@ import base64
 import binascii
 import json
 import re
-import sys
 from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
@@ -33,12 +36,16 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "der", "ssh")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 MIN_CANDIDATE = 32    # base64 digits, on all lines together; private keys are longer
+MIN_NESTED = 48       # digits on the first line of a run that may be an encoded text
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX_LONG = re.compile(rf"[0-9a-f]{{{MIN_HEX},}}")     # the same runs, as runs are maximal
-_BREAK = r"[ \t]*(?:(?:\r\n?|\n|\\+r\\+n|\\+[nr])[ \t]*)+"     # between the lines of a candidate
+# Between the lines of a candidate: line breaks with blanks, quotes and marks of comments and lists about them.
+# Every part is possessive, so nothing is tried twice.
+_MARKS = r"""(?:[ \t"'`,;()#*>|]|\\(?=[ \t]*+[\r\n])|\+(?=[ \t]*+[\r\n"'`])|(?://++|--++)(?=[ \t]))*+"""
+_BREAK = rf"{_MARKS}(?:(?:[\r\n]|\\++[nr]){_MARKS})++"
 _HEX, _STANDARD, _URL_SAFE = "0-9A-Fa-f", "A-Za-z0-9+/", "A-Za-z0-9_-"
 
 
@@ -50,16 +57,53 @@ def _start(digits: str) -> str:
 _JWT = re.compile(rf"{_start(_URL_SAFE)}(?=([{_URL_SAFE}]+)\.([{_URL_SAFE}]+)\.([{_URL_SAFE}]*))")
 # how a DER sequence with a definite length and an OpenSSH container begin
 _BASE64_HEAD, _HEX_HEAD = r"(?:M(?:[A-H][A-Za-z0-9+/_-]|I[E-T])|b3B)", r"(?:30(?:[0-7][0-9A-Fa-f]|8[1-4])|6[Ff]70)"
-_RUNS = [(re.compile(_start(d) + f"(?={head})"), re.compile(f"[{d}]+"), re.compile(rf"{_BREAK}(?=[{d}])"), per, least)
+_PAIR = f"[{_HEX}]{{2}}(?![{_HEX}])"      # one byte of hex standing alone, and what may come before the next
+_PAIR_GAP = rf"[ \t]*+[:,]?+(?:{_BREAK})?+[ \t]*+(?:0x|\\x)?+"
+# where a candidate begins, its digits on a line, what joins two lines, bits a digit, digits that it needs
+_RUNS = [(re.compile(f"{_start(d)}(?={head}|[{d}]{{{MIN_NESTED}}})"), re.compile(f"[{d}]+"), re.compile(f"{_BREAK}(?=[{d}])"), per, least)
          for d, head, per, least in ((_STANDARD, _BASE64_HEAD, 6, MIN_CANDIDATE), (_URL_SAFE, _BASE64_HEAD, 6, MIN_CANDIDATE),
                                      (_HEX, _HEX_HEAD, 4, 2 * MIN_CANDIDATE))]
+_RUNS.append((re.compile(f"(?<![{_HEX}])(?=(?:30(?![{_HEX}]){_PAIR_GAP}(?:[0-7][{_HEX}]|8[1-4])|6[Ff](?![{_HEX}]){_PAIR_GAP}70)(?![{_HEX}]))"),
+              re.compile(_PAIR), re.compile(f"{_PAIR_GAP}(?={_PAIR})"), 4, 2 * MIN_CANDIDATE))
+_PLAIN = re.compile(rb"[\t\n\r\x20-\x7e]+")
+_MAGIC = b"openssh-key-v1\0"
 _PADDING = re.compile("={0,2}")
 
 
+def _b64(text: str) -> bytes | None:
+    """Decoded standard or URL-safe base64, padding optional; digits that fill
+    no byte at the end of a longer run are ignored; None if malformed."""
+    text = "".join(text.split()).rstrip("=").replace("-", "+").replace("_", "/")
+    if len(text) % 4 == 1:
+        text = text[:-1]
+    try:
+        return base64.b64decode(text + "=" * (-len(text) % 4), validate=True)
+    except binascii.Error:
+        return None
+
+
+class _Decoded:
+    """The bytes of a run from digit ``first`` on, with what the scan knows of them."""
+
+    def __init__(self, digits: str, first: int, per: int):
+        self.first, self.per = first, per
+        text = digits[first:]
+        self.data = (_b64(text) or b"") if per == 6 else bytes.fromhex(text[:len(text) // 2 * 2])
+        self.fields: dict[int, int] = {}    # see openssh_key
+        self.read = 0                       # up to where nested text has been scanned
+
+    def byte(self, digit: int) -> int:
+        return (digit - self.first) * self.per // 8
+
+    def digits(self, at: int, end: int) -> tuple[int, int]:
+        """First digit and end of the digits that hold the bytes ``[at, end)``."""
+        return self.first + at * 8 // self.per, self.first + -(-end * 8 // self.per)
+
+
 class _Run:
     """The digits from a place on, joined over line breaks."""
 
-    def __init__(self, text: str, at: int, line: re.Pattern, between: re.Pattern):
+    def __init__(self, text: str, at: int, line: re.Pattern, between: re.Pattern, per: int):
         lines, self.starts, self.before, size = [], [], [], 0
         while True:
             got = line.match(text, at)
@@ -71,29 +115,25 @@ class _Run:
             if not (gap := between.match(text, self.end)):
                 break
             at = gap.end()
-        self.digits = "".join(lines)
+        self.text, self.per = "".join(lines), per
+        self.aligned: dict[int, _Decoded] = {}
 
     def index(self, at: int) -> int:
         """Number of the digit at a place of the text."""
         i = bisect_right(self.starts, at) - 1
         return self.before[i] + at - self.starts[i]
 
-    def place(self, index: int) -> int:
-        """Place in the text after so many digits."""
-        i = bisect_left(self.before, index) - 1
-        return self.starts[i] + index - self.before[i]
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        """Places in the text of the digits ``[start, end)``."""
+        i, j = bisect_right(self.before, start) - 1, bisect_left(self.before, end) - 1
+        return self.starts[i] + start - self.before[i], self.starts[j] + end - self.before[j]
 
-
-def _b64(text: str) -> bytes | None:
-    """Decoded standard or URL-safe base64, padding optional; digits that fill
-    no byte at the end of a longer run are ignored; None if malformed."""
-    text = "".join(text.split()).rstrip("=").replace("-", "+").replace("_", "/")
-    if len(text) % 4 == 1:
-        text = text[:-1]
-    try:
-        return base64.b64decode(text + "=" * (-len(text) % 4), validate=True)
-    except binascii.Error:
-        return None
+    def decoded(self, digit: int) -> _Decoded:
+        """The run's bytes, decoded once for all digits aligned like this one."""
+        first = digit % (4 if self.per == 6 else 2)
+        if first not in self.aligned:
+            self.aligned[first] = _Decoded(self.text, first, self.per)
+        return self.aligned[first]
 
 
 def _json_object(segment: str) -> dict | None:
@@ -127,110 +167,126 @@ def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def _children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
-    """The elements that fill ``[at, end)`` exactly, else None."""
+def _children(data: bytes, at: int, end: int, most: int) -> list[tuple[int, int, int]] | None:
+    """The elements, up to ``most``, that fill ``[at, end)`` exactly, else None."""
     out = []
     while at < end:
         got = _tlv(data, at, end)
-        if got is None:
+        if got is None or len(out) == most:
             return None
         out.append(got)
         at = got[2]
     return out
 
 
-def private_key_der(data: bytes) -> int:
-    """Length of the DER private key that ``data`` begins with, else 0: its
-    nested lengths add up, and its tags are those of PKCS#1, PKCS#8, SEC1 or
-    encrypted PKCS#8."""
-    top = _tlv(data, 0, len(data))
+def private_key_der(data: bytes, at: int = 0) -> int:
+    """Length of the DER private key that begins at ``at``, else 0: its nested
+    lengths add up, and its tags are those of PKCS#1 (at most 10 elements),
+    PKCS#8, SEC1 or encrypted PKCS#8. Only the elements' heads are read."""
+    top = _tlv(data, at, len(data))
     if top is None or top[0] != 0x30:
         return 0
-    parts = _children(data, top[1], top[2])
+    parts = _children(data, top[1], top[2], 10)
     if not parts:
         return 0
-    tags = [p[0] for p in parts]
+    tags, size = [p[0] for p in parts], top[2] - at
+
+    def names_algorithm(part) -> bool:
+        inside = _children(data, part[1], part[2], 10)
+        return bool(inside) and inside[0][0] == 0x06
+
     if tags == [0x30, 0x04]:                                    # EncryptedPrivateKeyInfo
-        inside = _children(data, parts[0][1], parts[0][2])
-        return top[2] if inside and inside[0][0] == 0x06 else 0
+        return size if names_algorithm(parts[0]) else 0
     if tags[0] != 0x02:
         return 0
-    version = int.from_bytes(data[parts[0][1]:parts[0][2]], "big")
+    number = data[parts[0][1]:min(parts[0][2], parts[0][1] + 2)]   # a version fills one byte
+    version = number[0] if parts[0][2] - parts[0][1] == 1 else -1
     ok = tags[:9] == [0x02] * 9 and version in (0, 1)           # PKCS#1 RSA
     if tags[:3] == [0x02, 0x30, 0x04] and version in (0, 1):    # PKCS#8
-        inside = _children(data, parts[1][1], parts[1][2])
-        ok = bool(inside) and inside[0][0] == 0x06
+        ok = names_algorithm(parts[1])
     if tags[:2] == [0x02, 0x04] and version == 1:               # SEC1
         ok = all(t in (0xA0, 0xA1) for t in tags[2:])
-    return top[2] if ok else 0
+    return size if ok else 0
+
 
+def openssh_key(data: bytes, at: int = 0, known: dict[int, int] | None = None) -> int:
+    """Length of the OpenSSH private-key container that begins at ``at``, else 0.
 
-def openssh_key(data: bytes) -> int:
-    """Length of the OpenSSH private-key container that ``data`` begins with, else 0."""
-    magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
+    ``known`` is kept between calls over the same data: how many whole fields
+    follow a place up to a malformed one, so no failed chain is followed twice.
+    """
+    if not data.startswith(_MAGIC, at):
         return 0
-    at = len(magic)
 
-    def field() -> int | None:
-        nonlocal at
-        size = int.from_bytes(data[at:at + 4], "big")
-        if at + 4 + size > len(data):
-            return None
-        at += 4 + size
-        return size
+    def field(at: int) -> int:
+        """Where the field at ``at`` ends; 0 if it is not whole."""
+        end = at + 4 + int.from_bytes(data[at:at + 4], "big")
+        return end if end <= len(data) else 0
 
-    if any(field() is None for _ in range(3)):      # cipher, KDF, KDF options
-        return 0
+    known = {} if known is None else known
+    start, at = at, at + len(_MAGIC)
+    for _ in range(3):                                          # cipher, KDF, KDF options
+        if not (at := field(at)):
+            return 0
     keys = int.from_bytes(data[at:at + 4], "big")
-    at += 4
-    if not 1 <= keys <= 16 or not all(field() for _ in range(keys)):
+    if not keys:
         return 0
-    return at if field() else 0
-
-
-def _confirmed(data: bytes | None) -> tuple[str, int] | None:
-    """Kind and length in bytes of the key that ``data`` begins with."""
-    if not data:
-        return None
-    if data[0] == 0x30 and (n := private_key_der(data)):
+    at, chain = at + 4, []
+    for left in range(keys + 1, 0, -1):                         # public keys, the private block
+        if known.get(at, left) < left:
+            break
+        end = field(at)
+        if end <= at + 4:
+            known[at] = 0
+            break
+        chain.append(at)
+        at = end
+    else:
+        return at - start
+    good = known[at]
+    for place in reversed(chain):
+        good += 1
+        known[place] = good
+    return 0
+
+
+def _key(decoded: _Decoded, at: int) -> tuple[str, int] | None:
+    """Kind and length in bytes of the key that begins at byte ``at``."""
+    if n := private_key_der(decoded.data, at):
         return "der", n
-    return ("ssh", n) if (n := openssh_key(data)) else None
-
+    return ("ssh", n) if (n := openssh_key(decoded.data, at, decoded.fields)) else None
 
-def _claimed(head: bytes) -> int:
-    """Bytes to read for a key that begins with ``head``: those that a DER
-    sequence states, all for an OpenSSH container, 0 if it is neither."""
-    if head.startswith(b"openssh-key-v1\0"):
-        return sys.maxsize
-    if len(head) < 8 or head[0] != 0x30:
-        return 0
-    size = head[1] & 0x7F if head[1] & 0x80 else 0
-    n = int.from_bytes(head[2:2 + size], "big") if size else head[1]
-    return 2 + size + n if size <= 4 and head[2 + size] in (0x02, 0x30) else 0
 
-
-def _candidates(text: str) -> list[tuple[str, int, int]]:
+def _candidates(text: str, nested: bool = True) -> list[tuple[str, int, int]]:
     """Spans of decoded candidates whose structure is confirmed. A run may go on
-    past the key; the span ends with the key's own digits and padding."""
+    past the key; the span ends with the key's own digits and padding. With
+    ``nested``, runs that decode to plain text are scanned inside, and a find
+    there is the span of its digits."""
     out, end = [], 0
     for m in _JWT.finditer(text):
         if m.start() >= end and is_signed_token(m.group(1), m.group(2)):
             end = m.end(3)
             out.append(("jwt", m.start(), end))
     for heads, line, between, per, least in _RUNS:
-        decode = _b64 if per == 6 else lambda d: bytes.fromhex(d[:len(d) // 2 * 2])
-        run = None
+        run, end = None, 0
         for m in heads.finditer(text):
+            if m.start() < end:                                 # inside a key already found
+                continue
             if run is None or m.start() >= run.end:
-                run = _Run(text, m.start(), line, between)
-            at = run.index(m.start())
-            head = run.digits[at:at + least]
-            if len(head) < least or not (size := _claimed(decode(head) or b"")):
+                run = _Run(text, m.start(), line, between, per)
+            digit = run.index(m.start())
+            if len(run.text) - digit < least:
                 continue
-            if got := _confirmed(decode(run.digits[at:at + -(-size * 8 // per)])):
-                end = run.place(at + -(-got[1] * 8 // per))
-                out.append((got[0], m.start(), _PADDING.match(text, end).end() if per == 6 else end))
+            decoded = run.decoded(digit)
+            at = decoded.byte(digit)
+            if got := _key(decoded, at):
+                start, end = run.span(*decoded.digits(at, at + got[1]))
+                end = _PADDING.match(text, end).end() if per == 6 else end
+                out.append((got[0], start, end))
+            elif nested and at >= decoded.read and (plain := _PLAIN.match(decoded.data, at)):
+                decoded.read = plain.end()
+                for kind, i, j in _candidates(plain.group().decode("ascii"), nested=False):
+                    out.append((kind, *run.span(*decoded.digits(at + i, at + j))))
     return out
 
 

@@ -190,11 +190,15 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     def link(key, table):
         p = np.concatenate([np.frombuffer(x, np.uint64) for x in table["points"].to_pylist()])
         o = np.concatenate([np.frombuffer(x, np.uint64) for x in table["owners"].to_pylist()])
-        order = np.lexsort((o, p))
-        p, o = p[order], o[order]
+        # Two fingerprints within an odd distance 2r + 1 share a variant within r of the one and r + 1 of the other,
+        # so a group is linked to its smallest member within r, and a group without one to none.
+        far = np.bitwise_count(o ^ p) > distance // 2
+        order = np.lexsort((o, far, p))
+        p, o, far = p[order], o[order], far[order]
         first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
-        head = np.repeat(o[first], np.diff(first, append=len(p)))   # the smallest of each variant's group
-        pairs = np.unique(np.stack([o, head], 1)[o != head], axis=0)
+        size = np.diff(first, append=len(p))
+        head, led = np.repeat(o[first], size), np.repeat(~far[first], size)
+        pairs = np.unique(np.stack([o, head], 1)[led & (o != head)], axis=0)
         near = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= distance
         pairs = _joining(pairs[near]).view(np.int64)
         return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})

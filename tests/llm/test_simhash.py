@@ -55,6 +55,25 @@ def test_links_connect_exactly_the_near_ones(spark, distance):
     assert all(len(g) == 1 for g in groups.values()) and len({x for g in groups.values() for x in g}) == len(groups)
 
 
+@pytest.mark.parametrize("distance", [1, 3])
+def test_odd_distances_lose_no_link(spark, distance):
+    """The chain 32, 33, 97, 65 by single bits, and many small dense sets that share variants."""
+    rng = random.Random(distance)
+    sets = [{32, 65, 96, 97}] + [{rng.getrandbits(distance + 4) for _ in range(9)} for _ in range(40)]
+    fps = sorted({(k << 40) * 0x10001 % 2**63 ^ f for k, some in enumerate(sets) for f in some})
+    links = H.links(spark.createDataFrame([(f,) for f in fps], "fp long"), distance)
+    parent = {f: f for f in fps}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for r in links.collect():
+        assert (r.u ^ r.v).bit_count() <= distance
+        parent[find(r.u)] = find(r.v)
+    want = brute.roots([(f, f) for f in fps], lambda a, b: (a[1] ^ b[1]).bit_count() <= distance)
+    assert len({(find(f), w) for f, w in zip(fps, want)}) == len(set(want)) == len({find(f) for f in fps})
+
+
 def test_fingerprint_is_sparks_xxhash64(spark):
     text = "one two three four"
     want = spark.range(1).select(F.xxhash64(F.lit(text))).first()[0] % 2**64

@@ -26,8 +26,9 @@ BINS = 64
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled rows that are fitted: those whose ids
-    have the smallest hashes."""
+    """``sample_rows`` bounds the labelled ids that are taken, those of the smallest
+    hashes, and the rows fitted: different texts of these ids, by the texts' hashes
+    where the ids have more texts than that."""
 
     sample_rows: int = 20_000
     trees: int = 60
@@ -140,23 +141,27 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(),
         id_col: str = "doc_id", text_col: str = "text") -> Trees:
     """Trees from ``docs`` and ``labels`` (its first column the id, its second 0
     or 1). Null ids and labels teach nothing; a row for each pair of a text and
-    a label of one id does. Without any, every score is one half.
+    a label of one id does, equal ones once. Without any, every score is one half.
 
     The sampled ids (at most ``sample_rows``) are broadcast to the texts, so
     only the sampled texts are read into statistics, and no text is shuffled.
+    At most ``sample_rows`` rows of statistics come back, however many rows
+    the ids have.
     """
     known = labels.select(F.col(f"`{labels.columns[0]}`").alias("id"), F.col(f"`{labels.columns[1]}`").cast("int").alias("y"))
     known = known.where("id IS NOT NULL AND y IN (0, 1)")
     known = known.orderBy(F.xxhash64("id"), "id", "y").limit(settings.sample_rows)
     src = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    picked = src.join(F.broadcast(known), "id").select("text", "y")
+    picked = src.join(F.broadcast(known), "id").select("text", "y", F.xxhash64("id", "text").alias("h"))
 
     def run(batches):
         for b in batches:
             x = matrix(b.column("text").cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("y"), pa.array(list(x), pa.list_(pa.float64()))],
+                                             names=["h", "y", "x"])
 
-    rows = picked.mapInArrow(run, "y int, x array<double>").collect()
+    found = picked.mapInArrow(run, "h long, y int, x array<double>").dropDuplicates(["h", "y"])
+    rows = found.orderBy("h", "y").limit(settings.sample_rows).collect()
     if not rows:
         return Trees(np.zeros((1, 1), np.int64), np.full((1, 1), np.inf), np.zeros((1, 2)), 0.0)
     rows.sort(key=lambda r: (r.y, r.x))

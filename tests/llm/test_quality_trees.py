@@ -75,6 +75,18 @@ def test_odd_rows(spark):
     assert {r.score for r in Q.score(df, none).collect()} == {0.5}
 
 
+def test_fitted_rows_are_bounded(spark, monkeypatch):
+    """One labelled id in thousands of rows, equal ones and different ones, brings no more rows than ids may."""
+    seen = []
+    monkeypatch.setattr(Q, "grow", lambda x, y, settings: seen.append(len(x)))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "id int, y int")
+    equal = spark.range(3_000).selectExpr("1 AS doc_id", "'the same words' AS text")
+    Q.fit(equal, labels, Q.Settings(sample_rows=10))
+    Q.fit(equal.unionAll(spark.range(3_000).selectExpr("2 AS doc_id", "concat('words ', id) AS text")), labels, Q.Settings(sample_rows=10))
+    Q.fit(spark.range(1, 3).selectExpr("id AS doc_id", "'one text' AS text"), labels, Q.Settings(sample_rows=10))
+    assert seen == [1, 10, 2]
+
+
 def test_features_are_finite():
     for text in ("", " \n", "a", "x" * 100_000, "|" * 3 + "\n\n", "é\n" * 500, "\x00 a"):
         row = Q.features(text.encode())

@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     ld.add_argument("--jdbc-url")
     ld.add_argument("--truncate", action="store_true", help="empty the tables instead of dropping them")
     ld.add_argument("--to")
+    ld.add_argument("--snapshots", action="store_true", help="with --to: both tables as one new snapshot")
     vf = sub.add_parser("verify", help="L1 row counts and L2 top-5")
     vf.add_argument("--tables", required=True)
     qy = sub.add_parser("query", help="run one registered query")
@@ -94,15 +95,21 @@ def main(argv: list[str] | None = None) -> int:
         scores = K.scores_for_load(spark.read.parquet(f"{base}/risk_scores"))
         if args.jdbc_url:
             K.refresh_jdbc(insp, scores, args.jdbc_url, truncate=args.truncate)
+        elif args.to and args.snapshots:
+            from .sinks.snapshots import publish
+            publish(insp, scores, args.to)
         elif args.to:
             K.refresh_tables(insp, scores, f"{args.to.rstrip('/')}/inspections", f"{args.to.rstrip('/')}/risk_scores")
         else:
             p.error("load needs --jdbc-url or --to")
     elif args.cmd == "verify":
         from .operators import profiling as P
+        from .sinks.snapshots import current
         base = args.tables.rstrip("/")
-        scores = spark.read.parquet(f"{base}/risk_scores")
-        P.verify_counts(spark.read.parquet(f"{base}/inspections"), scores).show()
+        held = current(spark, base)
+        inspections, scores = (held.read(spark, t) if held else spark.read.parquet(f"{base}/{t}")
+                               for t in ("inspections", "risk_scores"))
+        P.verify_counts(inspections, scores).show()
         P.verify_top(scores, 5).show(truncate=False)
     elif args.cmd == "query":
         from .plans.registry import queries

@@ -71,8 +71,7 @@ def inspection_order(inspections: DataFrame) -> DataFrame:
     return rank_within_key(keys, KEY, newest_first(), "recency_rank")
 
 
-def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Totals branch: everything decomposable, one hash aggregate."""
+def _totals(scored_in: DataFrame) -> DataFrame:
     s = F.col("result_score")
     # score (tenths) x weight (tenths) = hundredths; exact long sums.
     sw = F.sum(scaled("result_score", 1) * scaled("type_weight", 1)) / F.lit(100.0)
@@ -88,7 +87,16 @@ def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAU
         last_fail.alias("last_failure_date"),
         exact_mean("violation_severity", 2).alias("severity_mean"),
         exact_mean(s, 1).alias("overall_avg"),
-    ).withColumn("days_since_failure", floor_days("last_failure_date", as_of_literal(as_of)))
+    )
+
+
+def _with_days(totals: DataFrame, as_of) -> DataFrame:
+    return totals.withColumn("days_since_failure", floor_days("last_failure_date", as_of_literal(as_of)))
+
+
+def establishment_totals(scored_in: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Totals branch: everything decomposable, one hash aggregate."""
+    return _with_days(_totals(scored_in), as_of)
 
 
 def recent_rows(scored_in: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -112,12 +120,19 @@ def recent_summary(scored_in: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) ->
     )
 
 
+def establishment_state(inspections: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Per establishment, all that scoring needs of its inspections, whatever the clock."""
+    inp = scoring_input(inspections, cfg)
+    return _totals(inp).join(recent_summary(inp, cfg), KEY)
+
+
 def components(inspections: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per establishment: counts, latest row and the four unrounded components."""
-    inp = scoring_input(inspections, cfg)
-    tot = establishment_totals(inp, as_of, cfg)
-    rec = recent_summary(inp, cfg)
-    j = tot.join(rec, KEY)
+    return _components(establishment_state(inspections, cfg), as_of, cfg)
+
+
+def _components(state: DataFrame, as_of, cfg: ScoringConfig) -> DataFrame:
+    j = _with_days(state, as_of)
     rw = cfg.risk_weights
     failure = F.when(F.col("total_weight") > 0,
                      F.col("weighted_failures") / F.col("total_weight")).otherwise(F.lit(0.0)) * F.lit(100.0)
@@ -135,7 +150,12 @@ def components(inspections: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFI
 
 def risk_scores(inspections: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per establishment with the 20 published columns."""
-    c = components(inspections, as_of, cfg)
+    return scores_of_state(establishment_state(inspections, cfg), as_of, cfg)
+
+
+def scores_of_state(state: DataFrame, as_of, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
+    """R1-R13 from stored states: a projection, without a shuffle."""
+    c = _components(state, as_of, cfg)
     out = c.select(
         F.col(KEY),
         F.col("latest.dba_name").alias("dba_name"),

@@ -3,17 +3,21 @@
 Every panel is a lazy DataFrame built from the serving operators; nothing is
 collected here. The scores are read through the one-hour TTL cache (D19); the
 inspections, with their texts, are read from the files by each lookup, which
-needs a few columns of a few keys.
+needs a few columns of a few keys. Where the tables are snapshots, one is held
+for the ttl, so both tables are of one refresh and its files stay readable.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas
 from ..operators import serving as D
+from ..sinks import snapshots
 
 INSPECTIONS = "inspections"
 SCORES = "risk_scores"
@@ -32,14 +36,28 @@ class Filters:
 class Dashboard:
     def __init__(self, spark: SparkSession, tables_dir: str, ttl: float = D.CACHE_TTL_SECONDS):
         self.spark, self.base, self.ttl = spark, tables_dir.rstrip("/"), ttl
+        self._held: tuple[float, snapshots.Snapshot | None] | None = None
+
+    def _paths(self, table: str) -> list[str]:
+        """Folders of the table in the snapshot held, or its plain folder."""
+        if self._held is None or time.monotonic() - self._held[0] >= self.ttl:
+            newest = snapshots.current(self.spark, self.base)
+            if self._held and self._held[1] and newest != self._held[1]:
+                for path in self._held[1].paths(SCORES):
+                    D.release_cached(self.spark, path)
+            self._held = (time.monotonic(), newest)
+        held = self._held[1]
+        return held.paths(table) if held else [f"{self.base}/{table}"]
 
     @property
     def scores(self) -> DataFrame:
-        return D.load_cached(self.spark, f"{self.base}/{SCORES}", ttl=self.ttl)
+        return D.load_cached(self.spark, self._paths(SCORES)[0], ttl=self.ttl)
 
     @property
     def inspections(self) -> DataFrame:
-        return D.inspections_view(self.spark.read.parquet(f"{self.base}/{INSPECTIONS}"))
+        paths = self._paths(INSPECTIONS)
+        stored = self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], schemas.INSPECTIONS)
+        return D.inspections_view(stored)
 
     def facets(self) -> DataFrame:
         return D.facets(self.scores)

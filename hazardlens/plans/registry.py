@@ -25,6 +25,7 @@ from ..operators.signals import parse_violations, severity_stats, signal_totals
 from ..functions.numeric import clamp, round1
 from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, RAW, RAW_TEXT_COLUMNS, SCORES, to_sink_schema
 from ..session import staging_path
+from ..sinks import snapshots as SN
 from ..sinks import writers as K
 from ..sources import files as SF
 from ..sources import landed as L
@@ -290,6 +291,25 @@ def refresh_tables(spark, sf):
     return P.verify_counts(spark.read.parquet(ip), spark.read.parquet(sp))
 
 
+_HALF = "1995-01-01"
+
+
+@register("refresh_snapshots", f"""SELECT 'before' AS reader, count(*) AS n_inspections, count(DISTINCT establishment_id) AS n_scores
+FROM inspections WHERE inspection_date < TIMESTAMP '{_HALF}'
+UNION ALL SELECT 'after', count(*), count(DISTINCT establishment_id) FROM inspections""")
+def refresh_snapshots(spark, sf):
+    """One reader holds the tables from before a refresh, one takes those of after it."""
+    base, insp = staging_path(spark, "snapshots"), _insp(spark, sf)
+    readers = {}
+    for reader, rows in (("before", insp.filter(F.col("inspection_date") < F.lit(_HALF).cast("timestamp_ntz"))), ("after", insp)):
+        SN.publish(rows, R.risk_scores(rows, AS_OF), base)
+        held = SN.current(spark, base)
+        readers[reader] = [held.read(spark, t).agg(F.count(F.lit(1)).alias(n)).select(F.lit(reader).alias("reader"), n)
+                           for t, n in (("inspections", "n_inspections"), ("risk_scores", "n_scores"))]
+    first, second = (i.join(s, "reader") for i, s in readers.values())
+    return first.unionByName(second)
+
+
 @register("catalog_scan", f"SELECT {_sink_cols(SCORES.fieldNames(), _FLOAT_SCORES)} FROM risk_scores "
                           "WHERE establishment_id IS NOT NULL")
 def catalog_scan(spark, sf):
@@ -835,3 +855,16 @@ def streaming_refresh(spark, sf):
         L.land_pages(raw.filter(F.col("ingest_seq") == seq), f"{landing}/{drop}", PAGE_SIZE_TEST, RAW_TEXT_COLUMNS)
         start_refresh(spark, landing, raw_dir, out_dir, ckpt, AS_OF).awaitTermination()
     return latest_output(spark, out_dir)[1].select(SCORES.fieldNames())
+
+
+@register("incremental_refresh", f"SELECT {SCORE_COLS} FROM risk_scores")
+def incremental_refresh(spark, sf):
+    """The same drops into bucketed tables: each batch rewrites the buckets it
+    touches, and scores come from the establishments' states."""
+    raw = _raw(spark, sf)
+    landing = staging_path(spark, "landing")
+    raw_dir, out_dir, ckpt = (staging_path(spark, n) for n in ("inc-raw", "inc-out", "inc-ckpt"))
+    for drop, seq in (("drop1", 0), ("drop2", 1)):
+        L.land_pages(raw.filter(F.col("ingest_seq") == seq), f"{landing}/{drop}", PAGE_SIZE_TEST, RAW_TEXT_COLUMNS)
+        start_refresh(spark, landing, raw_dir, out_dir, ckpt, AS_OF, buckets=8).awaitTermination()
+    return latest_output(spark, out_dir)[1].select(SCORES.fieldNames())

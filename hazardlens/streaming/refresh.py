@@ -12,6 +12,8 @@ refresh runs as a Structured Streaming query over the landing folder:
   the ids that the batch touched, plus the last landed record of each of
   those. The order is (batch, file, place in the file), so a correction in a
   later drop supersedes, whatever its content;
+* with ``buckets`` the tables are kept in hash buckets instead, of which a batch
+  rewrites only those it touches (``streaming/incremental``);
 * scores are recomputed for every establishment (recency moves with the
   clock) from the few columns that scoring reads; readers take the newest
   folder that has its completion marker, and older ones beyond ``keep`` go.
@@ -34,8 +36,10 @@ from ..operators.clean import clean
 from ..operators.scoring import risk_scores
 from ..operators.signals import parse_violations
 from ..schemas import BATCH, INSPECTION_COLUMNS, INSPECTIONS
+from ..sinks import snapshots
 from ..sinks.writers import clustered_scores, write_parquet
 from ..sources.landed import landing_order, page_schema
+from . import incremental
 
 DONE_MARKER = "_BATCH_COMPLETE"
 KEEP_OUTPUTS = 2
@@ -92,13 +96,16 @@ def _refresh(spark: SparkSession, parsed: DataFrame, out_dir: str, as_of, cfg: S
 
 def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir: str, checkpoint_dir: str,
                   as_of, cfg: ScoringConfig = DEFAULT_CONFIG, available_now: bool = True,
-                  processing_time: str | None = None, keep: int = KEEP_OUTPUTS):
+                  processing_time: str | None = None, keep: int = KEEP_OUTPUTS, buckets: int | None = None,
+                  keep_seconds: float = snapshots.KEEP_SECONDS):
     """Start the refresh query; returns the ``StreamingQuery``.
 
     ``raw_dir`` receives the landed records (kept for audit) under ``_landed``
     and the cleaned + parsed rows of every batch under ``_parsed``, each in a
     partition by batch id that a retried batch overwrites. The newest ``keep``
-    outputs stay in ``out_dir``.
+    outputs stay in ``out_dir``. With ``buckets`` (chosen once: inspections'
+    bytes over those a refresh may rewrite for one record) ``out_dir`` holds
+    snapshots, one per batch, of this checkpoint's stream alone.
     """
     if keep < 1:
         raise ValueError("keep must be at least 1")
@@ -114,7 +121,11 @@ def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir:
         landed = batch.select(*page_schema().fieldNames(), landing_order(_FILE, _BLOCK))
         landed = stored(landed, f"{base}/_landed", batch_id)
         parsed = stored(parse_violations(clean(landed, cfg), cfg=cfg), f"{base}/_parsed", batch_id)
-        _refresh(batch.sparkSession, parsed, out_dir, as_of, cfg, batch_id, keep)
+        if buckets:
+            incremental.refresh(batch.sparkSession, parsed, out_dir, as_of, batch_id + 1, buckets, cfg,
+                                checkpoint_dir, keep, keep_seconds)
+        else:
+            _refresh(batch.sparkSession, parsed, out_dir, as_of, cfg, batch_id, keep)
 
     writer = landing_stream(spark, landing_dir).writeStream.foreachBatch(on_batch) \
         .option("checkpointLocation", checkpoint_dir)
@@ -126,7 +137,9 @@ def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir:
 
 
 def latest_output(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame] | None:
-    """(inspections, risk_scores) of the newest complete batch folder, if any."""
+    """(inspections, risk_scores) of the newest snapshot or complete batch folder, if any."""
+    if snapshot := snapshots.current(spark, out_dir):
+        return snapshot.read(spark, incremental.TABLE, INSPECTIONS), snapshot.read(spark, incremental.RISK)
     complete = _complete(spark, out_dir)
     if not complete:
         return None

@@ -18,6 +18,8 @@ def test_cli_workflow(spark, capsys):
     assert main(["load", "--tables", tables, "--to", copy]) == 0            # a refresh: the tables do not double
     assert spark.read.parquet(f"{copy}/risk_scores").count() == spark.read.parquet(f"{tables}/risk_scores").count()
     assert main(["verify", "--tables", copy]) == 0
+    snaps = staging_path(spark, "cli-snapshots")
+    assert main(["load", "--tables", tables, "--to", snaps, "--snapshots"]) == 0 == main(["verify", "--tables", snaps])
     assert main(["query", "kpis", "--sf-dir", SF_SMALL]) == 0
     out = capsys.readouterr().out
     assert "risk_scores" in out and "violations_preview" in out and "n_licenses" in out and "duplicates:" in out

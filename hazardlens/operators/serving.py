@@ -110,8 +110,13 @@ def score_histogram(filtered: DataFrame, bins: int = 25) -> DataFrame:
     it is that bin's end. One scan: the scores' value counts (one decimal in
     0..100, so at most 1,001) give the range and then the bins.
     """
-    s = F.col("s")
     values = filtered.filter(F.col(SCORE).isNotNull()).groupBy(F.col(SCORE).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return histogram_of_counts(values, bins)
+
+
+def histogram_of_counts(values: DataFrame, bins: int) -> DataFrame:
+    """D7 from the scores' value counts ``s, n``."""
+    s = F.col("s")
     whole = values.agg(F.collect_list(F.struct("s", "n")).alias("values"), F.min("s").alias("lo"), F.max("s").alias("hi"))
 
     def last_bin(step: Column) -> Column:

@@ -19,12 +19,15 @@ from ..functions import violations as V
 from ..operators import clean as C
 from ..operators import explore as X
 from ..operators import profiling as P
+from ..operators import rollup as RU
 from ..operators import scoring as R
+from ..operators import search_index as SI
 from ..operators import serving as D
 from ..operators.signals import parse_violations, severity_stats, signal_totals
 from ..functions.numeric import clamp, round1
 from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, RAW, RAW_TEXT_COLUMNS, SCORES, to_sink_schema
 from ..session import staging_path
+from ..sinks import layout as LY
 from ..sinks import snapshots as SN
 from ..sinks import writers as K
 from ..sources import files as SF
@@ -810,6 +813,71 @@ def cached_scores(spark, sf):
     return D.load_cached(spark, path)
 
 
+# ---------------------------------------------------------------- panels from one stored rollup
+
+def _stored_rollup(spark, sf) -> DataFrame:
+    path = staging_path(spark, "score-rollup")
+    RU.score_rollup(_scores(spark, sf)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _panel(name: str, like: str, panel: Callable[[DataFrame], DataFrame]):
+    """A panel from the stored rollup, held against the SQL of the panel over the scores."""
+    def query(spark, sf):
+        return panel(RU.panel_sums(D.apply_filters(_stored_rollup(spark, sf))))
+    _QUERIES[name], _SQL[name] = query, _SQL[like]
+
+
+_panel("rollup_kpis", "kpis", RU.kpis)
+_panel("rollup_histogram", "score_histogram", RU.score_histogram)
+_panel("rollup_by_facility", "risk_by_facility", RU.risk_by_facility)
+_panel("rollup_by_zip", "risk_by_zip", RU.risk_by_zip)
+_panel("rollup_zip_table", "zip_table", RU.zip_table)
+_panel("rollup_zip_chart", "zip_chart", RU.zip_chart)
+
+
+# ---------------------------------------------------------------- access paths
+
+def _stored_with_postings(spark, sf) -> tuple[DataFrame, DataFrame]:
+    table, index = staging_path(spark, "scores-searched"), staging_path(spark, "postings")
+    K.write_parquet(_scores(spark, sf), table)
+    scores = spark.read.parquet(table)
+    SI.store_postings(scores, index)
+    return scores, spark.read.parquet(index)
+
+
+@register("search_postings", f"SELECT {SCORE_COLS} FROM risk_scores WHERE {_SEARCH_WHERE}")
+def search_postings(spark, sf):
+    """D9 through stored postings of three-letter sequences."""
+    return SI.search(*_stored_with_postings(spark, sf), SEARCH_TERM)
+
+
+@register("search_postings_top20", f"SELECT {SCORE_COLS} FROM ({_MATCHES})")
+def search_postings_top20(spark, sf):
+    return SI.search_top(*_stored_with_postings(spark, sf), SEARCH_TERM, TOP_N)
+
+
+@register("zordered_select", f"""SELECT {SCORE_COLS} FROM risk_scores WHERE zip IN ({', '.join(O.q(z) for z in SELECT_ZIPS)})
+  AND dynamic_risk_score BETWEEN {RANGE_LO} AND {RANGE_HI}""")
+def zordered_select(spark, sf):
+    """K8 + D2 + D3: ZIPs and a score range from the scores along a curve over both."""
+    path = staging_path(spark, "scores-zordered")
+    LY.zordered(_scores(spark, sf), path)
+    return D.apply_filters(spark.read.parquet(path), RANGE_LO, RANGE_HI, zips=SELECT_ZIPS)
+
+
+PERIOD = ("1998-01-01", "1998-03-31")
+
+
+@register("dated_period", f"""SELECT {INSP_COLS} FROM inspections
+WHERE inspection_date BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'""")
+def dated_period(spark, sf):
+    """K8: a period's inspections from the table in ranges of the date."""
+    path = staging_path(spark, "inspections-dated")
+    LY.dated(_insp(spark, sf).select(INSPECTION_COLUMNS), path)
+    return LY.period(spark.read.parquet(path), *PERIOD)
+
+
 # ---------------------------------------------------------------- X: exploration
 
 _CANDIDATES = "SELECT * FROM inspections WHERE results = 'fail' AND length(violations) > 50"

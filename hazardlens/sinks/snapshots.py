@@ -26,11 +26,13 @@ from itertools import takewhile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.search_index import store_postings
 from ..schemas import to_sink_schema
 from .writers import inspections_for_load, require_key, scores_for_load
 
 COMMITS = "_commits"
 KEEP, KEEP_SECONDS = 2, 7200
+POSTINGS = "search_postings"
 
 
 @dataclass(frozen=True)
@@ -146,8 +148,9 @@ def prune(spark: SparkSession, base: str, keep: int = KEEP, keep_seconds: float
 
 
 def publish(inspections: DataFrame, scores: DataFrame, base: str, keep: int = KEEP,
-            keep_seconds: float = KEEP_SECONDS) -> Snapshot:
-    """K4 as a snapshot: both tables with the sink types, key-checked (K7), then committed together."""
+            keep_seconds: float = KEEP_SECONDS, search_index: bool = False) -> Snapshot:
+    """K4 as a snapshot: both tables with the sink types, key-checked (K7), then committed together,
+    with ``search_index`` also the postings of the scores' texts (D9)."""
     spark, base = inspections.sparkSession, base.rstrip("/")
     version, token = max(versions(spark, base), default=0) + 1, uuid.uuid4().hex[:8]
     tables = {}
@@ -158,6 +161,10 @@ def publish(inspections: DataFrame, scores: DataFrame, base: str, keep: int = KE
             path = f"{base}/{tables[name][0]}"
             to_sink_schema(df).write.parquet(path)
             require_key(spark.read.parquet(path), key, name)
+        if search_index:
+            scored = f"{base}/{tables['risk_scores'][0]}"
+            tables[POSTINGS] = [folder(POSTINGS, version, token)]
+            store_postings(spark.read.parquet(scored), f"{base}/{tables[POSTINGS][0]}")
         made = commit(spark, base, version, tables)
     except Exception:
         fs, place = _fs(spark, base)

@@ -18,10 +18,14 @@ from ..session import staged
 from ..sources.files import CSV_OPTIONS
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1/K2/K3: CSV with header; nested columns are dropped (CSV cannot hold them)."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", max_records: int = 0) -> None:
+    """K1/K2/K3: CSV with header; nested columns are dropped (CSV cannot hold them).
+
+    ``max_records`` (0: no limit) bounds the records of a file. A multi-line file
+    can't be split, so it also bounds what one task reads back.
+    """
     keep = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "struct", "map")]
-    df.select(keep).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    df.select(keep).write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", max_records).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

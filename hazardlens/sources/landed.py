@@ -35,7 +35,7 @@ DEFAULT_ORDER = ("inspection_id", "ingest_seq")
 
 MANIFEST = "_manifest"            # folder beside the pages; Spark's readers pass over it
 MANIFEST_SCHEMA = "file string, arrival long, position long"
-BROADCAST_FILES = 200_000         # manifest entries up to which the manifest is sent to every task (about 20 MB)
+BROADCAST_FILES = 200_000         # files up to which their orders are sent to every task (about 20 MB)
 
 
 def natural_key(name: Column) -> Column:
@@ -47,20 +47,28 @@ def natural_key(name: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(name, F.lit("([0-9]+|[^0-9]+)"), F.lit(1)), one), "")
 
 
-def landing_order(file: str | Column = "_metadata.file_path", block: str = "_metadata.file_block_start",
-                  order: Column | None = None) -> Column:
-    """Landing order of a record just read: that of its file, then place in the file.
+def natural_entries(files: DataFrame) -> DataFrame:
+    """For ``in_landing_order``: each ``file``'s path in natural order, so that
+    ``page_9`` comes before ``page_10``."""
+    return files.select(F.col("file").alias("_listed"), natural_key(F.col("file")).alias("_order"))
 
-    ``order`` is the file's; by default its path in natural order, so that
-    ``page_9`` comes before ``page_10``. A file split is read by one task in
-    file order, where the running id rises; splits of one file are ordered by
-    where they start. The struct compares field by field, and no two records
-    share one; it is null where ``order`` is.
+
+def in_landing_order(placed: DataFrame, entries: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` of records just read, with their landing order: that of the file, then place in it.
+
+    ``placed`` tells each record's ``_file``, the ``_block`` where its split
+    starts and the running id ``_line``: a split is read by one task in file
+    order, where the id rises. ``entries`` has one row per file, ``_listed`` and
+    its ``_order``, so that the order is made once per file and not once per
+    record; up to ``BROADCAST_FILES`` it is sent along, beyond that Spark joins
+    by file. The struct compares field by field, and no two records share one;
+    it is null for a file without an order.
     """
-    order = natural_key(F.col(file)) if order is None else order
-    place = F.struct(order.alias("file"), F.col(block).cast("long").alias("block"),
-                     F.monotonically_increasing_id().alias("line"))
-    return F.when(order.isNotNull(), place).alias(LANDING)
+    if entries.count() <= BROADCAST_FILES:
+        entries = F.broadcast(entries)
+    found = placed.join(entries, F.col("_file") == F.col("_listed"), "left")
+    place = F.struct(F.col("_order").alias("file"), F.col("_block").cast("long").alias("block"), F.col("_line").alias("line"))
+    return found.select(*(F.col(f"`{c}`") for c in columns), F.when(F.col("_order").isNotNull(), place).alias(LANDING))
 
 
 def _paths(path: str | Sequence[str]) -> list[str]:
@@ -146,28 +154,22 @@ def _in_order(spark: SparkSession, df: DataFrame, paths: list[str]) -> DataFrame
     folders if they keep one, else by the names, which must give an order.
 
     A file that its folder's manifest does not list has no order yet, which the
-    dedup refuses. The manifest has a row per file; up to ``BROADCAST_FILES`` it
-    is sent along, beyond that Spark joins by file.
+    dedup refuses.
     """
     kept = [(p, m) for p in paths if (m := read_manifest(spark, p)) is not None] if not any("*" in p for p in paths) else []
+    cols, file = df.columns, "_metadata.file_path"
+    place = (F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
     if not kept:
         require_order(spark, paths)
-        return df.select("*", landing_order())
+        return in_landing_order(df.select("*", F.col(file).alias("_file"), *place), natural_entries(_files(spark, paths)), cols)
     if len(kept) < len(paths):
         raise ValueError("some of the landing folders keep a manifest and some do not")
-    cols, entries = df.columns, None
+    entries = None
     for i, (path, manifest) in enumerate(kept):
         order = natural_key(F.concat_ws("/", F.col("arrival"), F.lit(i), F.coalesce(F.col("position"), F.lit(0)), F.col("file")))
         some = manifest.select(F.concat(F.lit(_root(spark, path) + "/"), "file").alias("_listed"), order.alias("_order"))
         entries = some if entries is None else entries.unionByName(some)
-    entries = entries.dropDuplicates(["_listed"])
-    if entries.count() <= BROADCAST_FILES:
-        entries = F.broadcast(entries)
-    placed = df.select("*", _plain("_metadata.file_path").alias("_file"),
-                       F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
-    found = placed.join(entries, F.col("_file") == F.col("_listed"), "left")
-    place = F.struct(F.col("_order").alias("file"), F.col("_block").cast("long").alias("block"), F.col("_line").alias("line"))
-    return found.select(*(F.col(f"`{c}`") for c in cols), F.when(F.col("_order").isNotNull(), place).alias(LANDING))
+    return in_landing_order(df.select("*", _plain(file).alias("_file"), *place), entries.dropDuplicates(["_listed"]), cols)
 
 
 def page_schema(extra: Sequence[str] = (), with_seq: bool = False) -> T.StructType:

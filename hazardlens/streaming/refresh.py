@@ -38,12 +38,12 @@ from ..operators.signals import parse_violations
 from ..schemas import BATCH, INSPECTION_COLUMNS, INSPECTIONS
 from ..sinks import snapshots
 from ..sinks.writers import clustered_scores, write_parquet
-from ..sources.landed import landing_order, page_schema
+from ..sources.landed import in_landing_order, natural_entries, page_schema
 from . import incremental
 
 DONE_MARKER = "_BATCH_COMPLETE"
 KEEP_OUTPUTS = 2
-_FILE, _BLOCK = "_file", "_block"
+_FILE, _BLOCK, _LINE = "_file", "_block", "_line"
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
@@ -100,8 +100,8 @@ def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir:
                   keep_seconds: float = snapshots.KEEP_SECONDS):
     """Start the refresh query; returns the ``StreamingQuery``.
 
-    ``raw_dir`` receives the landed records (kept for audit) under ``_landed``
-    and the cleaned + parsed rows of every batch under ``_parsed``, each in a
+    ``raw_dir`` receives the landed records (kept for audit, with the file and place
+    in it that each came from) under ``_landed`` and the cleaned + parsed rows of every batch under ``_parsed``, each in a
     partition by batch id that a retried batch overwrites. The newest ``keep``
     outputs stay in ``out_dir``. With ``buckets`` (chosen once: inspections'
     bytes over those a refresh may rewrite for one record) ``out_dir`` holds
@@ -118,8 +118,10 @@ def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir:
         return df.sparkSession.read.schema(T.StructType(df.schema.fields)).parquet(target)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        landed = batch.select(*page_schema().fieldNames(), landing_order(_FILE, _BLOCK))
-        landed = stored(landed, f"{base}/_landed", batch_id)
+        names = page_schema().fieldNames()
+        placed = batch.select(*names, _FILE, _BLOCK, F.monotonically_increasing_id().alias(_LINE))
+        placed = stored(placed, f"{base}/_landed", batch_id)
+        landed = in_landing_order(placed, natural_entries(placed.select(F.col(_FILE).alias("file")).distinct()), names)
         parsed = stored(parse_violations(clean(landed, cfg), cfg=cfg), f"{base}/_parsed", batch_id)
         if buckets:
             incremental.refresh(batch.sparkSession, parsed, out_dir, as_of, batch_id + 1, buckets, cfg,

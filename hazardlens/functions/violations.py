@@ -7,6 +7,8 @@ them); none needs a Python UDF.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,25 +41,62 @@ def code_tier_counts(codes: str | Column) -> dict[str, Column]:
     }
 
 
-def keywords_found(lower_text: str | Column, keywords: list[str]) -> Column:
-    """Keywords (in list order) that occur as a substring of ``lower_text``."""
-    t = col_(lower_text)
-    return F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(t, k))
+def keyword_pattern(words: list[str]) -> str:
+    """Regex that matches, without consuming it, the longest of ``words`` at every place
+    where one begins (group 1): the words as a tree of their letters, behind a
+    quick look at the first two."""
+    def branch(node: dict) -> str:
+        ways = [re.escape(c) + branch(after) for c, after in node.items() if c]
+        some = ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+        return "" if not ways else f"(?:{some})?" if "" in node else some
 
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+    begins = "".join(f"[{''.join(re.escape(c) for c in sorted({w[i] for w in words}))}]"
+                     for i in range(min(2, min(map(len, words)))))
+    return f"(?={begins})(?=({branch(tree)}))"
 
-def lowered_text(text: str | Column) -> Column:
-    """Lower-cased text with null as empty: the input of ``keyword_scan``.
 
-    Project it as its own column *before* the scan; referenced from inside
-    the per-keyword lambda, an inline ``lower()`` would be re-evaluated once
-    per keyword (72x the work).
-    """
+def lowered_text(text: str | Column) -> Column:
+    """Lower-cased text with null as empty: the input of ``keyword_places``."""
     return F.lower(F.coalesce(col_(text), F.lit("")))
 
 
-def keyword_scan(lowered: str | Column, cfg: ScoringConfig = DEFAULT_CONFIG) -> dict[str, Column]:
-    """Per-tier arrays of the keywords found in an already lower-cased text column."""
-    return {tier: keywords_found(col_(lowered), kws) for tier, kws in cfg.keyword_tiers.items()}
+def keyword_places(lowered: str | Column, cfg: ScoringConfig = DEFAULT_CONFIG) -> Column:
+    """Which keywords an already lower-cased text contains, as sorted places in the tiers' lists laid end to end.
+
+    The text is read once for all keywords: where the longest one begins, so do
+    the others that it begins with. Project the result as its own column before
+    ``keyword_scan``, which reads it once per tier.
+    """
+    every = [k for kws in cfg.keyword_tiers.values() for k in kws]
+    words = sorted({k for k in every if k})
+    always = F.array(*(F.lit(i) for i, k in enumerate(every) if not k)).cast("array<int>")
+    if not words:
+        return always
+    places = F.create_map(*(x for w in words for x in (F.lit(w), F.array(*(F.lit(i) for i, k in enumerate(every) if k and w.startswith(k))))))
+    longest = F.array_distinct(F.regexp_extract_all(col_(lowered), F.lit(keyword_pattern(words)), F.lit(1)))
+    found = F.flatten(F.transform(longest, lambda w: F.element_at(places, w)))
+    return F.sort_array(F.array_distinct(F.concat(always, found)))
+
+
+def keyword_scan(places: str | Column, cfg: ScoringConfig = DEFAULT_CONFIG) -> dict[str, Column]:
+    """Per-tier arrays of the keywords found (in list order), from their ``keyword_places``."""
+    out, first = {}, 0
+    for tier, kws in cfg.keyword_tiers.items():
+        out[tier] = _of_tier(col_(places), first, kws)
+        first += len(kws)
+    return out
+
+
+def _of_tier(places: Column, first: int, keywords: list[str]) -> Column:
+    words = F.array(*(F.lit(k) for k in keywords)).cast("array<string>")
+    own = F.filter(places, lambda i: i.between(first, first + len(keywords) - 1))
+    return F.transform(own, lambda i: F.element_at(words, i - F.lit(first - 1)))
 
 
 def structured_signal(n_critical: Column, n_serious: Column, n_minor: Column,

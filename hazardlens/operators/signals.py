@@ -19,8 +19,8 @@ def parse_violations(df: DataFrame, text_col: str = "violations",
     ``kw_found`` (array<string>, tier order then list order) and
     ``violation_severity`` (double, 2 decimals).
     """
-    kw = V.keyword_scan("_lowered", cfg)
-    staged = df.withColumn("_lowered", V.lowered_text(text_col)).withColumns({
+    kw = V.keyword_scan("_places", cfg)
+    staged = df.withColumn("_places", V.keyword_places(V.lowered_text(text_col), cfg)).withColumns({
         "violation_codes": V.violation_codes(text_col),
         "_kw_critical": kw["critical"],
         "_kw_major": kw["major"],
@@ -33,7 +33,7 @@ def parse_violations(df: DataFrame, text_col: str = "violations",
         "kw_major": F.size("_kw_major"),
         "kw_minor": F.size("_kw_minor"),
         "kw_found": F.concat("_kw_critical", "_kw_major", "_kw_minor"),
-    }).drop("_kw_critical", "_kw_major", "_kw_minor", "_lowered")
+    }).drop("_kw_critical", "_kw_major", "_kw_minor", "_places")
     s = V.structured_signal(F.col("n_critical"), F.col("n_serious"), F.col("n_minor"), cfg)
     k = V.keyword_signal(F.col("kw_critical"), F.col("kw_major"), F.col("kw_minor"), cfg)
     return staged.withColumn("violation_severity", V.severity(s, k, cfg))

@@ -482,8 +482,8 @@ _DOC_KW = (f"SELECT doc_id, CAST(len(kc) AS INTEGER) AS kw_critical, CAST(len(km
 
 @register("document_keywords", _DOC_KW)
 def document_keywords(spark, sf):
-    kw = V.keyword_scan("_lowered", DEFAULT_CONFIG)
-    docs = documents_text(spark, sf).withColumn("_lowered", V.lowered_text("text")).select(
+    kw = V.keyword_scan("_places", DEFAULT_CONFIG)
+    docs = documents_text(spark, sf).withColumn("_places", V.keyword_places(V.lowered_text("text"))).select(
         "doc_id", kw["critical"].alias("c"), kw["major"].alias("m"), kw["minor"].alias("n"))
     return docs.select("doc_id", F.size("c").alias("kw_critical"), F.size("m").alias("kw_major"),
                        F.size("n").alias("kw_minor"), F.array_join(F.concat("c", "m", "n"), ",").alias("kw_found"))
@@ -937,7 +937,7 @@ def streaming_refresh(spark, sf):
 def incremental_refresh(spark, sf):
     """The same drops into bucketed tables: each batch rewrites the buckets it
     touches, and scores come from the establishments' states."""
-    raw = _raw(spark, sf)
+    raw = _raw_once(spark, sf)
     landing = staging_path(spark, "landing")
     raw_dir, out_dir, ckpt = (staging_path(spark, n) for n in ("inc-raw", "inc-out", "inc-ckpt"))
     for drop, seq in (("drop1", 0), ("drop2", 1)):

@@ -88,6 +88,12 @@ def _insp(spark, sf):
     return parse_violations(_clean(spark, sf))
 
 
+def _insp_once(spark, sf):
+    """The inspections table stored once, as the batch job does: the texts are parsed
+    and the records deduplicated one time for all that reads them."""
+    return staged(_insp(spark, sf).select(INSPECTION_COLUMNS), "inspections")
+
+
 def _comp(spark, sf):
     return R.components(_insp(spark, sf), AS_OF)
 
@@ -310,15 +316,16 @@ FROM inspections WHERE inspection_date < TIMESTAMP '{_HALF}'
 UNION ALL SELECT 'after', count(*), count(DISTINCT establishment_id) FROM inspections""")
 def refresh_snapshots(spark, sf):
     """One reader holds the tables from before a refresh, one takes those of after it."""
-    base, insp = staging_path(spark, "snapshots"), _insp(spark, sf)
-    readers = {}
+    base, insp = staging_path(spark, "snapshots"), _insp_once(spark, sf)
+    counts = []
     for reader, rows in (("before", insp.filter(F.col("inspection_date") < F.lit(_HALF).cast("timestamp_ntz"))), ("after", insp)):
         SN.publish(rows, R.risk_scores(rows, AS_OF), base)
         held = SN.current(spark, base)
-        readers[reader] = [held.read(spark, t).agg(F.count(F.lit(1)).alias(n)).select(F.lit(reader).alias("reader"), n)
-                           for t, n in (("inspections", "n_inspections"), ("risk_scores", "n_scores"))]
-    first, second = (i.join(s, "reader") for i, s in readers.values())
-    return first.unionByName(second)
+        tables = [held.read(spark, t).select(F.lit(own).alias("own")) for t, own in (("inspections", True), ("risk_scores", False))]
+        rows = tables[0].unionByName(tables[1])
+        counts.append(rows.agg(F.count_if("own").alias("n_inspections"), F.count_if(~F.col("own")).alias("n_scores"))
+                      .select(F.lit(reader).alias("reader"), "n_inspections", "n_scores"))
+    return counts[0].unionByName(counts[1])
 
 
 @register("catalog_scan", f"SELECT {_sink_cols(SCORES.fieldNames(), _FLOAT_SCORES)} FROM risk_scores "

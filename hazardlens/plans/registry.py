@@ -334,7 +334,7 @@ def catalog_scan(spark, sf):
     """K4 into catalog tables, then S7: ``SELECT * FROM risk_scores`` through the catalog."""
     import uuid
     suffix = uuid.uuid4().hex[:8]
-    insp = _insp(spark, sf)
+    insp = _insp_once(spark, sf)
     K.refresh_catalog_tables(insp, R.risk_scores(insp, AS_OF), f"hazardlens_inspections_{suffix}",
                              f"hazardlens_risk_scores_{suffix}", staging_path(spark, "catalog"))
     return spark.table(f"hazardlens_risk_scores_{suffix}")

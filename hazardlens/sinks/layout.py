@@ -9,6 +9,9 @@ which the lookup of one value skips every row group that does not hold it.
 The curve needs each value's rank among all, to a few bits. Ranks come from
 boundaries between equal shares of a bounded sample: a rough boundary makes
 files a little uneven and changes no row.
+
+Ranges are found by a pass of their own before the rows are dealt, so both
+layouts store the rows first: however dear they are to derive, it happens once.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 SAMPLE_ROWS = 10_000      # at most so many values of the curve's columns come to the driver
 BITS = 6                  # 64 ranks a column
 ROW_GROUP_BYTES = 16 << 20
@@ -80,6 +85,7 @@ def zordered(df: DataFrame, path: str, columns: Sequence[str] = ("zip", "dynamic
     """
     if clash := {"_z"} & set(df.columns):
         raise ValueError(f"column names kept for the layout: {sorted(clash)}")
+    df = staged(df, "zordered")
     cuts = boundaries(df, columns)
     z = curve([rank(c, cuts[c]) for c in columns])
     order = [F.col("_z"), *(F.col(c).asc_nulls_first() for c in columns), F.col(key)]

@@ -107,7 +107,7 @@ def dated(inspections: DataFrame, path: str, date: str = "inspection_date", key:
         raise ValueError(f"column name kept for the layout: {DAY}")
     order = [F.col(date).desc_nulls_last(), F.col(key)]
     own = inspections.withColumn(DAY, F.col(date).cast("date"))
-    _write(own, path, order, n_files, {"establishment_id": 100_000} if bloom is None else bloom, [])
+    _write(staged(own, "dated"), path, order, n_files, {"establishment_id": 100_000} if bloom is None else bloom, [])
 
 
 def period(stored: DataFrame, first: str, last: str, date: str = "inspection_date") -> DataFrame:

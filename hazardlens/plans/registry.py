@@ -794,11 +794,13 @@ FROM (SELECT i.*, row_number() OVER (PARTITION BY establishment_id ORDER BY insp
       FROM inspections i WHERE establishment_id IN (SELECT establishment_id FROM ({_MATCHES})))
 WHERE rank <= 10""")
 def bucketed_history(spark, sf):
-    """K8 + D15: history served from the establishment-bucketed inspections table."""
+    """K8 + D15: history served from the establishment-bucketed inspections table, with
+    at least as many buckets as the session has shuffle partitions."""
     import uuid
     insp = _insp(spark, sf)
     name = f"hazardlens_inspections_{uuid.uuid4().hex[:8]}"
-    K.bucketed_inspections(insp.drop("kw_found", "violation_codes"), name, 8, staging_path(spark, "bucketed"))
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    K.bucketed_inspections(insp.drop("kw_found", "violation_codes"), name, buckets, staging_path(spark, "bucketed"))
     stored = spark.table(name)
     matches = D.search_top(R.risk_scores(stored, AS_OF), SEARCH_TERM, TOP_N)
     return D.inspection_history(matches, stored, 10)

@@ -135,14 +135,14 @@ def _sink_cols(cols: list[str], floats: set[str]) -> str:
 
 @register("page_scan", f"SELECT {RAW_COLS} FROM raw_inspections")
 def page_scan(spark, sf):
-    path = L.land_pages(_raw(spark, sf), staging_path(spark, "pages"), PAGE_SIZE_TEST)
+    path = L.land_pages(_raw_once(spark, sf), staging_path(spark, "pages"), PAGE_SIZE_TEST)
     return L.read_pages(spark, path, L.page_schema(with_seq=True)).select(RAW.fieldNames())
 
 
 @register("union_pages", f"SELECT * REPLACE (CASE WHEN ingest_seq = 1 THEN NULL ELSE aka_name END AS aka_name) "
                          f"FROM (SELECT {RAW_COLS} FROM raw_inspections)")
 def union_pages(spark, sf):
-    raw = _raw(spark, sf)
+    raw = _raw_once(spark, sf)
     first = L.land_pages(raw.filter("ingest_seq = 0"), staging_path(spark, "pages-a"), PAGE_SIZE_TEST)
     later_cols = [c for c in raw.columns if c != "aka_name"]
     second = L.land_pages(raw.filter("ingest_seq = 1"), staging_path(spark, "pages-b"), PAGE_SIZE_TEST, later_cols)
@@ -172,7 +172,7 @@ def dedup_landed_pages(spark, sf):
 @register("dedup_numbered_pages", "SELECT inspection_id, results, result_score FROM c_dedup")
 def dedup_numbered_pages(spark, sf):
     """S1 + C6 on pages numbered without leading zeros: 9, then 10 and 11 with the copies sent later."""
-    raw, path = _raw(spark, sf), staging_path(spark, "numbered")
+    raw, path = _raw_once(spark, sf), staging_path(spark, "numbered")
     later = F.col("ingest_seq") == 1
     even = F.crc32("inspection_id") % 2 == 0
     for page, part in ((9, ~later), (10, later & even), (11, later & ~even)):
@@ -185,7 +185,7 @@ def dedup_numbered_pages(spark, sf):
 def dedup_by_manifest(spark, sf):
     """S1 + C6 where names give no order: the copies sent later land under a name that
     sorts first, and the folder's manifest tells when each file arrived."""
-    raw, path = _raw(spark, sf), staging_path(spark, "manifest")
+    raw, path = _raw_once(spark, sf), staging_path(spark, "manifest")
     for name, seq in (("z-first", 0), ("a-later", 1)):
         some = raw.filter(F.col("ingest_seq") == seq).select(*RAW_TEXT_COLUMNS)
         some.withColumn("pull", F.lit(name)).write.mode("append").partitionBy("pull").json(path)

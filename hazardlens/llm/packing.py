@@ -91,14 +91,14 @@ class Encoder:
             self.ends[[i for t, i in own.get_vocab().items() if t.endswith(mark)]] = True
 
     def _each(self, texts: list[bytes]) -> list[bytes]:
-        got = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+        got = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in got]
 
     def _together(self, texts: list[bytes]) -> list[bytes]:
         """Ids of texts that are one pre-token each."""
         if self.ends is None:
             return self._each(texts)
-        ids = np.array(self.tokenizer.encode(b" ".join(texts).decode(), add_special_tokens=False).ids, self.dtype)
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(texts).decode()], add_special_tokens=False)[0].ids, self.dtype)
         stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         if len(stops) != len(texts) or stops[-1] != len(ids):
             return self._each(texts)                                # some text was not one pre-token after all
@@ -134,14 +134,19 @@ class Encoder:
             pieces = (_parted(text) if self.parts else text).split()
             ids = list(map(known, pieces))
             if None in ids:
-                missing.update(p for p, x in zip(pieces, ids) if x is None)
-                again.append((i, pieces))
-                ids = ()
-            out.append(b"".join(ids))
+                gaps = [k for k, x in enumerate(ids) if x is None]
+                unknown = [pieces[k] for k in gaps]
+                missing.update(unknown)
+                again.append((i, ids, gaps, unknown))
+                out.append(b"")
+            else:
+                out.append(b"".join(ids))
         if missing:
             self._learn(missing)
-        for i, pieces in again:
-            out[i] = b"".join(map(known, pieces))
+        for i, ids, gaps, unknown in again:     # most texts have a new piece: only those are looked up again
+            for k, piece in zip(gaps, unknown):
+                ids[k] = known(piece)
+            out[i] = b"".join(ids)
         return out
 
 

@@ -83,3 +83,21 @@ def test_a_vocabulary_without_end_of_word_marks():
 
 def test_empty_table(spark):
     assert P.pack(data.frame(spark, [(1, "a", None, None)]).limit(0)).collect() == []
+
+
+def test_only_unknown_pieces_are_looked_up_again():
+    """op7_packing: a text with one new piece among many known ones costs one lookup more, not as many again."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return super().get(key)
+
+    own = P.Encoder(P.tokenizer_path("word_bpe_49k.json"))
+    text = " ".join(f"word{i % 7}" for i in range(200))
+    own.encode_many([text.encode()])
+    own.new = Counted(own.new)
+    got, = own.encode_many([f"{text} zzyzx {text}".encode()])
+    assert own.new.asked <= 410
+    assert np.frombuffer(got, own.dtype).tolist() == own.tokenizer.encode(f"{text} zzyzx {text}", add_special_tokens=False).ids

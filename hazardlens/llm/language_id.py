@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from .columns import sliced
 from .words import mix
 
 BUCKETS = 1 << 15
@@ -110,7 +111,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches):
         seen, rows = np.zeros(BUCKETS + 1, np.int64), 0
-        for b in batches:
+        for b in sliced(batches):
             for text in b.column("text").to_pylist():
                 seen[term_counts(text)[0]] += 1
                 rows += 1
@@ -238,7 +239,7 @@ def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lan
     shared = docs.sparkSession.sparkContext.broadcast(model)       # BUCKETS x labels
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             got = [predict_text(shared.value, x) for x in b.column(at).to_pylist()]
             for name, i, kind in ((names[0], 0, pa.string()), (names[1], 1, pa.float64())):
                 b = b.append_column(name, pa.array([g[i] for g in got], kind))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .columns import sliced
 
 CACHE_PIECES = 500_000    # pieces whose ids a worker keeps; beyond it the older half goes
 GROUP = 64                # documents whose unknown pieces are tokenised together
@@ -186,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
 
     def tokenise(batches):
         own, part, before = encoder(tokenizer_path(tokenizer)), TaskContext.get().partitionId(), 0
-        for b in batches:
+        for b in sliced(batches):
             texts = [x or b"" for x in b.column("text").cast(pa.binary()).to_pylist()]
             end = np.array([end_id], own.dtype).tobytes()
             ids = [x + end for i in range(0, len(texts), GROUP) for x in own.encode_many(texts[i:i + GROUP])]
@@ -205,7 +206,7 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
     offset = {r.part: s for r, s in zip(totals, sums)}
 
     def cut(batches):
-        for b in batches:
+        for b in sliced(batches):
             rows, out = [], []
             for i, (part, before, n, raw) in enumerate(zip(*(b.column(c).to_pylist() for c in
                                                            ("part", "before", "doc_tokens", "ids")))):

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import sliced
+
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "der", "ssh")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -314,7 +316,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(x)] if x else []
                      for x in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, _SPANS)], names=["doc_id", "secrets"])
@@ -340,7 +342,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
         return "".join(out) + text[end:]
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             texts = pa.array([clean(x) for x in b.column(at).to_pylist()], b.schema.field(at).type)
             yield b.set_column(at, b.schema.field(at), texts)
 

@@ -17,6 +17,7 @@ members as a ball has points, whatever the data.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -26,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .columns import unused
+from .columns import sliced, unused
 from .components import components
 from .packed import (binary, bucket_bits, bucket_edges, pack_bits, pack_keys, parallelism,
                      unpack_bits, unpack_keys)
 from .words import mix
 
 SLICE = 1024          # fingerprints expanded at a time: about 17 MB of variants
+STRIP = 64            # of these, hashed at a time: about 1 MB
+MIN_BITS = 6          # of a key's bucket: a slice's keys of one bucket are at most about 130 kB
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
@@ -64,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     src = src.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             got = [fingerprint(x or b"", shingle) for x in b.column("text").cast(pa.binary()).to_pylist()]
             fp = pa.array(np.array(got, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), fp],
@@ -104,7 +107,8 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     at ``distance`` or fewer differing bits: enough of them to connect exactly
     the fingerprints that all such pairs connect, each verified."""
     spark = fps.sparkSession
-    bits, chunks = bucket_bits(spark), 2 * parallelism(spark)
+    coarse, chunks = bucket_bits(spark), 2 * parallelism(spark)
+    bits = max(coarse, MIN_BITS)
     masks = _masks((distance + 1) // 2)
     src = fps.select("fp", F.pmod(F.xxhash64("fp"), F.lit(chunks)).alias("chunk"))
     # dealt by number, not by size: a fingerprint is a few bytes here and thousands of variants in its task
@@ -117,32 +121,47 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
 
     def expand(fp):
         """Distinct keys of all variants, and whether two fingerprints here share one."""
-        keys = mix((fp[:, None] ^ masks[None, :]).ravel(), in_place=True)
+        keys = np.empty((len(fp), len(masks)), np.uint64)
+        for i in range(0, len(fp), STRIP):
+            np.bitwise_xor(fp[i:i + STRIP, None], masks[None, :], out=keys[i:i + STRIP])
+            mix(keys[i:i + STRIP], in_place=True)
+        keys = keys.ravel()
         keys >>= np.uint64(32 - bits)
         keys.sort()
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[first], np.diff(first, append=len(keys)) > 1
+        again = np.append(keys[1:] == keys[:-1], False)       # the next one is equal
+        first = np.append(True, ~again[:-1])
+        return keys[first], again[first]
 
-    def send(key, table):
-        out = []
-        for part, fp in slices(table):
+    def key_edges(keys):
+        """Where each bucket begins in the sorted keys."""
+        return np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
+
+    def send(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, fp in slices(pa.Table.from_batches(list(batches))):
             keys, _ = expand(fp)
-            edges = bucket_edges(keys >> np.uint64(32), bits)
-            out += [(b, part, pack_keys(keys[i:j].astype(np.uint32)))
-                    for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
-        return pa.table({"bucket": pa.array([o[0] for o in out], pa.int32()),
-                         "chunk": pa.array([key[0].as_py()] * len(out), pa.int64()),
-                         "part": pa.array([o[1] for o in out], pa.int32()), "keys": binary([o[2] for o in out])})
+            edges = key_edges(keys)
+            out = [(b, pack_keys(keys[i:j].astype(np.uint32)))
+                   for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
+            del keys
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[0] for o in out], pa.int32()), pa.array([key[0].as_py()] * len(out), pa.int64()),
+                 pa.array([part] * len(out), pa.int32()), binary([o[1] for o in out])],
+                names=["bucket", "chunk", "part", "keys"])
 
     def answer(key, table):
-        keys = [unpack_keys(x.as_buffer()) for x in table["keys"]]
-        both = np.concatenate(keys)
+        # the blobs are unpacked twice, so that the keys are held once beside them
+        blobs = [x.as_buffer() for x in table["keys"]]
+        ends = np.cumsum([0] + [len(x) // 4 for x in blobs])
+        both = np.empty(ends[-1], np.uint32)
+        for blob, i, j in zip(blobs, ends[:-1], ends[1:]):
+            both[i:j] = unpack_keys(blob)
         both.sort()
         shared = np.unique(both[1:][both[1:] == both[:-1]])
         del both
         some, hits = [], []
-        for i, own in enumerate(keys):
+        for i, blob in enumerate(blobs):
             if len(shared):
+                own = unpack_keys(blob)
                 at = np.searchsorted(shared, own)
                 at[at == len(shared)] = 0
                 hit = shared[at] == own
@@ -162,14 +181,15 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
         points, owners = [], []
         for part, fp in slices(left):
             keys, hit = expand(fp)
-            edges = bucket_edges(keys >> np.uint64(32), bits)
+            edges = key_edges(keys)
             for b, blob in answers.get(part, {}).items():
                 hit[edges[b]:edges[b + 1]] |= unpack_bits(blob, edges[b + 1] - edges[b])
             found = keys[hit]
             if not len(found):
                 continue
-            for i in range(0, len(fp), 256):
-                some = fp[i:i + 256]
+            del keys, hit
+            for i in range(0, len(fp), STRIP):
+                some = fp[i:i + STRIP]
                 p = (some[:, None] ^ masks[None, :])
                 k = mix(p) >> np.uint64(32 - bits)
                 at = np.searchsorted(found, k)
@@ -179,10 +199,10 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
                 owners.append(some[row])
         p = np.concatenate(points or [np.zeros(0, np.uint64)])
         o = np.concatenate(owners or [np.zeros(0, np.uint64)])
-        bucket = mix(p) >> np.uint64(64 - bits)
+        bucket = mix(p) >> np.uint64(64 - coarse)
         order = np.argsort(bucket, kind="stable")
         p, o = p[order], o[order]
-        edges = bucket_edges(bucket[order], bits)
+        edges = bucket_edges(bucket[order], coarse)
         got = [(b, p[i:j].tobytes(), o[i:j].tobytes()) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
         return pa.table({"bucket": pa.array([g[0] for g in got], pa.int32()),
                          "points": binary([g[1] for g in got]), "owners": binary([g[2] for g in got])})

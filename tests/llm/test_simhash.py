@@ -1,9 +1,16 @@
 import random
+import tracemalloc
+from types import SimpleNamespace
+from unittest.mock import MagicMock
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from hazardlens.llm import simhash as H
+from hazardlens.llm.columns import sliced
 from hazardlens.llm.components import components
 from hazardlens.llm.packed import bucket_bits
 
@@ -104,3 +111,61 @@ def test_keep_one(spark):
 def test_empty_table(spark):
     none = data.frame(spark, [(1, "a", None, None)]).limit(0)
     assert H.near_duplicates(none).collect() == [] == H.keep_one(none).collect()
+
+
+def _steps(monkeypatch, partitions):
+    """The functions that ``links`` hands to its groups, in order."""
+    steps = []
+
+    class Frame:
+        sparkSession = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: str(partitions)))
+
+        def __getattr__(self, name):
+            return lambda *_: self
+
+        def applyInArrow(self, step, schema):
+            steps.append(step)
+            return self
+
+    monkeypatch.setattr(H, "F", MagicMock())
+    H.links(Frame())
+    return steps
+
+
+def _peak(step, *args):
+    """Result of ``step`` and the most that Python and numpy held meanwhile, in bytes."""
+    tracemalloc.start()
+    try:
+        return step(*args), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_group_is_answered_in_little_more_than_its_keys(monkeypatch):
+    """Variants of a slice are held about twice, the keys of a bucket about once, at few partitions too."""
+    send, answer, *_ = _steps(monkeypatch, 12)
+    rng = np.random.default_rng(3)
+    fps = rng.integers(-2**63, 2**63 - 1, 8 * H.SLICE)
+    fps[1::8] = fps[::8] ^ 5                # each eighth has a neighbour
+    sent, most = [], 0
+    for chunk, some in enumerate(np.split(fps, 8)):
+        group = pa.RecordBatch.from_pydict({"fp": some, "chunk": np.full(len(some), chunk)})
+        got, peak = _peak(lambda: list(send((pa.scalar(chunk),), iter([group]))))
+        sent += got
+        most = max(most, peak)
+    variants = 8 * H.SLICE * (1 + 64 + 64 * 63 // 2)
+    assert most < 3 * variants
+    table = pa.Table.from_batches(sent)
+    sizes = [len(x) for x in table["keys"].to_pylist()]
+    assert max(sizes) < 200_000
+    assert 0.99 * 4 * variants < sum(sizes) <= 4 * variants
+    one = table.filter(pc.equal(table["bucket"], 7))
+    got, peak = _peak(answer, (pa.scalar(7, pa.int32()),), one)
+    assert got.num_rows and peak < 1.7 * sum(len(x) for x in one["keys"].to_pylist())
+
+
+def test_maps_make_values_of_few_rows_at_a_time():
+    whole = pa.RecordBatch.from_pydict({"doc_id": list(range(2500)), "text": [str(i) for i in range(2500)]})
+    got = list(sliced([whole, whole.slice(0, 0), whole.slice(7, 3)]))
+    assert [b.num_rows for b in got] == [1024, 1024, 452, 3]
+    assert pa.Table.from_batches(got) == pa.concat_tables([pa.Table.from_batches([whole]), pa.Table.from_batches([whole.slice(7, 3)])])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..functions.text import norm, safe_double, safe_timestamp, strip
 from ..schemas import BATCH, LANDING, RAW, RAW_REQUIRED, ensure_columns
-from ..session import staged
+from ..session import drop_staged_frame, staged
 
 KEY_SEPARATOR = "|"
 REPEATED_IDS = 500_000        # ids with several records up to which they are sent to every task (about 50 MB)
@@ -98,7 +98,10 @@ def repeated_ids(df: DataFrame, key: str = "inspection_id", order: list[str] | N
     found = (df.groupBy(F.col(key).alias("_repeated")).agg(last.alias("_last"), F.count(F.lit(1)).alias("_n"))
              .where("_n > 1").select("_repeated", "_last"))
     found = staged(found, "repeated-ids")
-    return found if found.count() <= REPEATED_IDS else None
+    if found.count() <= REPEATED_IDS:
+        return found
+    drop_staged_frame(found)
+    return None
 
 
 def drop_repeated(df: DataFrame, repeated: DataFrame, key: str = "inspection_id", order: list[str] | None = None) -> DataFrame:

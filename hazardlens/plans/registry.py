@@ -26,7 +26,7 @@ from ..operators import serving as D
 from ..operators.signals import parse_violations, severity_stats, signal_totals
 from ..functions.numeric import clamp, round1
 from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, RAW, RAW_TEXT_COLUMNS, SCORES, to_sink_schema
-from ..session import staged, staging_path
+from ..session import COMPACT, drop_staged, shuffles_dropped, staged, staging_path
 from ..sinks import layout as LY
 from ..sinks import snapshots as SN
 from ..sinks import writers as K
@@ -930,6 +930,36 @@ def explore_mode(spark, sf):
 
 # ---------------------------------------------------------------- streaming refresh
 
+def _halves(df):
+    """``df`` as two ranges of the landing order, cut where Spark's range exchange would."""
+    order = F.struct(*L.DEFAULT_ORDER)
+    keys = df.select(*L.DEFAULT_ORDER).repartitionByRange(2, *(F.col(c).asc_nulls_first() for c in L.DEFAULT_ORDER))
+    first = sorted(keys.groupBy(F.spark_partition_id().alias("part")).agg(F.min(order).alias("first")).collect())
+    if len(first) < 2:
+        return [df]
+    cut = F.struct(*(F.lit(first[1]["first"][c]).cast(RAW[c].dataType).alias(c) for c in L.DEFAULT_ORDER))
+    return [df.filter(order < cut), df.filter(order >= cut)]
+
+
+def _land_drops(spark, sf, landing):
+    """Lands the two drops, each when the next one is asked for, in halves so that
+    fewer rows are shuffled at once. What is stored of the raw records goes as soon
+    as it has landed."""
+    path = staging_path(spark, "raw")
+    with shuffles_dropped(spark):
+        _raw(spark, sf).write.options(**COMPACT).parquet(path)
+    for drop, seq in (("drop1", 0), ("drop2", 1)):
+        raw, rest = spark.read.schema(RAW).parquet(path), staging_path(spark, "raw")
+        with shuffles_dropped(spark):
+            for n, half in enumerate(_halves(raw.filter(F.col("ingest_seq") == seq))):
+                L.land_pages(half, f"{landing}/{drop}/{n}", PAGE_SIZE_TEST, RAW_TEXT_COLUMNS, compression="gzip")
+            raw.filter(F.col("ingest_seq") > seq).write.options(**COMPACT).parquet(rest)
+        drop_staged(spark, path)
+        path = rest
+        yield drop
+    drop_staged(spark, path)
+
+
 @register("streaming_refresh", f"SELECT {SCORE_COLS} FROM risk_scores")
 def streaming_refresh(spark, sf):
     """Pages land in two drops; the file stream refreshes the tables after each."""
@@ -946,10 +976,8 @@ def streaming_refresh(spark, sf):
 def incremental_refresh(spark, sf):
     """The same drops into bucketed tables: each batch rewrites the buckets it
     touches, and scores come from the establishments' states."""
-    raw = _raw_once(spark, sf)
     landing = staging_path(spark, "landing")
     raw_dir, out_dir, ckpt = (staging_path(spark, n) for n in ("inc-raw", "inc-out", "inc-ckpt"))
-    for drop, seq in (("drop1", 0), ("drop2", 1)):
-        L.land_pages(raw.filter(F.col("ingest_seq") == seq), f"{landing}/{drop}", PAGE_SIZE_TEST, RAW_TEXT_COLUMNS)
+    for _ in _land_drops(spark, sf, landing):
         start_refresh(spark, landing, raw_dir, out_dir, ckpt, AS_OF, buckets=8).awaitTermination()
     return latest_output(spark, out_dir)[1].select(SCORES.fieldNames())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,9 @@ JOB_CONF = {
 
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Parquet options of whole records that are stored more than once.
+COMPACT = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def recommended_conf(input_bytes: int, total_cores: int,
@@ -118,6 +122,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within, the shuffle files of a query go when it ends, not when the driver next
+    collects its garbage. For frames that run once: a second run shuffles again."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Remove a staged folder (only ever one made by ``staging_path``)."""
     if "/stage-" not in path:
@@ -126,6 +145,12 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def drop_staged_frame(df: DataFrame) -> None:
+    """Remove the folder of a frame made by ``staged``."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        drop_staged(df.sparkSession, folder)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Redistribute a scan that yields fewer partitions than the cluster has cores.
 

@@ -65,6 +65,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(place(path))) if fs.exists(place(path)) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder that no snapshot names; nothing if there is none."""
+    fs, place = _fs(spark, path)
+    fs.delete(place(path), True)
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Committed versions, oldest first."""
     names = children(spark, f"{base.rstrip('/')}/{COMMITS}")

@@ -311,15 +311,16 @@ def stored_page(spark: SparkSession, path: str, page_no: int) -> DataFrame:
 
 
 def land_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE, columns: Sequence[str] | None = None,
-               order: Sequence[str] = DEFAULT_ORDER) -> str:
+               order: Sequence[str] = DEFAULT_ORDER, compression: str = "none") -> str:
     """Land ``df`` under ``path`` in ``order``, at most ``page_size`` records to a file, one per line.
 
     Rows are range-partitioned and sorted, so no page is ever gathered in one
-    row. Null values are left out of each object, as the API does. Returns
-    ``path``.
+    row. Null values are left out of each object, as the API does. With
+    ``compression`` (``gzip``) the files are compressed, which readers tell by their
+    names; such a file is read by one task. Returns ``path``.
     """
     cols = list(columns) if columns is not None else df.columns
     by = [F.col(c).asc_nulls_first() for c in order]
     (df.repartitionByRange(*by).sortWithinPartitions(*by).select(*cols)
-     .write.mode("overwrite").option("maxRecordsPerFile", page_size).json(path))
+     .write.mode("overwrite").option("maxRecordsPerFile", page_size).option("compression", compression).json(path))
     return path

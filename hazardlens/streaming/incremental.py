@@ -15,7 +15,9 @@ records
 
 Buckets that the batch does not touch keep their files, named again by the next
 commit (``sinks/snapshots``). A large establishment is written by many tasks:
-rows are dealt by the rebalancing exchange, which splits large buckets.
+rows are dealt by the rebalancing exchange, which splits large buckets. A large
+batch rewrites its buckets in up to ``TURNS`` turns, so that only the rows of one
+are in shuffle files; the rows that stay are not shuffled by id.
 """
 
 from __future__ import annotations
@@ -26,11 +28,15 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..operators.scoring import KEY, establishment_state, scores_of_state
 from ..schemas import INSPECTION_COLUMNS, INSPECTIONS, SCORES
+from ..session import COMPACT, drop_staged_frame, staged
 from ..sinks import snapshots
 from ..sinks.writers import clustered_scores
 
 TABLE, STATE, RISK = "inspections", "state", "risk_scores"
 BUCKET, ID = "bucket", "inspection_id"
+TURNS = 8                     # turns in which a large batch rewrites its buckets, at most
+TURN_ROWS = 400_000           # rows that a turn may have before there are more (about 90 MB in shuffle files)
+TOUCHED_IDS = 500_000         # touched ids that are sent to every task at once (about 50 MB)
 
 
 def bucket_of(buckets: int) -> Column:
@@ -41,11 +47,31 @@ def _number(path: str) -> int:
     return int(path.rsplit("=", 1)[1])
 
 
-def _write(spark: SparkSession, df: DataFrame, base: str, where: str, buckets: int) -> list[str]:
-    """``df`` in one folder per bucket below ``where``; the folders that have rows."""
+def turns_for(rows: int, most: int) -> int:
+    return max(1, min(most, -(-rows // TURN_ROWS)))
+
+
+def without_ids(old: DataFrame, touched: DataFrame, n: int) -> DataFrame:
+    """The rows of ``old`` whose id is not among the ``n`` rows of ``touched``; null is an id."""
+    gone = F.broadcast(touched) if n <= TOUCHED_IDS else touched
+    return old.join(gone, F.col(ID).eqNullSafe(F.col("_touched")), "left_anti")
+
+
+def _write(df: DataFrame, path: str, buckets: int) -> None:
+    """Append ``df`` to one folder per bucket below ``path``."""
     (df.withColumn(BUCKET, bucket_of(buckets)).hint("rebalance", F.col(BUCKET))
-     .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{base}/{where}"))
-    return [f"{where}/{n}" for n in snapshots.children(spark, f"{base}/{where}") if n.startswith(f"{BUCKET}=")]
+     .write.mode("append").options(**COMPACT).partitionBy(BUCKET).parquet(path))
+
+
+def _counts(df: DataFrame) -> dict[int, int]:
+    """Rows by bucket: as many numbers as there are buckets at most."""
+    return {r[BUCKET]: r["n"] for r in df.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _folders(spark: SparkSession, base: str, where: str, numbers: list[int]) -> list[str]:
+    """Those of the buckets ``numbers`` that have rows below ``where``."""
+    found = (f"{where}/{n}" for n in snapshots.children(spark, f"{base}/{where}") if n.startswith(f"{BUCKET}="))
+    return [f for f in found if _number(f) in numbers]
 
 
 def refresh(spark: SparkSession, parsed: DataFrame, base: str, as_of, version: int, buckets: int,
@@ -69,25 +95,38 @@ def refresh(spark: SparkSession, parsed: DataFrame, base: str, as_of, version: i
     if before and before.properties.get("buckets") != buckets:
         raise ValueError(f"{base} has {before.properties.get('buckets')} buckets, not {buckets}")
     fresh = parsed.select(INSPECTION_COLUMNS)
-    touched = {r[0] for r in fresh.select(bucket_of(buckets)).distinct().collect()}       # at most ``buckets`` numbers
-    kept: dict[str, list[str]] = {TABLE: [], STATE: []}
+    rows = _counts(fresh.select(bucket_of(buckets).alias(BUCKET)))
+    lie: dict[int, int] = {}
     if before:
         ids = parsed.select(F.col(ID).alias("_touched")).distinct()
-        same = F.col(ID).eqNullSafe(F.col("_touched"))
-        stored = before.read(spark, TABLE, INSPECTIONS)
-        touched |= {r[0] for r in stored.select(ID, KEY).join(ids, same, "left_semi")
-                    .select(bucket_of(buckets)).distinct().collect()}
-        kept = {t: [f for f in before.tables[t] if _number(f) not in touched] for t in (TABLE, STATE)}
-        rewritten = [p for p in before.paths(TABLE) if _number(p) in touched]
-        if rewritten:
-            old = spark.read.schema(INSPECTIONS).parquet(*rewritten)
-            fresh = old.join(ids, same, "left_anti").unionByName(fresh)
+        stored = before.read(spark, TABLE, INSPECTIONS).select(ID, bucket_of(buckets).alias(BUCKET))
+        located = staged(stored.join(ids, F.col(ID).eqNullSafe(F.col("_touched")), "left_semi"), "located")
+        lie = _counts(located)
+    touched = sorted({*rows, *lie})
+    kept = {t: [f for f in before.tables[t] if _number(f) not in touched] if before else [] for t in (TABLE, STATE)}
+    rewritten = [p for p in before.paths(TABLE) if _number(p) in touched] if before else []
+    size = sum(rows.values()) + (spark.read.schema(INSPECTIONS).parquet(*rewritten).count() if rewritten else 0)
     written: dict[str, list[str]] = {TABLE: [], STATE: []}
-    if touched:
-        written[TABLE] = _write(spark, fresh, base, snapshots.folder(TABLE, version, "batch"), buckets)
-    if written[TABLE]:
-        state = establishment_state(spark.read.schema(INSPECTIONS).parquet(*[f"{base}/{f}" for f in written[TABLE]]), cfg)
-        written[STATE] = _write(spark, state, base, snapshots.folder(STATE, version, "batch"), buckets)
+    where = {t: snapshots.folder(t, version, "batch") for t in (TABLE, STATE)}
+    for t in where:
+        snapshots.remove(spark, f"{base}/{where[t]}")         # of a batch that failed
+    some = max(1, -(-len(touched) // turns_for(size, TURNS)))
+    for turn in (touched[i:i + some] for i in range(0, len(touched), some)):
+        merged = fresh if turn == touched else fresh.where(bucket_of(buckets).isin(turn))
+        paths = [p for p in rewritten if _number(p) in turn]
+        if paths:
+            gone = located.where(F.col(BUCKET).isin(turn)).select(F.col(ID).alias("_touched")).distinct()
+            old = spark.read.schema(INSPECTIONS).parquet(*paths)
+            merged = without_ids(old, gone, sum(lie.get(b, 0) for b in turn)).unionByName(merged)
+        _write(merged, f"{base}/{where[TABLE]}", buckets)
+        folders = _folders(spark, base, where[TABLE], turn)
+        if folders:
+            own = spark.read.schema(INSPECTIONS).parquet(*[f"{base}/{f}" for f in folders])
+            _write(establishment_state(own, cfg), f"{base}/{where[STATE]}", buckets)
+        written[TABLE] += folders
+        written[STATE] += _folders(spark, base, where[STATE], turn)
+    if before:
+        drop_staged_frame(located)
     tables = {t: kept[t] + written[t] for t in (TABLE, STATE)}
     tables[RISK] = [snapshots.folder(RISK, version, "batch")]
     if tables[STATE]:

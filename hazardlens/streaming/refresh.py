@@ -12,6 +12,8 @@ refresh runs as a Structured Streaming query over the landing folder:
   the ids that the batch touched, plus the last landed record of each of
   those. The order is (batch, file, place in the file), so a correction in a
   later drop supersedes, whatever its content;
+* disk: records are stored with zstd, the dedup of a batch shuffles ids and
+  landing orders only, and a query's shuffle files go with it;
 * with ``buckets`` the tables are kept in hash buckets instead, of which a batch
   rewrites only those it touches (``streaming/incremental``);
 * scores are recomputed for every establishment (recency moves with the
@@ -32,10 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
-from ..operators.clean import clean
+from ..operators.clean import clean, repeated_ids, usable_records
 from ..operators.scoring import risk_scores
 from ..operators.signals import parse_violations
 from ..schemas import BATCH, INSPECTION_COLUMNS, INSPECTIONS
+from ..session import COMPACT, drop_staged_frame, shuffles_dropped
 from ..sinks import snapshots
 from ..sinks.writers import clustered_scores, write_parquet
 from ..sources.landed import in_landing_order, natural_entries, page_schema
@@ -43,6 +46,7 @@ from . import incremental
 
 DONE_MARKER = "_BATCH_COMPLETE"
 KEEP_OUTPUTS = 2
+PARTS = 4                     # parts in which a large table is read and shuffled, at most
 _FILE, _BLOCK, _LINE = "_file", "_block", "_line"
 
 
@@ -75,6 +79,11 @@ def _complete(spark: SparkSession, out_dir: str) -> list[str]:
     return [f"{root}/{n}" for n in names if fs.exists(_fs(spark, f"{root}/{n}/{DONE_MARKER}")[1])]
 
 
+def _part(df: DataFrame, key: str, part: int, parts: int) -> DataFrame:
+    """The rows of ``df`` in one of ``parts`` by a hash of ``key`` (a null has a part, too)."""
+    return df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == part) if parts > 1 else df
+
+
 def _refresh(spark: SparkSession, parsed: DataFrame, out_dir: str, as_of, cfg: ScoringConfig, batch_id: int, keep: int) -> None:
     """Merge one batch's parsed records (one per id) into the tables of the newest complete folder before it."""
     target = f"{out_dir.rstrip('/')}/batch={batch_id:010d}"
@@ -111,18 +120,28 @@ def start_refresh(spark: SparkSession, landing_dir: str, raw_dir: str, out_dir:
         raise ValueError("keep must be at least 1")
     base = raw_dir.rstrip("/")
 
-    def stored(df: DataFrame, path: str, batch_id: int) -> DataFrame:
-        """``df`` written to the batch's own folder of ``path`` and read back, under its schema."""
+    def stored(path: str, batch_id: int, *parts: DataFrame) -> DataFrame:
+        """``parts`` written to the batch's own folder of ``path`` and read back, under their schema."""
         target = f"{path}/{BATCH}={batch_id}"
-        df.write.mode("overwrite").parquet(target)
+        for n, df in enumerate(parts):
+            df.write.mode("append" if n else "overwrite").options(**COMPACT).parquet(target)
         return df.sparkSession.read.schema(T.StructType(df.schema.fields)).parquet(target)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        with shuffles_dropped(batch.sparkSession):
+            merge(batch, batch_id)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
         names = page_schema().fieldNames()
         placed = batch.select(*names, _FILE, _BLOCK, F.monotonically_increasing_id().alias(_LINE))
-        placed = stored(placed, f"{base}/_landed", batch_id)
+        placed = stored(f"{base}/_landed", batch_id, placed)
         landed = in_landing_order(placed, natural_entries(placed.select(F.col(_FILE).alias("file")).distinct()), names)
-        parsed = stored(parse_violations(clean(landed, cfg), cfg=cfg), f"{base}/_parsed", batch_id)
+        repeated = repeated_ids(usable_records(landed, cfg))
+        parts = PARTS if repeated is None else 1              # without them whole records are shuffled
+        parsed = stored(f"{base}/_parsed", batch_id, *(
+            parse_violations(clean(_part(landed, "inspection_id", n, parts), cfg, repeated), cfg=cfg) for n in range(parts)))
+        if repeated is not None:
+            drop_staged_frame(repeated)
         if buckets:
             incremental.refresh(batch.sparkSession, parsed, out_dir, as_of, batch_id + 1, buckets, cfg,
                                 checkpoint_dir, keep, keep_seconds)

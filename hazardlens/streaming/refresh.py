@@ -13,7 +13,9 @@ refresh runs as a Structured Streaming query over the landing folder:
   those. The order is (batch, file, place in the file), so a correction in a
   later drop supersedes, whatever its content;
 * disk: records are stored with zstd, the dedup of a batch shuffles ids and
-  landing orders only, and a query's shuffle files go with it;
+  landing orders only, the touched ids are dropped where the previous table is
+  read, scores are made of a part of the establishments at a time, and a query's
+  shuffle files go with it;
 * with ``buckets`` the tables are kept in hash buckets instead, of which a batch
   rewrites only those it touches (``streaming/incremental``);
 * scores are recomputed for every establishment (recency moves with the
@@ -35,12 +37,12 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT_CONFIG, ScoringConfig
 from ..operators.clean import clean, repeated_ids, usable_records
-from ..operators.scoring import risk_scores
+from ..operators.scoring import KEY, establishment_state, scores_of_state
 from ..operators.signals import parse_violations
 from ..schemas import BATCH, INSPECTION_COLUMNS, INSPECTIONS
-from ..session import COMPACT, drop_staged_frame, shuffles_dropped
+from ..session import COMPACT, drop_staged, drop_staged_frame, shuffles_dropped, staging_path
 from ..sinks import snapshots
-from ..sinks.writers import clustered_scores, write_parquet
+from ..sinks.writers import clustered_scores
 from ..sources.landed import in_landing_order, natural_entries, page_schema
 from . import incremental
 
@@ -84,19 +86,38 @@ def _part(df: DataFrame, key: str, part: int, parts: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == part) if parts > 1 else df
 
 
+def _write_kept(old: DataFrame, touched: DataFrame, path: str) -> None:
+    """Append to ``path`` the rows of ``old`` without the ids in ``touched`` (one row each).
+
+    The ids go to every task, so that no row of ``old`` is shuffled; ``old`` is read once
+    for each ``TOUCHED_IDS`` of them. With more ids than ``PARTS`` readings can
+    take, each reading shuffles its part of the rows.
+    """
+    n = touched.count()
+    parts = max(1, min(PARTS, -(-n // incremental.TOUCHED_IDS)))
+    for part in range(parts):
+        kept = incremental.without_ids(_part(old, "inspection_id", part, parts), _part(touched, "_touched", part, parts), n // parts)
+        kept.write.mode("append").options(**COMPACT).parquet(path)
+
+
+def _write_scores(spark: SparkSession, stored: DataFrame, path: str, as_of, cfg: ScoringConfig) -> None:
+    """The scores of ``stored`` inspections; of many, for a part of the establishments at a time."""
+    states, parts = staging_path(spark, "states"), incremental.turns_for(stored.count(), PARTS)
+    for part in range(parts):
+        establishment_state(_part(stored, KEY, part, parts), cfg).write.mode("append").options(**COMPACT).parquet(states)
+    clustered_scores(scores_of_state(spark.read.parquet(states), as_of, cfg), path)
+    drop_staged(spark, states)
+
+
 def _refresh(spark: SparkSession, parsed: DataFrame, out_dir: str, as_of, cfg: ScoringConfig, batch_id: int, keep: int) -> None:
     """Merge one batch's parsed records (one per id) into the tables of the newest complete folder before it."""
     target = f"{out_dir.rstrip('/')}/batch={batch_id:010d}"
     before = [d for d in _complete(spark, out_dir) if d < target]
-    fresh = parsed.select(INSPECTION_COLUMNS)
+    parsed.select(INSPECTION_COLUMNS).write.mode("overwrite").options(**COMPACT).parquet(f"{target}/inspections")
     if before:
-        old = spark.read.schema(INSPECTIONS).parquet(f"{before[-1]}/inspections")
-        touched = parsed.select(F.col("inspection_id").alias("_touched"))
-        kept = old.join(touched, old["inspection_id"].eqNullSafe(touched["_touched"]), "left_anti")
-        fresh = kept.unionByName(fresh)
-    write_parquet(fresh, f"{target}/inspections")
-    stored = spark.read.schema(INSPECTIONS).parquet(f"{target}/inspections")
-    clustered_scores(risk_scores(stored, as_of, cfg), f"{target}/risk_scores")
+        _write_kept(spark.read.schema(INSPECTIONS).parquet(f"{before[-1]}/inspections"),
+                    parsed.select(F.col("inspection_id").alias("_touched")), f"{target}/inspections")
+    _write_scores(spark, spark.read.schema(INSPECTIONS).parquet(f"{target}/inspections"), f"{target}/risk_scores", as_of, cfg)
     spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").json(f"{target}/{DONE_MARKER}")
     for old_dir in _complete(spark, out_dir)[:-keep]:
         fs, path = _fs(spark, old_dir)
